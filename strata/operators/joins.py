@@ -1,0 +1,25 @@
+"""Join helpers: broadcast only behind a bounded size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) we are willing to ship to every executor.  Dimension
+# rows here are a code, a name and a label: 1 M rows stay well under 100 MB.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a LIMIT job that stops
+    early), so it is cheap even when the answer is no.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint when the size check passes; otherwise leave the join to
+    the planner (sort-merge, or AQE's runtime broadcast if it turns out small)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
