@@ -1 +1,94 @@
-QUALITY_SQL = {}
+"""DuckDB SQL of the quality rules, generated from the same ``Rule`` objects."""
+
+from __future__ import annotations
+
+from strata.oracle.views import with_views
+from strata.plans.quality import Rule
+
+CTE = {
+    ("bronze", "alfabetizacao_uf"): "bronze_uf",
+    ("bronze", "meta_brasil"): "bronze_meta_brasil",
+    ("bronze", "meta_uf"): "bronze_meta_uf",
+    ("bronze", "meta_municipio"): "bronze_meta_municipio",
+    ("bronze", "alfabetizacao_municipio"): "bronze_municipio",
+    ("bronze", "alunos"): "bronze_alunos",
+    ("silver", "alfabetizacao_uf_clean"): "silver_uf",
+    ("silver", "metas_consolidadas"): "silver_metas",
+    ("silver", "alfabetizacao_municipio_clean"): "silver_municipio",
+    ("silver", "alunos_clean"): "silver_alunos",
+    ("silver", "streaming_eventos_clean"): "silver_events",
+    ("gold", "indicador_por_uf_ano"): "gold_indicador",
+    ("gold", "evolucao_temporal_brasil"): "gold_evolucao",
+    ("gold", "ranking_estados"): "gold_ranking",
+    ("gold", "perfil_desempenho_uf"): "gold_perfil",
+    ("gold", "painel_municipios"): "gold_painel",
+}
+
+
+def _counts(rule: Rule) -> tuple[str, list[str]]:
+    """SQL giving one row (v, t) for ``rule`` and the CTEs it reads."""
+    p = rule.params
+    t = CTE[(rule.layer, rule.table)]
+    if rule.kind == "non_empty":
+        return f"SELECT CAST(count(*) = 0 AS BIGINT) AS v, count(*) AS t FROM {t}", [t]
+    if rule.kind == "range":
+        c = p["col"]
+        return (f"SELECT count(*) FILTER (WHERE {c} IS NOT NULL AND ({c} < {p['lo']} OR {c} > {p['hi']})) AS v, "
+                f"count(*) AS t FROM {t}", [t])
+    if rule.kind == "nulls":
+        cond = " OR ".join(f"{c} IS NULL" for c in p["cols"])
+        return f"SELECT count(*) FILTER (WHERE {cond}) AS v, count(*) AS t FROM {t}", [t]
+    if rule.kind == "level_sum":
+        total = " + ".join(p["cols"])
+        return (f"SELECT count(*) FILTER (WHERE {p['cols'][0]} IS NOT NULL AND "
+                f"abs(({total}) - {p['target']}) > {p['tol']}) AS v, count(*) AS t FROM {t}", [t])
+    if rule.kind == "domain":
+        dom = ", ".join(f"'{d}'" for d in p["domain"])
+        return (f"SELECT count(DISTINCT {p['col']}) FILTER (WHERE {p['col']} NOT IN ({dom})) AS v, "
+                f"count(*) AS t FROM {t}", [t])
+    if rule.kind == "missing":
+        return f"SELECT count(*) FILTER (WHERE {p['col']} IS NULL) AS v, count(*) AS t FROM {t}", [t]
+    if rule.kind == "duplicates":
+        keys = ", ".join(p["keys"])
+        return (f"SELECT count(*) FILTER (WHERE cnt > 1) AS v, count(*) AS t FROM "
+                f"(SELECT {keys}, count(*) AS cnt FROM {t} GROUP BY {keys})", [t])
+    if rule.kind == "row_ratio":
+        o = CTE[tuple(p["other"])]
+        return (f"SELECT CASE WHEN a > 0 AND b > 0 AND a > b THEN 1 ELSE 0 END AS v, b AS t FROM "
+                f"(SELECT count(*) AS a FROM {t}) JOIN (SELECT count(*) AS b FROM {o}) ON true", [t, o])
+    if rule.kind == "coverage":
+        r = CTE[tuple(p["ref"])]
+        where = f" WHERE {p['ref_filter_sql']}" if p.get("ref_filter_sql") else ""
+        return (f"SELECT abs(a - b) AS v, b AS t FROM (SELECT count(DISTINCT {p['key']}) AS a FROM {t}) "
+                f"JOIN (SELECT count(DISTINCT {p['ref_key']}) AS b FROM {r}{where}) ON true", [t, r])
+    if rule.kind == "references":
+        r = CTE[tuple(p["ref"])]
+        where = f" WHERE {p['ref_filter_sql']}" if p.get("ref_filter_sql") else ""
+        key = f"CAST(g.{p['key']} AS VARCHAR)" if p.get("cast") else f"g.{p['key']}"
+        return (f"SELECT (SELECT count(*) FROM {t} g LEFT JOIN (SELECT DISTINCT {p['ref_key']} AS k "
+                f"FROM {r}{where}) m ON {key} = m.k WHERE m.k IS NULL) AS v, "
+                f"(SELECT count(*) FROM {t}) AS t", [t, r])
+    raise ValueError(rule.kind)
+
+
+def rules_sql(rules: list[Rule]) -> str:
+    parts, views = [], []
+    for r in rules:
+        body, needs = _counts(r)
+        views += needs
+        kind = "report" if r.is_report else "check"
+        sev = "INFO" if r.is_report else "ERROR"
+        passed = "true" if r.is_report else "v = 0"
+        parts.append(
+            f"SELECT '{r.layer}' AS layer, '{r.table}' AS table_name, '{r.name}' AS rule, "
+            f"'{kind}' AS kind, '{sev}' AS severity, CAST(v AS BIGINT) AS violations, "
+            f"CAST(t AS BIGINT) AS total, {passed} AS passed FROM ({body})")
+    return with_views(*dict.fromkeys(views)) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _quality_sql() -> dict[str, str]:
+    from strata.quality_catalog import RULE_SETS
+    return {name: rules_sql(make()) for name, make in RULE_SETS.items()}
+
+
+QUALITY_SQL = _quality_sql()

@@ -1,2 +1,76 @@
-"""Registered data-quality queries (filled in below)."""
-QUALITY_QUERIES = {}
+"""Registered data-quality queries: rule subsets evaluated over the layers."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+from strata.catalog import Layers
+from strata.plans import gold
+from strata.plans.quality import Rule, evaluate, rules_for
+
+
+class LayerTables(Mapping):
+    """(layer, table) -> DataFrame, built on first use."""
+
+    def __init__(self, L: Layers):
+        self.L = L
+        self._builders = {
+            ("bronze", "alfabetizacao_uf"): lambda: L.bronze_uf,
+            ("bronze", "meta_brasil"): lambda: L.bronze_meta_brasil,
+            ("bronze", "meta_uf"): lambda: L.bronze_meta_uf,
+            ("bronze", "meta_municipio"): lambda: L.bronze_meta_municipio,
+            ("bronze", "alfabetizacao_municipio"): lambda: L.bronze_municipio,
+            ("bronze", "alunos"): lambda: L.bronze_alunos,
+            ("silver", "alfabetizacao_uf_clean"): lambda: L.silver_uf,
+            ("silver", "metas_consolidadas"): lambda: L.silver_metas,
+            ("silver", "alfabetizacao_municipio_clean"): lambda: L.silver_municipio,
+            ("silver", "alunos_clean"): lambda: L.silver_alunos,
+            ("silver", "streaming_eventos_clean"): lambda: L.silver_events,
+            ("gold", "indicador_por_uf_ano"): lambda: gold.indicador_por_uf_ano(L.silver_uf, L.silver_metas),
+            ("gold", "evolucao_temporal_brasil"): lambda: gold.evolucao_temporal_brasil(L.silver_uf),
+            ("gold", "ranking_estados"): lambda: gold.ranking_estados(L.silver_uf, L.silver_metas),
+            ("gold", "perfil_desempenho_uf"): lambda: gold.perfil_desempenho_uf(L.silver_uf),
+            ("gold", "painel_municipios"): lambda: gold.painel_municipios(L.silver_municipio, L.silver_metas),
+        }
+        self._built: dict = {}
+
+    def __getitem__(self, key):
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
+def _select(kinds: set[str], layers: set[str] | None = None) -> list[Rule]:
+    return [r for r in rules_for("all") if r.kind in kinds and (layers is None or r.layer in layers)]
+
+
+RULE_SETS = {
+    "dq_duplicates": lambda: _select({"duplicates"}),
+    "dq_range": lambda: _select({"range"}),
+    "dq_domain": lambda: _select({"domain"}),
+    "dq_row_ratio": lambda: _select({"row_ratio"}),
+    "dq_nulls": lambda: _select({"nulls"}),
+    "dq_level_sum": lambda: _select({"level_sum"}),
+    "dq_coverage": lambda: _select({"coverage"}),
+    "dq_references": lambda: _select({"references"}),
+    "dq_missing_report": lambda: _select({"missing"}),
+    "dq_all": lambda: rules_for("all"),
+}
+
+
+def _entry(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return evaluate(spark, LayerTables(Layers(spark, sf_dir)), RULE_SETS[name]())
+    run.__name__ = name
+    return run
+
+
+QUALITY_QUERIES = {name: _entry(name) for name in RULE_SETS}
