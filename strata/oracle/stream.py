@@ -1 +1,40 @@
-STREAM_SQL = {}
+"""DuckDB SQL of the stream queries: the batch result the stream must equal."""
+
+from __future__ import annotations
+
+from strata.oracle.queries import select
+from strata.oracle.views import _METRICS, _latest
+
+_PAYLOAD = ["tipo", "ano", "sigla_uf", "serie", "rede", "source", "taxa_alfabetizacao",
+            "media_portugues", "meta_2030", "percentual_atingido", "taxa_anterior", "taxa_revisada",
+            "motivo_revisao"]
+_MELT = ", ".join(f"{{'metrica': '{m}', 'valor': CAST({m} AS VARCHAR)}}" for m in _METRICS)
+_SILVER_COLS = ["tipo", "evento_us", "ano", "sigla_uf", "serie", "rede", "source", "metrica", "valor",
+                "pubsub_message_id"]
+_VALID = ("tipo IS NOT NULL AND timestamp IS NOT NULL AND sigla_uf IS NOT NULL "
+          "AND pubsub_message_id IS NOT NULL "
+          "AND (taxa_alfabetizacao IS NULL OR taxa_alfabetizacao BETWEEN 0 AND 100)")
+
+
+def _melted(source: str) -> str:
+    return (f"SELECT tipo, epoch_us(timestamp) AS evento_us, ano, sigla_uf, serie, rede, source, "
+            f"_m.metrica AS metrica, _m.valor AS valor, pubsub_message_id "
+            f"FROM (SELECT *, unnest([{_MELT}]) AS _m FROM ({source})) WHERE _m.valor IS NOT NULL")
+
+
+STREAM_SQL = {
+    "stream_ingest": select(
+        [*_PAYLOAD, "pubsub_message_id", "evento_us", "ingestao_us"],
+        "SELECT *, epoch_us(timestamp) AS evento_us, epoch_us(ingestao_ts) AS ingestao_us "
+        "FROM event_deliveries WHERE NOT malformed", ["event_deliveries"]),
+    "stream_quarantine": select(
+        ["pubsub_message_id", "ingestao_us"],
+        "SELECT pubsub_message_id, epoch_us(ingestao_ts) AS ingestao_us FROM event_deliveries "
+        "WHERE malformed", ["event_deliveries"]),
+    "stream_dedup_melt": select(_SILVER_COLS, _melted("SELECT * FROM events_latest"), ["events_latest"]),
+    "stream_silver_first_wins": select(
+        _SILVER_COLS,
+        _melted(_latest("event_deliveries", ["pubsub_message_id"], "delivery", [], f"NOT malformed AND {_VALID}")
+                .replace("delivery DESC NULLS LAST", "delivery ASC")),
+        ["event_deliveries"]),
+}

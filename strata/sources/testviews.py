@@ -253,7 +253,7 @@ def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delivery of every event message, malformed ones included.
 
     Columns: the 14 payload fields, ``pubsub_message_id``, ``ingestao_ts``
-    (TIMESTAMP_NTZ, UTC wall clock) and ``malformed``.
+    (TIMESTAMP_NTZ, UTC wall clock), ``malformed`` and ``delivery`` (0 first, 1 redelivery).
     """
     events = table(spark, sf_dir, "events")
     copies = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -290,12 +290,13 @@ def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("pubsub_message_id"),
         (F.col("ts") + F.make_dt_interval(mins=F.lit(1) + F.col("_copy") * 5)).alias("ingestao_ts"),
         (F.col("event_id") % 13 == 0).alias("malformed"),
+        F.col("_copy").alias("delivery"),
     )
 
 
 def bronze_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the stream intake lands in bronze: the well-formed deliveries."""
-    return event_deliveries(spark, sf_dir).where(~F.col("malformed")).drop("malformed")
+    return event_deliveries(spark, sf_dir).where(~F.col("malformed")).drop("malformed", "delivery")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -1,2 +1,78 @@
-"""Registered stream queries."""
-STREAM_QUERIES = {}
+"""Registered stream queries.
+
+Each one lands the event deliveries of the test data in two waves (first
+deliveries, then redeliveries), runs the intake with ``availableNow`` after
+each wave (the second run restarts from the checkpoint and only takes the new
+files) and returns what the sink wrote, read back.  Everything goes to a fresh
+folder under the session's checkpoint directory.  Event times are returned as
+epoch microseconds, which do not depend on the session time zone.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.catalog import present
+from strata.plans import silver
+from strata.session import scratch_dir
+from strata.sources import testviews as tv
+from strata.streaming.ingest import (ingest_events, read_bronze, read_quarantine,
+                                     stream_silver_events, BRONZE_SCHEMA)
+from strata.streaming.landing import write_wave
+
+
+def _intake(spark: SparkSession, sf_dir: str, silver_stream: bool = False) -> dict[str, str]:
+    root = scratch_dir(spark, "events")
+    paths = {k: f"{root}/{k}" for k in ("landing", "bronze", "quarantine", "checkpoint",
+                                        "silver", "silver_checkpoint")}
+    deliveries = tv.event_deliveries(spark, sf_dir)
+    for wave in (0, 1):
+        write_wave(deliveries.where(F.col("delivery") == wave), paths["landing"])
+        ingest_events(spark, paths["landing"], paths["bronze"], paths["quarantine"],
+                      paths["checkpoint"]).awaitTermination()
+        if silver_stream:
+            stream = (spark.readStream.schema(BRONZE_SCHEMA).parquet(paths["bronze"])
+                      .select(*BRONZE_SCHEMA.fieldNames()))
+            (stream_silver_events(stream).writeStream.format("parquet")
+             .option("path", paths["silver"]).option("checkpointLocation", paths["silver_checkpoint"])
+             .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return paths
+
+
+def _micros(df: DataFrame, ts: str, out: str) -> DataFrame:
+    return df.withColumn(out, F.unix_micros(F.col(ts))).drop(ts)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1/3, SRC-6, SNK-4: bronze as landed by the stream (duplicates kept)."""
+    bronze = read_bronze(spark, _intake(spark, sf_dir)["bronze"])
+    out = _micros(_micros(bronze, "timestamp", "evento_us"), "ingestao_ts", "ingestao_us")
+    return present(out)
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-2, SCL-13/14: messages that do not fit the schema."""
+    bad = read_quarantine(spark, _intake(spark, sf_dir)["quarantine"])
+    return present(_micros(bad.drop("raw"), "ingestao_ts", "ingestao_us"))
+
+
+def stream_dedup_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-4: the batch silver event table over the streamed bronze."""
+    bronze = read_bronze(spark, _intake(spark, sf_dir)["bronze"])
+    return present(_micros(silver.streaming_eventos_clean(bronze), "evento_ts", "evento_us"))
+
+
+def stream_silver_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-4/5 streaming form: watermark dedup keeps the first delivery."""
+    paths = _intake(spark, sf_dir, silver_stream=True)
+    out = spark.read.parquet(paths["silver"])
+    return present(_micros(out, "evento_ts", "evento_us"))
+
+
+STREAM_QUERIES = {
+    "stream_ingest": stream_ingest,
+    "stream_quarantine": stream_quarantine,
+    "stream_dedup_melt": stream_dedup_melt,
+    "stream_silver_first_wins": stream_silver_first_wins,
+}
