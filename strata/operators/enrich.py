@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+from strata.operators.joins import BROADCAST_MAX_ROWS, broadcast_if
 
 
 def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str,
@@ -24,7 +24,7 @@ def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str,
         left_key = F.col(key).cast("string")
     else:
         left_key = F.col(key)
-    names = checked_broadcast(names, max_rows)
+    names = broadcast_if(names, directory, max_rows)
     return df.join(names, left_key == names[tmp], "left").drop(tmp)
 
 
@@ -44,6 +44,6 @@ def decode_columns(df: DataFrame, dictionary: DataFrame, table_id: str,
         labels = (dictionary
                   .where((F.col("nome_coluna") == c) & (F.col("id_tabela") == table_id))
                   .select(F.col("chave").alias(key), F.col("valor").alias(c)))
-        labels = checked_broadcast(labels, max_rows)
+        labels = broadcast_if(labels, dictionary, max_rows)
         out = out.join(labels, F.col(c + code_suffix).cast("string") == labels[key], "left").drop(key)
     return out

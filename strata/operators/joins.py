@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,13 +12,27 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a LIMIT job that stops
-    early), so it is cheap even when the answer is no.
+    early), so it is cheap even when the answer is no.  The answer is
+    remembered per DataFrame object: a dimension used by several joins is
+    checked once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    seen = _CHECKED.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
+
+
+def broadcast_if(df: DataFrame, source: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when ``source`` - a table ``df`` is a projection, filter
+    or DISTINCT of, so never has more rows - passes the size check."""
+    return F.broadcast(df) if fits_broadcast(source, max_rows) else df
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

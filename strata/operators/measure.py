@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import classify as classify_expr
-from strata.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast
+from strata.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
 
 _AGGS = {
     "avg": F.avg,
@@ -62,7 +62,9 @@ def rank_all(df: DataFrame, order_col: str, out: str,
     counts its rows, a running sum over the (few) ranges gives each range's
     offset, and a window inside each range adds the local part.
     """
-    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits))
+    # Persisted so the size check, the ranking and the join back share one
+    # evaluation of the input.
+    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits)).persist()
     v = F.col("_rank_key")
     counts = keyed.groupBy("_rank_key").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(v.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
@@ -91,15 +93,15 @@ def rank_all(df: DataFrame, order_col: str, out: str,
             .drop("_rank_key", "_rk"))
 
 
-def latest_period(df: DataFrame, key: str, period: str,
-                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def latest_period(df: DataFrame, key: str, period: str) -> DataFrame:
     """Rows of each key's own latest period: join with MAX(period) per key.
 
-    The per-key maxima are one row per key (pre-aggregated map-side); they are
-    broadcast when the check passes, so the fact side is not shuffled.
+    The per-key maxima are one row per key (pre-aggregated map-side, so a hot
+    key costs nothing extra).  No broadcast hint: AQE turns the join into a
+    broadcast join from the measured size of that aggregate when it is small,
+    and keeps the sort-merge join (skew split on) when it is not.
     """
     latest = df.groupBy(key).agg(F.max(period).alias("_max_period")).withColumnRenamed(key, "_lk")
-    latest = checked_broadcast(latest, max_rows)
     return (df.join(latest, (F.col(key) == F.col("_lk")) & (F.col(period) == F.col("_max_period")), "inner")
             .drop("_lk", "_max_period"))
 
@@ -113,15 +115,15 @@ def max_target(targets: DataFrame, scope: str, key: str,
 
 def join_targets(df: DataFrame, targets: DataFrame, key: str, cast_key: bool = False,
                  value_col: str = "taxa_media", target_col: str = "meta_2030",
-                 reached_col: str | None = None,
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 reached_col: str | None = None) -> DataFrame:
     """INNER JOIN pre-aggregated targets (one row per key) and add the gap.
 
     Places without a target drop out.  ``cast_key`` compares the fact key as
-    text with the (text) target key.
+    text with the (text) target key.  The targets are an aggregate of one row
+    per place: AQE broadcasts them from their measured size when small.
     """
     tk = f"_target_{key}"
-    t = checked_broadcast(targets.withColumnRenamed(key, tk), max_rows)
+    t = targets.withColumnRenamed(key, tk)
     left = F.col(key).cast("string") if cast_key else F.col(key)
     out = (df.join(t, left == F.col(tk), "inner").drop(tk)
            .withColumn("gap_meta", F.col(value_col) - F.col(target_col)))

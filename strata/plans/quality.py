@@ -168,8 +168,8 @@ def evaluate(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
             "layer", "table_name", "rule", "kind", "severity", "violations", "total",
             ((F.col("kind") == "report") | (F.col("violations") == 0)).alias("passed")))
     if not parts:
-        return spark.createDataFrame([], "layer string, table_name string, rule string, kind string, "
-                                         "severity string, violations bigint, total bigint, passed boolean")
+        empty = spark.range(0).select(*_one(F.lit(0), F.lit(0)))
+        return _tag(empty, Rule("non_empty", "", ""))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

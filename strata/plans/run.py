@@ -47,7 +47,7 @@ def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name:
         writer = writer.partitionBy(*s.partition_by)
     path = f"{root}/{layer}/{name}/run={run_id}"
     writer.parquet(path)
-    spark.createDataFrame([(run_id,)], "run string").write.mode("overwrite").text(_marker(root, layer, name))
+    spark.range(1).select(F.lit(run_id).alias("run")).write.mode("overwrite").text(_marker(root, layer, name))
     return int(obs.get["rows"])
 
 

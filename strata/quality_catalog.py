@@ -7,15 +7,21 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.catalog import Layers
-from strata.plans import gold
+from strata.plans import gold, silver
 from strata.plans.quality import Rule, evaluate, rules_for
 
 
 class LayerTables(Mapping):
-    """(layer, table) -> DataFrame, built on first use."""
+    """(layer, table) -> DataFrame, built on first use.
 
-    def __init__(self, L: Layers):
-        self.L = L
+    With ``materialize`` every table is checkpointed (reliably, into the
+    session's checkpoint folder) when first built, and the next layer is built
+    from that copy: each table is computed once however many rules read it.
+    """
+
+    def __init__(self, L: Layers, materialize: bool = True):
+        self.materialize = materialize
+        t = self.__getitem__
         self._builders = {
             ("bronze", "alfabetizacao_uf"): lambda: L.bronze_uf,
             ("bronze", "meta_brasil"): lambda: L.bronze_meta_brasil,
@@ -23,22 +29,31 @@ class LayerTables(Mapping):
             ("bronze", "meta_municipio"): lambda: L.bronze_meta_municipio,
             ("bronze", "alfabetizacao_municipio"): lambda: L.bronze_municipio,
             ("bronze", "alunos"): lambda: L.bronze_alunos,
-            ("silver", "alfabetizacao_uf_clean"): lambda: L.silver_uf,
-            ("silver", "metas_consolidadas"): lambda: L.silver_metas,
-            ("silver", "alfabetizacao_municipio_clean"): lambda: L.silver_municipio,
-            ("silver", "alunos_clean"): lambda: L.silver_alunos,
-            ("silver", "streaming_eventos_clean"): lambda: L.silver_events,
-            ("gold", "indicador_por_uf_ano"): lambda: gold.indicador_por_uf_ano(L.silver_uf, L.silver_metas),
-            ("gold", "evolucao_temporal_brasil"): lambda: gold.evolucao_temporal_brasil(L.silver_uf),
-            ("gold", "ranking_estados"): lambda: gold.ranking_estados(L.silver_uf, L.silver_metas),
-            ("gold", "perfil_desempenho_uf"): lambda: gold.perfil_desempenho_uf(L.silver_uf),
-            ("gold", "painel_municipios"): lambda: gold.painel_municipios(L.silver_municipio, L.silver_metas),
+            ("silver", "alfabetizacao_uf_clean"): lambda: silver.alfabetizacao_uf_clean(
+                t(("bronze", "alfabetizacao_uf"))),
+            ("silver", "metas_consolidadas"): lambda: silver.metas_consolidadas(
+                t(("bronze", "meta_brasil")), t(("bronze", "meta_uf")), t(("bronze", "meta_municipio"))),
+            ("silver", "alfabetizacao_municipio_clean"): lambda: silver.alfabetizacao_municipio_clean(
+                t(("bronze", "alfabetizacao_municipio"))),
+            ("silver", "alunos_clean"): lambda: silver.alunos_clean(t(("bronze", "alunos"))),
+            ("silver", "streaming_eventos_clean"): lambda: silver.streaming_eventos_clean(L.bronze_events),
+            ("gold", "indicador_por_uf_ano"): lambda: gold.indicador_por_uf_ano(
+                t(("silver", "alfabetizacao_uf_clean")), t(("silver", "metas_consolidadas"))),
+            ("gold", "evolucao_temporal_brasil"): lambda: gold.evolucao_temporal_brasil(
+                t(("silver", "alfabetizacao_uf_clean"))),
+            ("gold", "ranking_estados"): lambda: gold.ranking_estados(
+                t(("silver", "alfabetizacao_uf_clean")), t(("silver", "metas_consolidadas"))),
+            ("gold", "perfil_desempenho_uf"): lambda: gold.perfil_desempenho_uf(
+                t(("silver", "alfabetizacao_uf_clean"))),
+            ("gold", "painel_municipios"): lambda: gold.painel_municipios(
+                t(("silver", "alfabetizacao_municipio_clean")), t(("silver", "metas_consolidadas"))),
         }
         self._built: dict = {}
 
     def __getitem__(self, key):
         if key not in self._built:
-            self._built[key] = self._builders[key]()
+            df = self._builders[key]()
+            self._built[key] = df.checkpoint() if self.materialize else df
         return self._built[key]
 
     def __iter__(self):
@@ -47,6 +62,9 @@ class LayerTables(Mapping):
     def __len__(self):
         return len(self._builders)
 
+    def __contains__(self, key):
+        return key in self._builders
+
 
 def _select(kinds: set[str], layers: set[str] | None = None) -> list[Rule]:
     return [r for r in rules_for("all") if r.kind in kinds and (layers is None or r.layer in layers)]

@@ -23,6 +23,8 @@ be written in DuckDB SQL for the oracle:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,22 +98,22 @@ def _share(cond: Column) -> Column:
 def _plant_defects(df: DataFrame, place: str) -> DataFrame:
     k = (F.col(place).cast("long") * 7 + F.col("ano") * 3 + F.col("serie") * 5 + F.col("rede"))
     rate = F.col("taxa_alfabetizacao")
-    df = df.withColumn("_k", k).withColumn(
+    null = F.lit(None).cast("double")
+    keyed = df.withColumn("_k", k)
+    kk = F.col("_k")
+    no_levels = kk % 19 == 0
+    copies = F.when(kk % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    planted = keyed.select(
+        *[c for c in df.columns if c not in LEVELS and c != "taxa_alfabetizacao"],
+        F.when(kk % 17 == 0, null).when(kk % 23 == 0, rate + F.lit(100.0)).otherwise(rate)
+        .alias("taxa_alfabetizacao"),
+        *[F.when(no_levels | ((kk % 29 == 0) & F.lit(lv == LEVELS[4])), null).otherwise(F.col(lv)).alias(lv)
+          for lv in LEVELS],
+        F.explode(copies).alias("_copy"))
+    return planted.withColumn(
         "taxa_alfabetizacao",
-        F.when(F.col("_k") % 17 == 0, F.lit(None).cast("double"))
-        .when(F.col("_k") % 23 == 0, rate + F.lit(100.0))
-        .otherwise(rate))
-    no_levels = F.col("_k") % 19 == 0
-    df = df.withColumns({
-        lv: F.when(no_levels | ((F.col("_k") % 29 == 0) & F.lit(lv == LEVELS[4])),
-                   F.lit(None).cast("double")).otherwise(F.col(lv))
-        for lv in LEVELS})
-    copies = F.when(F.col("_k") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    df = df.withColumn("_copy", F.explode(copies))
-    return (df.withColumn("taxa_alfabetizacao",
-                          F.when(F.col("_copy") == 1, F.col("taxa_alfabetizacao") / F.lit(2.0))
-                          .otherwise(F.col("taxa_alfabetizacao")))
-            .drop("_k", "_copy"))
+        F.when(F.col("_copy") == 1, F.col("taxa_alfabetizacao") / F.lit(2.0))
+        .otherwise(F.col("taxa_alfabetizacao"))).drop("_copy")
 
 
 def src_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,8 +180,18 @@ def src_alunos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small fixed table built JVM-side (a local relation, no Python workers)."""
+    def lit(v):
+        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    casts = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
+
+
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DICTIONARY_ROWS, DICTIONARY_SCHEMA)
+    return literal_table(spark, DICTIONARY_ROWS, DICTIONARY_SCHEMA)
 
 
 def dir_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,16 +311,37 @@ def bronze_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_deliveries(spark, sf_dir).where(~F.col("malformed")).drop("malformed", "delivery")
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All batch sources by the name the bronze builders expect."""
-    return {
-        "uf": src_uf(spark, sf_dir),
-        "municipio": src_municipio(spark, sf_dir),
-        "alunos": src_alunos(spark, sf_dir),
-        "meta_brasil": src_meta_brasil(spark, sf_dir),
-        "meta_uf": src_meta_uf(spark, sf_dir),
-        "meta_municipio": src_meta_municipio(spark, sf_dir),
-        "dicionario": dictionary(spark),
-        "dir_uf": dir_uf(spark, sf_dir),
-        "dir_municipio": dir_municipio(spark, sf_dir),
-    }
+_SOURCES = {
+    "uf": src_uf,
+    "municipio": src_municipio,
+    "alunos": src_alunos,
+    "meta_brasil": src_meta_brasil,
+    "meta_uf": src_meta_uf,
+    "meta_municipio": src_meta_municipio,
+    "dicionario": lambda spark, sf_dir: dictionary(spark),
+    "dir_uf": dir_uf,
+    "dir_municipio": dir_municipio,
+}
+
+
+class Sources(Mapping):
+    """All batch sources by the name the bronze builders expect; each view is
+    built on first use and then shared (same DataFrame object)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = _SOURCES[name](self.spark, self.sf_dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(_SOURCES)
+
+    def __len__(self):
+        return len(_SOURCES)
+
+
+def sources(spark: SparkSession, sf_dir: str) -> Sources:
+    return Sources(spark, sf_dir)
