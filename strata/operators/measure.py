@@ -62,9 +62,14 @@ def rank_all(df: DataFrame, order_col: str, out: str,
     counts its rows, a running sum over the (few) ranges gives each range's
     offset, and a window inside each range adds the local part.
     """
-    # Persisted so the size check, the ranking and the join back share one
-    # evaluation of the input.
-    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits)).persist()
+    # Checkpointed (reliably, persisted first so it is computed once) so the
+    # size check, the ranking and the join back share one evaluation of the
+    # input and nothing stays cached afterwards.
+    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits))
+    keyed.persist()
+    saved = keyed.checkpoint(eager=True)
+    keyed.unpersist()
+    keyed = saved
     v = F.col("_rank_key")
     counts = keyed.groupBy("_rank_key").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(v.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)

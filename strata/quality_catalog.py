@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.catalog import Layers
@@ -14,13 +15,16 @@ from strata.plans.quality import Rule, evaluate, rules_for
 class LayerTables(Mapping):
     """(layer, table) -> DataFrame, built on first use.
 
-    With ``materialize`` every table is checkpointed (reliably, into the
-    session's checkpoint folder) when first built, and the next layer is built
-    from that copy: each table is computed once however many rules read it.
+    With ``materialize`` every table is checkpointed (reliable files under the
+    session's checkpoint directory) when first built, and the next layer is
+    built from that copy: each table is computed once however many rules read
+    it, and nothing stays cached for later queries.  (The layer runner writes
+    real tables; this is for one-off reports over the views.)
     """
 
-    def __init__(self, L: Layers, materialize: bool = True):
+    def __init__(self, L: Layers, materialize: bool = False):
         self.materialize = materialize
+        self.spark = L.spark
         t = self.__getitem__
         self._builders = {
             ("bronze", "alfabetizacao_uf"): lambda: L.bronze_uf,
@@ -53,7 +57,13 @@ class LayerTables(Mapping):
     def __getitem__(self, key):
         if key not in self._built:
             df = self._builders[key]()
-            self._built[key] = df.checkpoint() if self.materialize else df
+            if self.materialize:
+                # persist first so the checkpoint write does not compute it again
+                df.persist(StorageLevel.MEMORY_AND_DISK)
+                saved = df.checkpoint(eager=True)
+                df.unpersist()
+                df = saved
+            self._built[key] = df
         return self._built[key]
 
     def __iter__(self):

@@ -96,6 +96,19 @@ def ingest_events(spark: SparkSession, landing_dir: str, bronze_dir: str, quaran
     return writer.start()
 
 
+def run_bounded(query: StreamingQuery, timeout_s: float | None = None) -> bool:
+    """Wait for a query; stop it after ``timeout_s`` seconds (bounded intake).
+
+    Returns True when the query finished on its own (landing drained).  The
+    bound is in time or, through ``maxFilesPerTrigger``, in files per batch;
+    Spark sources do not stop at an exact message count.
+    """
+    finished = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+    if not finished and query.isActive:
+        query.stop()
+    return bool(finished) or finished is None
+
+
 def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
     return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_dir).select(*BRONZE_SCHEMA.fieldNames())
 
