@@ -46,9 +46,26 @@ def _rank_key(order_col: str, digits: int | None) -> "Column":
 def rank_within(df: DataFrame, by: list[str], order_col: str, out: str,
                 digits: int | None = RANK_DIGITS) -> DataFrame:
     """RANK() OVER (PARTITION BY by ORDER BY order_col DESC): ties share a rank,
-    the next rank is skipped."""
-    w = Window.partitionBy(*by).orderBy(_rank_key(order_col, digits).desc_nulls_last())
-    return df.withColumn(out, F.rank().over(w).cast("long"))
+    the next rank is skipped.
+
+    The rank of a row is 1 + the number of rows of its group with a larger
+    value, so the window runs over the distinct (group, value) pairs with
+    their counts (partial-aggregated before the shuffle): a hot group is
+    reduced to its distinct values before it reaches one task.  The ranks are
+    joined back (AQE broadcasts them when small).
+    """
+    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits))
+    counts = keyed.groupBy(*by, "_rank_key").agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy(*by).orderBy(F.col("_rank_key").desc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = counts.select(
+        *[F.col(c).alias(f"_rb_{c}") for c in by], F.col("_rank_key").alias("_rk"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("long").alias(out))
+    cond = F.col("_rank_key").eqNullSafe(F.col("_rk"))
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_rb_{c}"))
+    return (keyed.join(ranks, cond, "inner")
+            .drop("_rank_key", "_rk", *[f"_rb_{c}" for c in by]))
 
 
 def rank_all(df: DataFrame, order_col: str, out: str,

@@ -82,7 +82,8 @@ def rules_sql(rules: list[Rule]) -> str:
         parts.append(
             f"SELECT '{r.layer}' AS layer, '{r.table}' AS table_name, '{r.name}' AS rule, "
             f"'{kind}' AS kind, '{sev}' AS severity, CAST(v AS BIGINT) AS violations, "
-            f"CAST(t AS BIGINT) AS total, {passed} AS passed FROM ({body})")
+            f"CAST(t AS BIGINT) AS total, {passed} AS passed, "
+            f"round(CASE WHEN t > 0 THEN v * 100.0 / t END, 6) AS share_pct FROM ({body})")
     return with_views(*dict.fromkeys(views)) + "\n" + "\nUNION ALL\n".join(parts)
 
 

@@ -25,7 +25,13 @@ from pyspark.sql import functions as F
 from strata.functions import LEVELS, VALID_STATES, any_null, col_sum
 
 ROW_KINDS = {"non_empty", "range", "nulls", "level_sum", "domain", "missing"}
-RESULT_COLUMNS = ["layer", "table_name", "rule", "kind", "severity", "violations", "total", "passed"]
+RESULT_COLUMNS = ["layer", "table_name", "rule", "kind", "severity", "violations", "total", "passed",
+                  "share_pct"]
+
+
+def _share_pct() -> Column:
+    """Violations as a percentage of the total; NULL for an empty table."""
+    return F.when(F.col("total") > 0, F.col("violations") * F.lit(100.0) / F.col("total")).alias("share_pct")
 
 
 @dataclass(frozen=True)
@@ -130,7 +136,8 @@ def _tag(frame: DataFrame, rule: Rule) -> DataFrame:
         F.lit(rule.name).alias("rule"), F.lit("report" if rule.is_report else "check").alias("kind"),
         F.lit("INFO" if rule.is_report else "ERROR").alias("severity"),
         "violations", "total",
-        (F.lit(True) if rule.is_report else F.col("violations") == 0).alias("passed"))
+        (F.lit(True) if rule.is_report else F.col("violations") == 0).alias("passed"),
+        _share_pct())
 
 
 def evaluate(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
@@ -166,7 +173,8 @@ def evaluate(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
                             F.col("_total").alias("total"))
         parts.append(rows.select(
             "layer", "table_name", "rule", "kind", "severity", "violations", "total",
-            ((F.col("kind") == "report") | (F.col("violations") == 0)).alias("passed")))
+            ((F.col("kind") == "report") | (F.col("violations") == 0)).alias("passed"),
+            _share_pct()))
     if not parts:
         empty = spark.range(0).select(*_one(F.lit(0), F.lit(0)))
         return _tag(empty, Rule("non_empty", "", ""))

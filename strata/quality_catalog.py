@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.catalog import Layers
+from strata.catalog import Layers, present
 from strata.plans import gold, silver
 from strata.plans.quality import Rule, evaluate, rules_for
 
@@ -96,7 +96,7 @@ RULE_SETS = {
 
 def _entry(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return evaluate(spark, LayerTables(Layers(spark, sf_dir)), RULE_SETS[name]())
+        return present(evaluate(spark, LayerTables(Layers(spark, sf_dir)), RULE_SETS[name]()))
     run.__name__ = name
     return run
 

@@ -49,6 +49,26 @@ def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
     return reader.json(landing_dir)
 
 
+def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Broker variant of ``read_landing``: Kafka records as envelope columns.
+
+    Needs the spark-sql-kafka connector on the classpath (not bundled here, so
+    not exercised by the tests).  The record's topic/partition/offset is the
+    message id, its timestamp the publish time, its value the payload.
+    """
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load().select(
+        F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+        .alias("message_id"),
+        F.col("timestamp").alias("publish_time"),
+        F.col("value").cast("string").alias("data"),
+        F.lit(None).cast("string").alias(CORRUPT_COL))
+
+
 def parse_messages(raw: DataFrame) -> DataFrame:
     """Envelope rows -> message id, ingest time, raw text, parsed payload ``p``
     and a ``bad`` flag (envelope or payload not readable with the schema)."""
@@ -73,12 +93,16 @@ def quarantine_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("bad")).select("pubsub_message_id", "ingestao_ts", "raw")
 
 
-def ingest_events(spark: SparkSession, landing_dir: str, bronze_dir: str, quarantine_dir: str,
+def ingest_events(spark: SparkSession, landing_dir: str | None, bronze_dir: str, quarantine_dir: str,
                   checkpoint_dir: str, max_files_per_trigger: int | None = None,
-                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                  available_now: bool = True, processing_time: str | None = None,
+                  source: DataFrame | None = None) -> StreamingQuery:
     """Start the intake; with ``available_now`` it stops when the landing folder
-    is drained (bounded intake), otherwise it runs on ``processing_time``."""
-    parsed = parse_messages(read_landing(spark, landing_dir, max_files_per_trigger))
+    is drained (bounded intake), otherwise it runs on ``processing_time``.
+    ``source`` replaces the landing folder with another envelope stream
+    (e.g. ``read_kafka``)."""
+    raw = source if source is not None else read_landing(spark, landing_dir, max_files_per_trigger)
+    parsed = parse_messages(raw)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

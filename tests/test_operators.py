@@ -157,3 +157,13 @@ def test_gold_rank_before_and_after_target_join(spark):
     assert [(r.sigla_uf, r.ranking_nacional) for r in ind] == [("BB", 2)]
     rk = gold.ranking_estados(silver_uf, metas).collect()
     assert [(r.sigla_uf, r.posicao, r.classificacao) for r in rk] == [("BB", 1, "Médio")]
+
+
+def test_rank_within_matches_window_rank(spark):
+    from pyspark.sql import Window
+    data = [(f"g{i % 3}" if i % 17 else None, float((i * 7) % 5) if i % 13 else None, i) for i in range(200)]
+    df = spark.createDataFrame(data, "g string, v double, id int")
+    ours = rows(rank_within(df, ["g"], "v", "r"), "id", "r")
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
+    ref = rows(df.withColumn("r", F.rank().over(w)), "id", "r")
+    assert ours == ref
