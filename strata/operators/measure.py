@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import classify as classify_expr
 from strata.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
+from strata.session import checkpoint_root
 
 _AGGS = {
     "avg": F.avg,
@@ -82,6 +83,7 @@ def rank_all(df: DataFrame, order_col: str, out: str,
     # Checkpointed (reliably, persisted first so it is computed once) so the
     # size check, the ranking and the join back share one evaluation of the
     # input and nothing stays cached afterwards.
+    checkpoint_root(df.sparkSession)  # the session's folder; a local one only if unset
     keyed = df.withColumn("_rank_key", _rank_key(order_col, digits))
     keyed.persist()
     saved = keyed.checkpoint(eager=True)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.catalog import Layers, present
 from strata.plans import gold, silver
 from strata.plans.quality import Rule, evaluate, rules_for
+from strata.session import checkpoint_root
 
 
 class LayerTables(Mapping):
@@ -59,6 +60,7 @@ class LayerTables(Mapping):
             df = self._builders[key]()
             if self.materialize:
                 # persist first so the checkpoint write does not compute it again
+                checkpoint_root(self.spark)
                 df.persist(StorageLevel.MEMORY_AND_DISK)
                 saved = df.checkpoint(eager=True)
                 df.unpersist()
