@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from strata.functions import LEVELS, TARGETS
-from strata.oracle.views import VIEWS, with_views
+from strata.oracle.views import VIEWS, classify_sql, with_views
 
 # DOUBLE outputs are rounded to 6 places, as ``strata.catalog.present`` does.
 DOUBLE_COLUMNS = {
@@ -194,8 +194,7 @@ SQL: dict[str, str] = {
         ["silver_municipio", "metas_mun_max"]),
     "classify_rate": select(
         ["ano", "sigla_uf", "serie", "rede", "taxa_alfabetizacao", "classificacao"],
-        """SELECT *, CASE WHEN taxa_alfabetizacao >= 90 THEN 'Alto' WHEN taxa_alfabetizacao >= 75
-          THEN 'Médio' ELSE 'Requer atenção' END AS classificacao FROM silver_uf""", ["silver_uf"]),
+        f"SELECT *, {classify_sql('taxa_alfabetizacao')} AS classificacao FROM silver_uf", ["silver_uf"]),
     "top_share": select(
         ["ano", "sigla_uf", "serie", "rede", "proporcao_topo"],
         "SELECT *, proporcao_aluno_nivel_6 + proporcao_aluno_nivel_7 + proporcao_aluno_nivel_8 "

@@ -27,13 +27,30 @@ SESSION_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, tens of TB per run).
+# Many shuffle partitions up front and AQE coalescing them to ~256 MB keeps
+# every reduce task within executor memory at any volume; scan splits of
+# 256 MB keep the task count of a 100 TB scan around 400 k; a skewed
+# partition is split when it is 5x the median and over 512 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "strata",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_CONF.items():
+    for key, value in {**SESSION_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
