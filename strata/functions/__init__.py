@@ -58,11 +58,3 @@ def classify(c: str | Column, cuts=CLASS_CUTS, default=CLASS_DEFAULT) -> Column:
         cond = value >= F.lit(limit)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(default))
-
-
-def as_text(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
-def round6(c: str | Column) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)

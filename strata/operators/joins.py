@@ -33,9 +33,3 @@ def broadcast_if(df: DataFrame, source: DataFrame, max_rows: int = BROADCAST_MAX
     """Broadcast ``df`` when ``source`` - a table ``df`` is a projection, filter
     or DISTINCT of, so never has more rows - passes the size check."""
     return F.broadcast(df) if fits_broadcast(source, max_rows) else df
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint when the size check passes; otherwise leave the join to
-    the planner (sort-merge, or AQE's runtime broadcast if it turns out small)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -163,7 +163,3 @@ def classify(df: DataFrame, col: str, out: str, cuts=None, default=None) -> Data
     if default is not None:
         kwargs["default"] = default
     return df.withColumn(out, classify_expr(col, **kwargs))
-
-
-def gap(value: str, target: str) -> Column:
-    return F.col(value) - F.col(target)

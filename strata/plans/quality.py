@@ -25,10 +25,6 @@ from pyspark.sql import functions as F
 from strata.functions import LEVELS, VALID_STATES, any_null, col_sum
 
 ROW_KINDS = {"non_empty", "range", "nulls", "level_sum", "domain", "missing"}
-RESULT_COLUMNS = ["layer", "table_name", "rule", "kind", "severity", "violations", "total", "passed",
-                  "share_pct"]
-
-
 def _share_pct() -> Column:
     """Violations as a percentage of the total; NULL for an empty table."""
     return F.when(F.col("total") > 0, F.col("violations") * F.lit(100.0) / F.col("total")).alias("share_pct")

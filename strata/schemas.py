@@ -41,6 +41,3 @@ EVENT_METRICS = [
     "taxa_alfabetizacao", "media_portugues", "meta_2030", "percentual_atingido",
     "taxa_anterior", "taxa_revisada", "motivo_revisao",
 ]
-
-BRONZE_EVENT_COLUMNS = [f.name for f in EVENT_PAYLOAD.fields] + [
-    "pubsub_message_id", "ingestao_ts"]
