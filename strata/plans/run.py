@@ -1,8 +1,10 @@
 """Layer runner: build, write, count, gate.
 
 Tables are written as parquet under ``<root>/<layer>/<table>/run=<id>``: every
-run writes a fresh folder (a layer never overwrites the data it reads) and a
-one-line ``_current`` marker then points readers at it.  The row count comes
+run writes a fresh folder (a layer never overwrites the data it reads) and,
+once the data is committed, a marker ``_runs/<id>``; readers take the latest
+marked run.  Markers are only ever added, so a crash at any point leaves the
+previous version readable.  The row count comes
 with the write through ``DataFrame.observe`` (no second scan).  Independent
 tables of a layer are submitted from a small thread pool so their jobs share
 the cluster; a failed table is reported and stops the later layers.
@@ -27,8 +29,8 @@ log = logging.getLogger("strata")
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _marker(root: str, layer: str, name: str) -> str:
-    return f"{root}/{layer}/{name}/_current"
+def _markers(root: str, layer: str, name: str) -> str:
+    return f"{root}/{layer}/{name}/_runs"
 
 
 def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,
@@ -47,17 +49,20 @@ def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name:
         writer = writer.partitionBy(*s.partition_by)
     path = f"{root}/{layer}/{name}/run={run_id}"
     writer.parquet(path)
-    spark.range(1).select(F.lit(run_id).alias("run")).write.mode("overwrite").text(_marker(root, layer, name))
+    spark.range(1).select(F.lit(run_id).alias("run")).coalesce(1).write.mode("overwrite").text(
+        f"{_markers(root, layer, name)}/{run_id}")
     return int(obs.get["rows"])
 
 
 def table_path(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
-    """Folder of the current version, or None when the table was never written."""
+    """Folder of the latest committed version, or None when never written.
+
+    Run ids start with a UTC timestamp, so the greatest one is the latest."""
     try:
-        rows = spark.read.text(_marker(root, layer, name)).take(1)
-    except Exception:  # noqa: BLE001 - missing marker folder
+        latest = spark.read.text(_markers(root, layer, name) + "/*").agg(F.max("value")).first()[0]
+    except Exception:  # noqa: BLE001 - no marker folder yet
         return None
-    return f"{root}/{layer}/{name}/run={rows[0].value}" if rows else None
+    return f"{root}/{layer}/{name}/run={latest}" if latest else None
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame | None:
@@ -98,7 +103,9 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     ``events`` is an optional bronze event table (the stream's output).  With
     ``gate`` the quality results are written first and then enforced.
     """
-    run_id = time.strftime("%Y%m%d%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    now = time.time()
+    run_id = (time.strftime("%Y%m%dT%H%M%S", time.gmtime(now)) + f"{int(now * 1e6) % 1_000_000:06d}"
+              + "-" + uuid.uuid4().hex[:8])
     report: dict = {"run_id": run_id}
 
     def rd(layer, name):
