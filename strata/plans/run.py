@@ -40,6 +40,12 @@ def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name:
     obs = Observation(f"{layer}.{name}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     order = [*s.partition_by, *s.cluster_by]
+    # A source stored as one large row group arrives as one partition: spread
+    # it so sort and write use every core.  Never triggers on a split input
+    # (more partitions than cores), so large runs keep their no-shuffle path.
+    cores = spark.sparkContext.defaultParallelism
+    if order and out.rdd.getNumPartitions() < cores:
+        out = out.repartition(cores)
     if order:
         # Sort inside each task only: no shuffle, so a hot key cannot pile up
         # in one task; each task writes one file per year it holds.
