@@ -7,6 +7,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions import col_sum, normalise
 
@@ -37,7 +38,9 @@ def keep_latest(df: DataFrame, keys: list[str], order_col: str,
     shuffle, so a hot key is cut to one row per input partition map-side.
     """
     if tie_breaks is None:
-        tie_breaks = [c for c in df.columns if c not in set(keys) | {order_col}]
+        # Map columns have no ordering; every other column breaks ties.
+        tie_breaks = [f.name for f in df.schema.fields
+                      if f.name not in set(keys) | {order_col} and not isinstance(f.dataType, T.MapType)]
     order = [F.col(order_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tie_breaks]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

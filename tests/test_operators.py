@@ -167,3 +167,8 @@ def test_rank_within_matches_window_rank(spark):
     w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
     ref = rows(df.withColumn("r", F.rank().over(w)), "id", "r")
     assert ours == ref
+
+
+def test_keep_latest_skips_map_columns(spark):
+    df = spark.createDataFrame([("k", 1, {"a": 1}), ("k", 1, {"b": 2})], "k string, ts int, m map<string,int>")
+    assert keep_latest(df, ["k"], "ts").count() == 1

@@ -9,7 +9,8 @@ import __spark_entry__ as entry
 from tests.conftest import SMOKE
 
 NAMES = ["gold_state_ranking", "gold_state_year", "silver_state", "silver_events", "stack_scopes",
-         "decode_five_columns", "rank_all", "dq_all", "orphan_keys", "stream_dedup_melt"]
+         "decode_five_columns", "rank_all", "dq_all", "orphan_keys", "stream_dedup_melt",
+         "stream_silver_first_wins", "stream_quarantine"]
 
 
 def _norm(v):

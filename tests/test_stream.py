@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from strata.plans import silver
-from strata.streaming.ingest import ingest_events, read_bronze, read_quarantine
+from strata.streaming.ingest import ingest_events, read_bronze, read_quarantine, run_bounded
 
 
 def _write(folder, name, lines):
@@ -31,7 +31,7 @@ def test_intake_quarantine_and_restart(spark):
         _msg("3", "2024-01-01T10:00:03+00:00", '{"tipo": "a", "ano": '),
         "not json at all",
     ])
-    ingest_events(spark, landing, bronze_dir, bad_dir, ckpt).awaitTermination()
+    assert run_bounded(ingest_events(spark, landing, bronze_dir, bad_dir, ckpt), timeout_s=120)
     b = read_bronze(spark, bronze_dir).collect()
     assert [(r.pubsub_message_id, r.ano, r.taxa_alfabetizacao, r.media_portugues) for r in b] == [
         ("1", 2023, 80.5, None)]
