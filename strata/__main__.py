@@ -36,9 +36,10 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--max-files-per-trigger", type=int, default=None)
     i.add_argument("--timeout", type=float, default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--cluster", action="store_true", help="apply session.CLUSTER_CONF sizing")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master)
+    spark = build_session(args.master, cluster=args.cluster)
     if args.cmd == "run":
         from strata.plans.run import run
         from strata.sources import testviews as tv

@@ -144,7 +144,7 @@ BUILDS = {
         "ano", "sigla_uf", "nome_uf", "serie_codigo", "rede_codigo", "serie", "rede"),
     # ---- clean ----
     "require_not_null": lambda L: require(
-        L.bronze_meta_uf, not_null=["sigla_uf", "nome_uf", *silver._COMPLETE]).select(
+        L.bronze_meta_uf, not_null=["sigla_uf", "nome_uf", *silver.COMPLETE_TARGET_COLUMNS]).select(
         "ano", "sigla_uf", "nome_uf", "rede", "meta_alfabetizacao_2030"),
     "rate_in_range": lambda L: require(
         L.bronze_municipio, not_null=["taxa_alfabetizacao"],

@@ -47,16 +47,16 @@ TARGET_COLUMNS = [
     ("taxa_alfabetizacao", "double"), *[(t, "double") for t in TARGETS],
     ("percentual_participacao", "double"), ("nivel_alfabetizacao", "string"), ("escopo", "string"),
 ]
-_COMPLETE = ["rede", "taxa_alfabetizacao", *TARGETS, "percentual_participacao"]
+COMPLETE_TARGET_COLUMNS = ["rede", "taxa_alfabetizacao", *TARGETS, "percentual_participacao"]
 
 
 def metas_consolidadas(meta_brasil: DataFrame, meta_uf: DataFrame,
                        meta_municipio: DataFrame) -> DataFrame:
     """Country, state and municipality targets in one table; only complete rows."""
     parts = {
-        "brasil": require(meta_brasil, not_null=_COMPLETE),
-        "uf": require(meta_uf, not_null=["sigla_uf", "nome_uf", *_COMPLETE]),
-        "municipio": require(meta_municipio, not_null=["id_municipio", "nome_municipio", *_COMPLETE]),
+        "brasil": require(meta_brasil, not_null=COMPLETE_TARGET_COLUMNS),
+        "uf": require(meta_uf, not_null=["sigla_uf", "nome_uf", *COMPLETE_TARGET_COLUMNS]),
+        "municipio": require(meta_municipio, not_null=["id_municipio", "nome_municipio", *COMPLETE_TARGET_COLUMNS]),
     }
     return _processed(stack_scopes(parts, TARGET_COLUMNS))
 

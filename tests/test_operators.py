@@ -172,3 +172,8 @@ def test_rank_within_matches_window_rank(spark):
 def test_keep_latest_skips_map_columns(spark):
     df = spark.createDataFrame([("k", 1, {"a": 1}), ("k", 1, {"b": 2})], "k string, ts int, m map<string,int>")
     assert keep_latest(df, ["k"], "ts").count() == 1
+
+
+def test_present_pupils_only(spark):
+    df = spark.createDataFrame([(1, "Presente"), (2, "Ausente"), (3, None)], "id int, presenca string")
+    assert rows(require(df, equals={"presenca": "Presente"}), "id") == [(1,)]
