@@ -93,8 +93,8 @@ def rank_all(df: DataFrame, order_col: str, out: str,
     counts = keyed.groupBy("_rank_key").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(v.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     if fits_broadcast(counts, max_single):
-        ranks = counts.select(F.col("_rank_key").alias("_rk"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1)
-                              .cast("long").alias(out))
+        rank = (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("long")
+        ranks = counts.select(F.col("_rank_key").alias("_rk"), rank.alias(out))
         ranks = F.broadcast(ranks)
     else:
         # checkpoint() pins the range each value fell in (and cuts the lineage)
@@ -109,9 +109,9 @@ def rank_all(df: DataFrame, order_col: str, out: str,
             .alias("_offset"))
         local = Window.partitionBy("_part").orderBy(v.desc_nulls_last()).rowsBetween(
             Window.unboundedPreceding, -1)
+        rank = (F.col("_offset") + F.coalesce(F.sum("_n").over(local), F.lit(0)) + 1).cast("long")
         ranks = (ranged.join(F.broadcast(offsets), "_part")
-                 .select(F.col("_rank_key").alias("_rk"), (F.col("_offset") + F.coalesce(F.sum("_n").over(local), F.lit(0)) + 1)
-                         .cast("long").alias(out)))
+                 .select(F.col("_rank_key").alias("_rk"), rank.alias(out)))
     # NULL-safe equality: rows with a NULL value rank after all others.
     return (keyed.join(ranks, F.col("_rank_key").eqNullSafe(F.col("_rk")), "inner")
             .drop("_rank_key", "_rk"))
