@@ -21,9 +21,12 @@ def test_dimensions_are_broadcast(spark):
 
 
 def test_no_python_udf_in_any_query(spark):
-    for name in ["gold_state_ranking", "silver_events", "bronze_pupils", "gold_municipality"]:
-        p = plan(QUERIES[name](spark, SMOKE))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+    from strata.quality_catalog import QUALITY_QUERIES
+    for name, q in {**QUERIES, **QUALITY_QUERIES}.items():
+        p = plan(q(spark, SMOKE))
+        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                     "PythonUDF"):
+            assert node not in p, (name, node)
 
 
 def test_filters_reach_the_scan(spark):
