@@ -2,8 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 test tables.  ``present`` is the last step of every entry: it drops the
-run-time audit timestamps (not comparable between runs) and rounds DOUBLE
-columns to 6 places so that results compare across engines.
+run-time audit timestamps (not comparable between runs), rounds DOUBLE
+columns to 6 places and writes TIMESTAMP_NTZ columns as fixed-format text, so
+that results compare across engines.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from strata.plans import bronze, gold, silver
 from strata.sources import testviews as tv
 
 RUNTIME_COLUMNS = ("ingestao_ts", "silver_processado_ts")
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def present(df: DataFrame, drop=RUNTIME_COLUMNS) -> DataFrame:
@@ -34,6 +36,10 @@ def present(df: DataFrame, drop=RUNTIME_COLUMNS) -> DataFrame:
             cols.append(F.round(F.col(f.name), 6).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             cols.append(F.col(f.name).cast("long").alias(f.name))
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            # Wall-clock text: same in every engine and client, whatever the
+            # session time zone or the client's time unit.
+            cols.append(F.date_format(F.col(f.name), TS_TEXT).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

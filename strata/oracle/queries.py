@@ -16,11 +16,20 @@ DOUBLE_COLUMNS = {
     "taxa_revisada", "share_pct",
 }
 RUNTIME_COLUMNS = {"ingestao_ts", "silver_processado_ts"}
+# TIMESTAMP outputs are written as fixed-format text, as ``present`` does.
+TIMESTAMP_COLUMNS = {"evento_ts"}
+
+
+def _out(c: str) -> str:
+    if c in DOUBLE_COLUMNS:
+        return f"round({c}, 6) AS {c}"
+    if c in TIMESTAMP_COLUMNS:
+        return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}"
+    return c
 
 
 def select(cols: list[str], body: str, views: list[str]) -> str:
-    out = ", ".join(f"round({c}, 6) AS {c}" if c in DOUBLE_COLUMNS else c
-                    for c in cols if c not in RUNTIME_COLUMNS)
+    out = ", ".join(_out(c) for c in cols if c not in RUNTIME_COLUMNS)
     return f"{with_views(*views)}\nSELECT {out} FROM (\n{body}\n) AS q"
 
 
