@@ -1,6 +1,8 @@
 """Data-quality rules as data, evaluated as Spark jobs.
 
-A rule names a layer, a table and what to count.  ``evaluate`` turns a rule
+A rule names a layer, a table and what to count; rules are plain data (row
+filters are SQL text), so the same objects also generate the oracle SQL
+without a Spark session.  ``evaluate`` turns a rule
 list into one small result DataFrame
 (layer, table_name, rule, kind, severity, violations, total, passed):
 
@@ -110,13 +112,13 @@ def _single(df: DataFrame, rule: Rule, tables: dict) -> DataFrame:
         return both.select(*_one(F.when(bad, 1).otherwise(0), F.col("_b")))
     if rule.kind == "coverage":
         ref = tables[tuple(p["ref"])]
-        ref = ref.where(p["ref_filter"]) if p.get("ref_filter") is not None else ref
+        ref = ref.where(F.expr(p["ref_filter_sql"])) if p.get("ref_filter_sql") else ref
         mine = df.agg(F.count_distinct(p["key"]).alias("_a")).withColumn("_j", F.lit(1))
         theirs = ref.agg(F.count_distinct(p["ref_key"]).alias("_b")).withColumn("_j", F.lit(1))
         return mine.join(theirs, "_j").select(*_one(F.abs(F.col("_a") - F.col("_b")), F.col("_b")))
     if rule.kind == "references":
         ref = tables[tuple(p["ref"])]
-        ref = ref.where(p["ref_filter"]) if p.get("ref_filter") is not None else ref
+        ref = ref.where(F.expr(p["ref_filter_sql"])) if p.get("ref_filter_sql") else ref
         keys = ref.select(F.col(p["ref_key"]).alias("_ref_key")).distinct()
         left = F.col(p["key"]).cast("string") if p.get("cast") else F.col(p["key"])
         orphans = df.join(keys, left == F.col("_ref_key"), "left_anti")
@@ -248,18 +250,16 @@ def gold_rules() -> list[Rule]:
     rules = [Rule("non_empty", "gold", g) for g in GOLD_TABLES]
     rules.append(Rule("coverage", "gold", "ranking_estados", {
         "key": "sigla_uf", "ref": ("silver", "metas_consolidadas"), "ref_key": "sigla_uf",
-        "ref_filter": (F.col("escopo") == "uf") & F.col("sigla_uf").isNotNull(),
         "ref_filter_sql": "escopo = 'uf' AND sigla_uf IS NOT NULL"}))
     rules += [Rule("nulls", "gold", t, {"cols": cols}) for t, cols in GOLD_CRITICAL.items()]
     rules.append(Rule("missing", "gold", "perfil_desempenho_uf", {"col": "proporcao_topo"}))
     rules += [
         Rule("references", "gold", "indicador_por_uf_ano", {
             "key": "sigla_uf", "ref": ("silver", "metas_consolidadas"), "ref_key": "sigla_uf",
-            "ref_filter": F.col("escopo") == "uf", "ref_filter_sql": "escopo = 'uf'"}),
+            "ref_filter_sql": "escopo = 'uf'"}),
         Rule("references", "gold", "painel_municipios", {
             "key": "id_municipio", "cast": True, "ref": ("silver", "metas_consolidadas"),
-            "ref_key": "id_municipio", "ref_filter": F.col("escopo") == "municipio",
-            "ref_filter_sql": "escopo = 'municipio'"}),
+            "ref_key": "id_municipio", "ref_filter_sql": "escopo = 'municipio'"}),
         Rule("references", "gold", "ranking_estados", {
             "key": "sigla_uf", "ref": ("silver", "alfabetizacao_uf_clean"), "ref_key": "sigla_uf"}),
     ]

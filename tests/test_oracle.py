@@ -50,3 +50,13 @@ def test_entry_smoke(spark):
     assert df.columns == ["posicao", "sigla_uf", "nome_uf", "taxa_media", "meta_2030", "gap_meta",
                           "classificacao"]
     assert df.count() > 0
+
+
+def test_contract_needs_no_session():
+    """queries() and oracle_sql() are plain data: callable before any session exists."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as e; "
+            "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
+            "assert len(e.queries()) == len(e.oracle_sql()) == 60")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300)

@@ -83,9 +83,9 @@ def test_references_and_coverage(spark):
     metas = spark.createDataFrame([("uf", "SP"), ("municipio", "RJ")], "escopo string, sigla_uf string")
     rules = [
         Rule("references", "gold", "g", {"key": "sigla_uf", "ref": ("silver", "m"), "ref_key": "sigla_uf",
-                                         "ref_filter": F.col("escopo") == "uf"}),
+                                         "ref_filter_sql": "escopo = 'uf'"}),
         Rule("coverage", "gold", "g", {"key": "sigla_uf", "ref": ("silver", "m"), "ref_key": "sigla_uf",
-                                       "ref_filter": F.col("escopo") == "uf"}),
+                                       "ref_filter_sql": "escopo = 'uf'"}),
     ]
     res = {r.rule: r.violations for r in evaluate(
         spark, {("gold", "g"): gold, ("silver", "m"): metas}, rules).collect()}
