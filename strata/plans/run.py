@@ -60,6 +60,18 @@ def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name:
     return int(obs.get["rows"])
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: list[str],
+                  partition_by: tuple[str, ...] = ()) -> None:
+    """Save ``df`` as a catalog table at ``path`` (external), bucketed and sorted
+    on ``keys``.  Two such tables with the same bucket count join on ``keys``
+    bucket by bucket: neither side is shuffled at read time."""
+    writer = (df.write.mode("overwrite").format("parquet").option("path", path)
+              .bucketBy(buckets, *keys).sortBy(*keys))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+
+
 def table_path(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
     """Folder of the latest committed version, or None when never written.
 

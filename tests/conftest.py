@@ -14,7 +14,8 @@ SMOKE = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     spark = build_session("local[4]", app="strata-tests", shuffle_partitions=8,
-                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-test-ckpt-")})
+                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="strata-test-ckpt-"),
+                                 "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-test-wh-")})
     yield spark
     spark.stop()
 

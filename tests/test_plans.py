@@ -50,3 +50,20 @@ def test_written_table_prunes_partitions(spark, tmp_root):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano" in p and "(ano#" in p
     assert df.count() == L.src["alunos"].where(F.col("ano") == 1998).count()
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_root):
+    from strata.plans.run import save_bucketed
+    left = spark.range(2000).select((F.col("id") % 97).alias("id_municipio"), F.col("id").alias("v"))
+    right = spark.range(97).select(F.col("id").alias("id_municipio"), (F.col("id") * 2).alias("meta"))
+    save_bucketed(left, "strata_test_left", f"{tmp_root}/left", 8, ["id_municipio"])
+    save_bucketed(right, "strata_test_right", f"{tmp_root}/right", 8, ["id_municipio"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("strata_test_left").join(spark.table("strata_test_right"), "id_municipio")
+        p = plan(joined)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert joined.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
