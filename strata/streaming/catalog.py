@@ -18,7 +18,7 @@ from strata.plans import silver
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
 from strata.streaming.ingest import (ingest_events, read_bronze, read_quarantine,
-                                     stream_silver_events, BRONZE_SCHEMA)
+                                     start_silver_stream)
 from strata.streaming.landing import write_wave
 
 
@@ -32,11 +32,8 @@ def _intake(spark: SparkSession, sf_dir: str, silver_stream: bool = False) -> di
         ingest_events(spark, paths["landing"], paths["bronze"], paths["quarantine"],
                       paths["checkpoint"]).awaitTermination()
         if silver_stream:
-            stream = (spark.readStream.schema(BRONZE_SCHEMA).parquet(paths["bronze"])
-                      .select(*BRONZE_SCHEMA.fieldNames()))
-            (stream_silver_events(stream).writeStream.format("parquet")
-             .option("path", paths["silver"]).option("checkpointLocation", paths["silver_checkpoint"])
-             .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+            start_silver_stream(spark, paths["bronze"], paths["silver"],
+                                paths["silver_checkpoint"]).awaitTermination()
     return paths
 
 

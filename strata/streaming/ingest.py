@@ -156,3 +156,15 @@ def stream_silver_events(bronze_stream: DataFrame, delay: str = "10 minutes") ->
     ids = ["tipo", "evento_ts", "ano", "sigla_uf", "serie", "rede", "source",
            "pubsub_message_id", "ingestao_ts"]
     return melt_sparse(deduped.withColumnRenamed("timestamp", "evento_ts"), ids, EVENT_METRICS)
+
+
+def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint_dir: str,
+                        available_now: bool = True, delay: str = "10 minutes") -> StreamingQuery:
+    """Run ``stream_silver_events`` over the bronze folder as a file stream into
+    a parquet file sink (exactly-once through the sink's log and checkpoint)."""
+    bronze = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir).select(*BRONZE_SCHEMA.fieldNames())
+    writer = (stream_silver_events(bronze, delay).writeStream.format("parquet")
+              .option("path", silver_dir).option("checkpointLocation", checkpoint_dir).outputMode("append"))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -11,3 +11,21 @@ def test_cli_run_and_validate(spark, tmp_root, capsys):
     assert table_state(spark, tmp_root, "silver", "streaming_eventos_clean")[0]
     assert main(["validate", "--root", tmp_root, "--layer", "gold"]) == 0
     assert main(["validate", "--root", tmp_root, "--layer", "bronze"]) == 1
+
+
+def test_cli_ingest(spark, tmp_root):
+    import json
+    import os
+    landing = f"{tmp_root}/landing"
+    os.makedirs(landing)
+    payload = {"tipo": "atualizacao_meta", "timestamp": "2024-05-01T12:00:00+00:00", "ano": 2023,
+               "sigla_uf": "RJ", "meta_2030": 91.5}
+    with open(f"{landing}/m.json", "w", encoding="utf-8") as fh:
+        fh.write(json.dumps({"message_id": "m1", "publish_time": "2024-05-01T12:00:01+00:00",
+                             "data": json.dumps(payload)}) + "\n")
+    args = ["ingest", "--landing", landing, "--bronze", f"{tmp_root}/b", "--quarantine", f"{tmp_root}/q",
+            "--checkpoint", f"{tmp_root}/c", "--timeout", "120"]
+    assert main(args) == 0
+    from strata.streaming.ingest import read_bronze
+    rows = read_bronze(spark, f"{tmp_root}/b").collect()
+    assert [(r.pubsub_message_id, r.meta_2030) for r in rows] == [("m1", 91.5)]
