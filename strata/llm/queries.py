@@ -58,7 +58,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS words FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words FROM documents
 ), starts AS (
   SELECT doc_id, unnest(range(1, len(words) - 33)) AS i, words FROM w WHERE len(words) >= 35
 ), windows AS (
