@@ -1,8 +1,12 @@
 """Command line: ``python -m strata run|validate|ingest ...``.
 
-* ``run``: build bronze -> silver -> gold -> quality from the test-data views
-  of ``--source-dir`` into ``--root`` (``--skip-streaming`` leaves the event
-  table out; ``--no-gate`` reports failed checks without failing the run).
+* ``run``: build bronze -> silver -> gold -> quality into ``--root``, from
+  the nine sources as parquet folders under ``--sources`` (``--source
+  name=place`` moves one; a place is a folder or ``table:<catalog table>``), or
+  from the test-data views of ``--source-dir``.  ``--events`` is the bronze
+  folder that ``ingest`` writes; ``--skip-streaming`` leaves the event table
+  out, ``--skip-quality`` the rules; ``--no-gate`` reports failed checks
+  without failing the run.  A failed table or check gives exit code 1.
 * ``validate``: evaluate the quality rules of one layer (or all) over the
   tables already written under ``--root``; exit code 1 when a check failed.
 * ``ingest``: run the event intake over a landing folder until it is drained
@@ -22,7 +26,12 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="strata")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run")
-    r.add_argument("--source-dir", required=True)
+    r.add_argument("--source-dir")
+    r.add_argument("--sources")
+    r.add_argument("--source", action="append", default=[], metavar="NAME=PLACE")
+    r.add_argument("--events")
+    r.add_argument("--skip-quality", action="store_true")
+    r.add_argument("--keep-versions", type=int, default=None)
     r.add_argument("--root", required=True)
     r.add_argument("--layers", default="bronze,silver,gold,quality")
     r.add_argument("--skip-streaming", action="store_true")
@@ -41,11 +50,29 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(args.master, cluster=args.cluster)
     if args.cmd == "run":
-        from strata.plans.run import run
+        from strata.plans.quality import DataQualityError
+        from strata.plans.run import LayerError, run
+        from strata.sources import registered
         from strata.sources import testviews as tv
-        events = None if args.skip_streaming else tv.bronze_events_view(spark, args.source_dir)
-        report = run(spark, tv.sources(spark, args.source_dir), args.root,
-                     layers=tuple(args.layers.split(",")), events=events, gate=not args.no_gate)
+        from strata.streaming.ingest import read_bronze
+        if args.source_dir:
+            sources, events = tv.sources(spark, args.source_dir), tv.bronze_events_view(spark, args.source_dir)
+        else:
+            places = {n: f"{args.sources}/{n}" for n in registered.REQUIRED} if args.sources else {}
+            sources, events = registered.read_sources(spark, places | dict(x.split("=", 1) for x in args.source)), None
+        if args.events:
+            events = read_bronze(spark, args.events)
+        layers = [x for x in args.layers.split(",") if not (x == "quality" and args.skip_quality)]
+        try:
+            report = run(spark, sources, args.root, layers=tuple(layers), events=None if args.skip_streaming else events,
+                         gate=not args.no_gate, keep_versions=args.keep_versions)
+        except LayerError as e:
+            print(json.dumps(e.report, default=str, indent=1))
+            print(e, file=sys.stderr)
+            return 1
+        except DataQualityError as e:
+            print(e, file=sys.stderr)
+            return 1
         print(json.dumps(report, default=str, indent=1))
         return 0
     if args.cmd == "validate":

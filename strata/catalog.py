@@ -17,10 +17,13 @@ from pyspark.sql import types as T
 
 from strata.functions import BANDS, TOP_SHARE
 from strata.operators.clean import band_sums, keep_latest, normalise_code, require
+from strata.operators.combine import stack_scopes
 from strata.operators.enrich import decode_columns, lookup_name
 from strata.operators.measure import (classify, group_stats, join_targets, latest_period,
                                       max_target, rank_all, rank_within)
+from strata.operators.reshape import melt_sparse
 from strata.plans import bronze, gold, silver
+from strata.schemas import EVENT_METRICS
 from strata.sources import testviews as tv
 
 RUNTIME_COLUMNS = ("ingestao_ts", "silver_processado_ts")
@@ -123,7 +126,7 @@ _EVENT_VALID = dict(not_null=["tipo", "timestamp", "sigla_uf", "pubsub_message_i
 
 
 def _state_means(L: Layers, keys: list[str]) -> DataFrame:
-    return group_stats(L.silver_uf, keys, taxa_media=("avg", "taxa_alfabetizacao"))
+    return group_stats(L.silver_uf, keys, taxa_media=("mean", "taxa_alfabetizacao"))
 
 
 def _municipality_targets(L: Layers, keys: list[str], reached: str | None = None) -> DataFrame:
@@ -167,13 +170,16 @@ BUILDS = {
         require(L.bronze_events, **_EVENT_VALID), ["pubsub_message_id"], "ingestao_ts").select(
         "pubsub_message_id", "tipo", "sigla_uf", "taxa_alfabetizacao", "meta_2030",
         "taxa_anterior", "taxa_revisada", "motivo_revisao"),
-    "normalise_code": lambda L: normalise_code(
-        L.bronze_uf.where(F.col("nome_uf").isNotNull()), "sigla_uf", "sigla_uf_norm").select(
+    "normalise_code": lambda L: normalise_code(L.bronze_uf, "sigla_uf", "sigla_uf_norm").select(
         "sigla_uf", "sigla_uf_norm").distinct(),
     "level_bands": lambda L: L.silver_municipio.select("ano", "id_municipio", "serie", "rede", *BANDS),
     # ---- combine ----
-    "stack_scopes": lambda L: L.silver_metas,
-    "melt_event_metrics": lambda L: L.silver_events,
+    "stack_scopes": lambda L: stack_scopes(
+        {s: L.src[f"meta_{s}"] for s in ("brasil", "uf", "municipio")},
+        [("ano", "long"), ("sigla_uf", "string"), ("id_municipio", "string"), ("rede", "string"),
+         ("meta_alfabetizacao_2030", "double"), ("escopo", "string")]),
+    "melt_event_metrics": lambda L: melt_sparse(
+        tv.event_deliveries(L.spark, L.sf_dir), ["pubsub_message_id", "tipo", "delivery"], EVENT_METRICS),
     # ---- aggregate ----
     "group_avg_min_max": lambda L: group_stats(
         L.silver_uf, ["ano", "sigla_uf", "nome_uf", "serie"],
@@ -185,7 +191,8 @@ BUILDS = {
     "stddev_or_zero": lambda L: group_stats(
         L.silver_uf, ["ano", "sigla_uf", "serie"], desvio_padrao=("stddev0", "taxa_alfabetizacao")),
     "max_target": lambda L: L.metas_max("uf", "sigla_uf"),
-    "distinct_dimension": lambda L: L.src["dir_municipio"].select("id_municipio", "nome").distinct(),
+    "distinct_dimension": lambda L: tv.doubled(tv.table(L.spark, L.sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id_municipio"), F.col("s_name").alias("nome"))).distinct(),
     # ---- join ----
     "inner_targets": lambda L: join_targets(
         _state_means(L, ["sigla_uf", "ano"]), L.metas_max("uf", "sigla_uf"), "sigla_uf"),

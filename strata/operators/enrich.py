@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import BROADCAST_MAX_ROWS, broadcast_if
-
 
 def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str,
-                name_col: str, out_col: str, cast_key: bool = False,
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                name_col: str, out_col: str, cast_key: bool = False) -> DataFrame:
     """LEFT JOIN a DISTINCT (code, name) directory and add the name as ``out_col``.
 
     Repeated directory rows are collapsed by the DISTINCT; a code with two
     names keeps both and doubles the row, as a plain join does.  With
-    ``cast_key`` both sides are compared as text ('0012' does not match 12).
+    ``cast_key`` both sides are compared as text ('0012' does not match 12).  No
+    broadcast hint: the planner knows the directory's file size, AQE its size
+    at run time, and both broadcast it only within their byte thresholds.
     """
     tmp = f"_dir_{out_col}"
     names = directory.select(F.col(dir_key).alias(tmp), F.col(name_col).alias(out_col)).distinct()
@@ -24,13 +23,11 @@ def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str,
         left_key = F.col(key).cast("string")
     else:
         left_key = F.col(key)
-    names = broadcast_if(names, directory, max_rows)
     return df.join(names, left_key == names[tmp], "left").drop(tmp)
 
 
 def decode_columns(df: DataFrame, dictionary: DataFrame, table_id: str,
-                   columns: list[str], code_suffix: str = "_codigo",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   columns: list[str], code_suffix: str = "_codigo") -> DataFrame:
     """Decode coded columns with (id_tabela, nome_coluna, chave, valor) rows.
 
     Each column ``c`` is renamed to ``c + code_suffix`` and its label becomes
@@ -44,6 +41,5 @@ def decode_columns(df: DataFrame, dictionary: DataFrame, table_id: str,
         labels = (dictionary
                   .where((F.col("nome_coluna") == c) & (F.col("id_tabela") == table_id))
                   .select(F.col("chave").alias(key), F.col("valor").alias(c)))
-        labels = broadcast_if(labels, dictionary, max_rows)
         out = out.join(labels, F.col(c + code_suffix).cast("string") == labels[key], "left").drop(key)
     return out

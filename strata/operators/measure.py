@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import classify as classify_expr
-from strata.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast
-from strata.session import checkpoint_root
+from strata.session import scratch_dir
+
+def exact_mean(col) -> Column:
+    """Mean of validated rates from an exact decimal sum: it does not depend on
+    the order of addition, so equal means are equal values and tie in a rank."""
+    return F.sum(F.col(col).cast("decimal(30,12)")).cast("double") / F.count(col)
+
 
 _AGGS = {
     "avg": F.avg,
+    "mean": exact_mean,
     "min": F.min,
     "max": F.max,
     "count_distinct": F.count_distinct,
@@ -27,107 +33,73 @@ def group_stats(df: DataFrame, keys: list[str], **aggs: tuple[str, str]) -> Data
     """
     cols = []
     for out, (fn, col) in aggs.items():
-        expr = _AGGS[fn](F.col(col))
+        expr = _AGGS[fn](col)
         if fn == "count_distinct":
             expr = expr.cast("long")
         cols.append(expr.alias(out))
     return df.groupBy(*keys).agg(*cols)
 
 
-# Means are ranked on their value rounded to 9 places: equal means reached by
-# different summation orders (last-bit noise) then tie, as they should.
-RANK_DIGITS = 9
+def rank_within(df: DataFrame, by: list[str], order_col: str, out: str) -> DataFrame:
+    """RANK() OVER (PARTITION BY by ORDER BY order_col DESC) as one window.
 
-
-def _rank_key(order_col: str, digits: int | None) -> "Column":
-    c = F.col(order_col)
-    return F.round(c, digits) if digits is not None else c
+    For aggregated inputs, where a group is a handful of rows (states of a
+    year).  Raw rows, where one group may hold a third of all, go through
+    :func:`rank_split`.  NULL values rank last; ``by`` may be empty.
+    """
+    return df.withColumn(out, F.rank().over(
+        Window.partitionBy(*by).orderBy(F.col(order_col).desc_nulls_last())).cast("long"))
 
 
-def rank_within(df: DataFrame, by: list[str], order_col: str, out: str,
-                digits: int | None = RANK_DIGITS) -> DataFrame:
-    """RANK() OVER (PARTITION BY by ORDER BY order_col DESC): ties share a rank,
-    the next rank is skipped.
+def rank_split(df: DataFrame, by: list[str], order_col: str, out: str) -> DataFrame:
+    """The same ranks without a task that holds a whole group.
 
-    The rank of a row is 1 + the number of rows of its group with a larger
-    value, so the window runs over the distinct (group, value) pairs with
-    their counts (partial-aggregated before the shuffle): a hot group is
-    reduced to its distinct values before it reaches one task.  The ranks are
-    joined back (AQE broadcasts them when small).
+    The rank of a row is 1 + the rows of its group with a larger value.  The
+    distinct (group, value) pairs with their counts (partial aggregates) are
+    range-partitioned over group and value and written, so a group of any size
+    is spread over as many ranges as it needs; each range counts its rows, a
+    running sum over the ranges of a group gives offsets, a window per range
+    the rest, and the rank is joined back (skewed pairs are split by AQE).
     """
-    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits))
-    counts = keyed.groupBy(*by, "_rank_key").agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(*by).orderBy(F.col("_rank_key").desc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(
-        *[F.col(c).alias(f"_rb_{c}") for c in by], F.col("_rank_key").alias("_rk"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("long").alias(out))
-    cond = F.col("_rank_key").eqNullSafe(F.col("_rk"))
+    value = F.col(order_col)
+    counts = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counts.repartitionByRange(*by, value.desc_nulls_last()).withColumn("_part", F.spark_partition_id())
+    path = scratch_dir(df.sparkSession, "ranks")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    before = Window.unboundedPreceding
+    offsets = ranged.groupBy(*by, "_part").agg(F.sum("_n").alias("_size")).withColumn(
+        "_offset", F.coalesce(F.sum("_size").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(before, -1)), F.lit(0)))
+    local = Window.partitionBy(*by, "_part").orderBy(value.desc_nulls_last()).rowsBetween(before, -1)
+    inside = ranged.withColumn("_inside", F.coalesce(F.sum("_n").over(local), F.lit(0)))
+    left, right = inside.alias("l"), offsets.alias("r")
+    same = F.col("l._part") == F.col("r._part")
+    for c in by:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    ranks = left.join(right, same).select(
+        *[F.col(f"l.{c}").alias(f"_rb_{c}") for c in by], F.col(f"l.{order_col}").alias("_rk"),
+        (F.col("_offset") + F.col("_inside") + 1).cast("long").alias(out))
+    cond = value.eqNullSafe(F.col("_rk"))
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_rb_{c}"))
-    return (keyed.join(ranks, cond, "inner")
-            .drop("_rank_key", "_rk", *[f"_rb_{c}" for c in by]))
-
+    return df.join(ranks, cond, "inner").drop("_rk", *[f"_rb_{c}" for c in by])
 
-def rank_all(df: DataFrame, order_col: str, out: str,
-             max_single: int = BROADCAST_MAX_ROWS, digits: int | None = RANK_DIGITS) -> DataFrame:
-    """Global RANK() by ``order_col`` DESC without one partition holding all rows.
 
-    The rank of a value is 1 + the number of rows with a larger value, so only
-    the distinct values with their counts need ordering.  When they are few
-    (checked), one small window ranks them and a broadcast join brings the rank
-    back.  Otherwise the distinct values are range-partitioned, each range
-    counts its rows, a running sum over the (few) ranges gives each range's
-    offset, and a window inside each range adds the local part.
-    """
-    # Checkpointed (reliably, persisted first so it is computed once) so the
-    # size check, the ranking and the join back share one evaluation of the
-    # input and nothing stays cached afterwards.
-    checkpoint_root(df.sparkSession)  # the session's folder; a local one only if unset
-    keyed = df.withColumn("_rank_key", _rank_key(order_col, digits))
-    keyed.persist()
-    saved = keyed.checkpoint(eager=True)
-    keyed.unpersist()
-    keyed = saved
-    v = F.col("_rank_key")
-    counts = keyed.groupBy("_rank_key").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(v.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    if fits_broadcast(counts, max_single):
-        rank = (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("long")
-        ranks = counts.select(F.col("_rank_key").alias("_rk"), rank.alias(out))
-        ranks = F.broadcast(ranks)
-    else:
-        # checkpoint() pins the range each value fell in (and cuts the lineage)
-        # before the assignment is read twice below.
-        ranged = (counts.repartitionByRange(v.desc_nulls_last())
-                  .withColumn("_part", F.spark_partition_id())).checkpoint()
-        part_sizes = ranged.groupBy("_part").agg(F.sum("_n").alias("_part_n"))
-        offsets = part_sizes.select(
-            "_part",
-            F.coalesce(F.sum("_part_n").over(
-                Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-            .alias("_offset"))
-        local = Window.partitionBy("_part").orderBy(v.desc_nulls_last()).rowsBetween(
-            Window.unboundedPreceding, -1)
-        rank = (F.col("_offset") + F.coalesce(F.sum("_n").over(local), F.lit(0)) + 1).cast("long")
-        ranks = (ranged.join(F.broadcast(offsets), "_part")
-                 .select(F.col("_rank_key").alias("_rk"), rank.alias(out)))
-    # NULL-safe equality: rows with a NULL value rank after all others.
-    return (keyed.join(ranks, F.col("_rank_key").eqNullSafe(F.col("_rk")), "inner")
-            .drop("_rank_key", "_rk"))
+def rank_all(df: DataFrame, order_col: str, out: str) -> DataFrame:
+    """Global RANK() by ``order_col`` DESC; no partition holds all rows."""
+    return rank_split(df, [], order_col, out)
 
 
 def latest_period(df: DataFrame, key: str, period: str) -> DataFrame:
-    """Rows of each key's own latest period: join with MAX(period) per key.
+    """Rows of each key's own latest period (rows without key or period have none).
 
-    The per-key maxima are one row per key (pre-aggregated map-side, so a hot
-    key costs nothing extra).  No broadcast hint: AQE turns the join into a
-    broadcast join from the measured size of that aggregate when it is small,
-    and keeps the sort-merge join (skew split on) when it is not.
+    RANK() = 1 by descending period, in one scan: the limit on the rank is
+    planned before the exchange as well, so a key leaves each map task with
+    the rows of its latest period there only.
     """
-    latest = df.groupBy(key).agg(F.max(period).alias("_max_period")).withColumnRenamed(key, "_lk")
-    return (df.join(latest, (F.col(key) == F.col("_lk")) & (F.col(period) == F.col("_max_period")), "inner")
-            .drop("_lk", "_max_period"))
+    newest = F.rank().over(Window.partitionBy(key).orderBy(F.col(period).desc_nulls_last()))
+    return (df.where(F.col(key).isNotNull() & F.col(period).isNotNull())
+            .withColumn("_newest", newest).where(F.col("_newest") == 1).drop("_newest"))
 
 
 def max_target(targets: DataFrame, scope: str, key: str,

@@ -6,6 +6,7 @@ from strata.oracle.views import with_views
 from strata.plans.quality import Rule
 
 CTE = {
+    ("source", "dicionario"): "dicionario",
     ("bronze", "alfabetizacao_uf"): "bronze_uf",
     ("bronze", "meta_brasil"): "bronze_meta_brasil",
     ("bronze", "meta_uf"): "bronze_meta_uf",
@@ -50,7 +51,7 @@ def _counts(rule: Rule) -> tuple[str, list[str]]:
         return f"SELECT count(*) FILTER (WHERE {p['col']} IS NULL) AS v, count(*) AS t FROM {t}", [t]
     if rule.kind == "duplicates":
         keys = ", ".join(p["keys"])
-        return (f"SELECT count(*) FILTER (WHERE cnt > 1) AS v, count(*) AS t FROM "
+        return (f"SELECT count(*) FILTER (WHERE cnt > 1) AS v, coalesce(sum(cnt), 0) AS t FROM "
                 f"(SELECT {keys}, count(*) AS cnt FROM {t} GROUP BY {keys})", [t])
     if rule.kind == "row_ratio":
         o = CTE[tuple(p["other"])]

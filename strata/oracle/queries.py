@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from strata.functions import LEVELS, TARGETS
-from strata.oracle.views import VIEWS, classify_sql, with_views
+from strata.oracle.views import _METRICS, VIEWS, classify_sql, with_views
 
 # DOUBLE outputs are rounded to 6 places, as ``strata.catalog.present`` does.
 DOUBLE_COLUMNS = {
@@ -78,10 +78,11 @@ _COMPLETE = ("rede IS NOT NULL AND taxa_alfabetizacao IS NOT NULL AND "
 
 
 def _mun_targets(keys: list[str], extra: str = "") -> str:
-    k = ", ".join(keys)
-    return (f"SELECT b.*, m.meta_2030, b.taxa_media - m.meta_2030 AS gap_meta{extra} FROM "
-            f"(SELECT {k}, avg(taxa_alfabetizacao) AS taxa_media FROM silver_municipio GROUP BY {k}) b "
-            f"JOIN metas_mun_max m ON CAST(b.id_municipio AS VARCHAR) = m.id_municipio")
+    """Means by ``keys`` beside their place's target; places without one drop out."""
+    return (f"SELECT t.*, taxa_media - meta_2030 AS gap_meta{extra} FROM (SELECT {', '.join(keys)}, "
+            "sum(taxa_alfabetizacao) / count(taxa_alfabetizacao) AS taxa_media, "
+            "(SELECT meta_2030 FROM metas_mun_max g WHERE g.id_municipio = s.id_municipio::VARCHAR) AS meta_2030 "
+            "FROM silver_municipio s SEMI JOIN metas_mun_max g ON s.id_municipio::VARCHAR = g.id_municipio GROUP BY ALL) t")
 
 
 SQL: dict[str, str] = {
@@ -137,14 +138,22 @@ SQL: dict[str, str] = {
         "SELECT * FROM events_latest", ["events_latest"]),
     "normalise_code": select(
         ["sigla_uf", "sigla_uf_norm"],
-        "SELECT DISTINCT sigla_uf, upper(trim(sigla_uf)) AS sigla_uf_norm FROM bronze_uf "
-        "WHERE nome_uf IS NOT NULL", ["bronze_uf"]),
+        "SELECT DISTINCT sigla_uf, upper(trim(sigla_uf)) AS sigla_uf_norm FROM bronze_uf", ["bronze_uf"]),
     "level_bands": select(
         ["ano", "id_municipio", "serie", "rede", *BANDS], "SELECT * FROM silver_municipio",
         ["silver_municipio"]),
     # ---- combine ----
-    "stack_scopes": select(S_METAS, "SELECT * FROM silver_metas", ["silver_metas"]),
-    "melt_event_metrics": select(S_EVENTS, "SELECT * FROM silver_events", ["silver_events"]),
+    "stack_scopes": select(
+        ["ano", "sigla_uf", "id_municipio", "rede", "meta_alfabetizacao_2030", "escopo"],
+        """SELECT ano, NULL AS sigla_uf, NULL AS id_municipio, rede, meta_alfabetizacao_2030, 'brasil' AS escopo FROM src_meta_brasil
+        UNION ALL SELECT ano, sigla_uf, NULL, rede, meta_alfabetizacao_2030, 'uf' FROM src_meta_uf
+        UNION ALL SELECT ano, NULL, id_municipio::VARCHAR, rede, meta_alfabetizacao_2030, 'municipio' FROM src_meta_municipio""",
+        ["src_meta_brasil", "src_meta_uf", "src_meta_municipio"]),
+    "melt_event_metrics": select(
+        ["pubsub_message_id", "tipo", "delivery", "metrica", "valor"],
+        """SELECT pubsub_message_id, tipo, CAST(delivery AS BIGINT) AS delivery, k.metrica, k.valor FROM (SELECT *, unnest(["""
+        + ", ".join(f"{{'metrica': '{m}', 'valor': {m}::VARCHAR}}" for m in _METRICS)
+        + """]) AS k FROM event_deliveries) WHERE k.valor IS NOT NULL""", ["event_deliveries"]),
     # ---- aggregate ----
     "group_avg_min_max": select(
         ["ano", "sigla_uf", "nome_uf", "serie", "taxa_media", "taxa_min_rede", "taxa_max_rede"],
@@ -161,7 +170,7 @@ SQL: dict[str, str] = {
         FROM silver_uf GROUP BY ano, sigla_uf, serie""", ["silver_uf"]),
     "max_target": select(["sigla_uf", "meta_2030"], "SELECT * FROM metas_uf_max", ["metas_uf_max"]),
     "distinct_dimension": select(
-        ["id_municipio", "nome"], "SELECT DISTINCT id_municipio, nome FROM dir_municipio",
+        ["id_municipio", "nome"], "SELECT s_suppkey::VARCHAR AS id_municipio, any_value(s_name) AS nome FROM supplier GROUP BY ALL",
         ["dir_municipio"]),
     # ---- join ----
     "inner_targets": select(
@@ -175,8 +184,7 @@ SQL: dict[str, str] = {
         _mun_targets(["id_municipio", "serie"]), ["silver_municipio", "metas_mun_max"]),
     "latest_period": select(
         ["sigla_uf", "ano", "serie", "rede", "taxa_alfabetizacao"],
-        """SELECT u.* FROM silver_uf u JOIN (SELECT sigla_uf, max(ano) AS max_ano FROM silver_uf
-          GROUP BY sigla_uf) a ON u.sigla_uf = a.sigla_uf AND u.ano = a.max_ano""", ["silver_uf"]),
+        "SELECT r.* FROM state_last_year", ["state_last_year"]),
     "orphan_keys": select(
         ["ano", "sigla_uf", "serie", "rede"],
         """SELECT u.* FROM silver_uf u LEFT JOIN (SELECT DISTINCT sigla_uf FROM silver_metas
@@ -185,13 +193,12 @@ SQL: dict[str, str] = {
     # ---- window ----
     "rank_within_year": select(
         ["ano", "serie", "sigla_uf", "nome_uf", "taxa_media", "ranking_nacional"],
-        """SELECT *, rank() OVER (PARTITION BY ano, serie ORDER BY round(taxa_media, 9) DESC NULLS LAST) AS ranking_nacional
-        FROM (SELECT ano, serie, sigla_uf, nome_uf, avg(taxa_alfabetizacao) AS taxa_media
-              FROM silver_uf GROUP BY ano, serie, sigla_uf, nome_uf)""", ["silver_uf"]),
+        "SELECT *, rank() OVER (PARTITION BY ano, serie ORDER BY taxa_media DESC) AS ranking_nacional FROM state_means",
+        ["state_means"]),
     "rank_all": select(
         ["sigla_uf", "taxa_media", "posicao"],
-        """SELECT *, rank() OVER (ORDER BY round(taxa_media, 9) DESC NULLS LAST) AS posicao
-        FROM (SELECT sigla_uf, avg(taxa_alfabetizacao) AS taxa_media FROM silver_uf GROUP BY sigla_uf)""",
+        """SELECT *, rank() OVER (ORDER BY taxa_media DESC NULLS LAST) AS posicao
+        FROM (SELECT sigla_uf, sum(taxa_alfabetizacao::DECIMAL(30, 12))::DOUBLE / count(*) AS taxa_media FROM silver_uf GROUP BY sigla_uf)""",
         ["silver_uf"]),
     # ---- scalar ----
     "target_gap": select(
@@ -199,7 +206,7 @@ SQL: dict[str, str] = {
         ["silver_municipio", "metas_mun_max"]),
     "target_reached": select(
         ["id_municipio", "ano", "atingiu_meta"],
-        _mun_targets(["id_municipio", "ano"], ", b.taxa_media >= m.meta_2030 AS atingiu_meta"),
+        _mun_targets(["id_municipio", "ano"], ", NOT taxa_media < meta_2030 AS atingiu_meta"),
         ["silver_municipio", "metas_mun_max"]),
     "classify_rate": select(
         ["ano", "sigla_uf", "serie", "rede", "taxa_alfabetizacao", "classificacao"],

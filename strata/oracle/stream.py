@@ -22,19 +22,30 @@ def _melted(source: str) -> str:
             f"FROM (SELECT *, unnest([{_MELT}]) AS _m FROM ({source})) WHERE _m.valor IS NOT NULL")
 
 
+_BRONZE = select(
+    [*_PAYLOAD, "pubsub_message_id", "evento_us", "ingestao_us"],
+    "SELECT *, epoch_us(timestamp) AS evento_us, epoch_us(ingestao_ts) AS ingestao_us "
+    "FROM event_deliveries WHERE NOT malformed", ["event_deliveries"])
+_LATEST = select(_SILVER_COLS, _melted("SELECT * FROM landed_latest"), ["landed_latest"])
+
 STREAM_SQL = {
-    "stream_ingest": select(
-        [*_PAYLOAD, "pubsub_message_id", "evento_us", "ingestao_us"],
-        "SELECT *, epoch_us(timestamp) AS evento_us, epoch_us(ingestao_ts) AS ingestao_us "
-        "FROM event_deliveries WHERE NOT malformed", ["event_deliveries"]),
+    "stream_ingest": _BRONZE,
+    "stream_two_intakes": _BRONZE,
     "stream_quarantine": select(
-        ["pubsub_message_id", "ingestao_us"],
-        "SELECT pubsub_message_id, epoch_us(ingestao_ts) AS ingestao_us FROM event_deliveries "
-        "WHERE malformed", ["event_deliveries"]),
-    "stream_dedup_melt": select(_SILVER_COLS, _melted("SELECT * FROM events_latest"), ["events_latest"]),
+        ["pubsub_message_id", "ingestao_us", "raw"],
+        "SELECT pubsub_message_id, epoch_us(ingestao_ts) AS ingestao_us, "
+        "'{\"tipo\": \"' || coalesce(tipo, '') || '\", \"ano\": ' || "
+        "CASE WHEN CAST(pubsub_message_id AS BIGINT) % 2 = 0 THEN '' ELSE '\"x\"}' END AS raw "
+        "FROM event_deliveries WHERE malformed", ["event_deliveries"]),
+    "stream_dedup_melt": _LATEST,
+    "stream_late_events": _LATEST,
     "stream_silver_first_wins": select(
         _SILVER_COLS,
         _melted(_latest("event_deliveries", ["pubsub_message_id"], "delivery", [], f"NOT malformed AND {_VALID}")
                 .replace("delivery DESC NULLS LAST", "delivery ASC")),
         ["event_deliveries"]),
+    "stream_batches": select(
+        ["batch_id", "n_rows"],
+        "SELECT CAST(delivery AS BIGINT) AS batch_id, count(*) AS n_rows FROM event_deliveries WHERE NOT malformed GROUP BY delivery",
+        ["event_deliveries"]),
 }

@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame
 from strata.functions import BANDS, LEVELS, TOP_SHARE
 from strata.operators.clean import band_sums
 from strata.operators.measure import (classify, group_stats, join_targets, latest_period,
-                                      max_target, rank_all, rank_within)
+                                      max_target, rank_within)
 
 
 def indicador_por_uf_ano(silver_uf: DataFrame, metas: DataFrame) -> DataFrame:
     """Per state, year and grade; ranked per (year, grade) BEFORE places without
     a target are dropped, so ranks may have gaps."""
     base = group_stats(silver_uf, ["ano", "sigla_uf", "nome_uf", "serie"],
-                       taxa_media=("avg", "taxa_alfabetizacao"),
+                       taxa_media=("mean", "taxa_alfabetizacao"),
                        taxa_min_rede=("min", "taxa_alfabetizacao"),
                        taxa_max_rede=("max", "taxa_alfabetizacao"),
                        media_portugues=("avg", "media_portugues"),
@@ -36,10 +36,11 @@ def evolucao_temporal_brasil(silver_uf: DataFrame) -> DataFrame:
 def ranking_estados(silver_uf: DataFrame, metas: DataFrame) -> DataFrame:
     """Each state's own latest year, mean rate, joined with its target, THEN
     ranked (no gaps from places without a target) and classified."""
-    latest = latest_period(silver_uf, "sigla_uf", "ano")
-    base = group_stats(latest, ["sigla_uf", "nome_uf"], taxa_media=("avg", "taxa_alfabetizacao"))
+    # One scan: the latest year is picked among the (few) state and year means.
+    means = group_stats(silver_uf, ["sigla_uf", "nome_uf", "ano"], taxa_media=("mean", "taxa_alfabetizacao"))
+    base = latest_period(means, "sigla_uf", "ano").drop("ano")
     joined = join_targets(base, max_target(metas, "uf", "sigla_uf"), "sigla_uf")
-    ranked = rank_all(joined, "taxa_media", "posicao")
+    ranked = rank_within(joined, [], "taxa_media", "posicao")
     out = classify(ranked, "taxa_media", "classificacao")
     return out.select("posicao", "sigla_uf", "nome_uf", "taxa_media", "meta_2030", "gap_meta",
                       "classificacao").orderBy("posicao")

@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.plans.registry import SPECS
 from strata.functions import LEVELS, VALID_STATES, any_null, col_sum
 
 ROW_KINDS = {"non_empty", "range", "nulls", "level_sum", "domain", "missing"}
@@ -100,34 +101,35 @@ def _single(df: DataFrame, rule: Rule, tables: dict) -> DataFrame:
     p = rule.params
     if rule.kind == "duplicates":
         groups = df.groupBy(*p["keys"]).agg(F.count(F.lit(1)).alias("_cnt"))
-        return groups.agg(*_one(F.count_if(F.col("_cnt") > 1), F.count(F.lit(1))))
+        return groups.agg(*_one(F.count_if(F.col("_cnt") > 1), F.coalesce(F.sum("_cnt"), F.lit(0))))
     if rule.kind == "row_ratio":
-        other = tables.get(tuple(p["other"]))
-        mine = df.agg(F.count(F.lit(1)).alias("_a")).withColumn("_j", F.lit(1))
-        if other is None:
-            return mine.select(*_one(F.lit(0), F.lit(0)))
-        theirs = other.agg(F.count(F.lit(1)).alias("_b")).withColumn("_j", F.lit(1))
-        both = mine.join(theirs, "_j")
-        bad = (F.col("_a") > 0) & (F.col("_b") > 0) & (F.col("_a") > F.col("_b"))
-        return both.select(*_one(F.when(bad, 1).otherwise(0), F.col("_b")))
+        # Both counts in one aggregate over the stacked tables.
+        sides = _side(df.select(F.lit(None).cast("string")), 0).union(
+            _side(tables[tuple(p["other"])].select(F.lit(None).cast("string")), 1))
+        mine, theirs = F.count_if(F.col("_side") == 0), F.count_if(F.col("_side") == 1)
+        bad = (mine > 0) & (theirs > 0) & (mine > theirs)
+        return sides.agg(*_one(F.when(bad, 1).otherwise(0), theirs))
     if rule.kind == "coverage":
         ref = tables[tuple(p["ref"])]
         ref = ref.where(F.expr(p["ref_filter_sql"])) if p.get("ref_filter_sql") else ref
-        mine = df.agg(F.count_distinct(p["key"]).alias("_a")).withColumn("_j", F.lit(1))
-        theirs = ref.agg(F.count_distinct(p["ref_key"]).alias("_b")).withColumn("_j", F.lit(1))
-        return mine.join(theirs, "_j").select(*_one(F.abs(F.col("_a") - F.col("_b")), F.col("_b")))
+        sides = _side(df.select(F.col(p["key"]).cast("string")), 0).union(_side(ref.select(F.col(p["ref_key"]).cast("string")), 1))
+        keys = sides.where("_key IS NOT NULL").distinct()
+        mine, theirs = F.count_if(F.col("_side") == 0), F.count_if(F.col("_side") == 1)
+        return keys.agg(*_one(F.abs(mine - theirs), theirs))
     if rule.kind == "references":
         ref = tables[tuple(p["ref"])]
         ref = ref.where(F.expr(p["ref_filter_sql"])) if p.get("ref_filter_sql") else ref
-        keys = ref.select(F.col(p["ref_key"]).alias("_ref_key")).distinct()
+        keys = ref.select(F.col(p["ref_key"]).alias("_ref_key")).distinct().withColumn("_hit", F.lit(True))
         left = F.col(p["key"]).cast("string") if p.get("cast") else F.col(p["key"])
-        orphans = df.join(keys, left == F.col("_ref_key"), "left_anti")
-        return (orphans.agg(F.count(F.lit(1)).alias("_o")).withColumn("_j", F.lit(1))
-                .join(df.agg(F.count(F.lit(1)).alias("_t")).withColumn("_j", F.lit(1)), "_j")
-                .select(*_one(F.col("_o"), F.col("_t"))))
+        return df.join(keys, left == F.col("_ref_key"), "left").agg(
+            *_one(F.count_if(F.col("_hit").isNull()), F.count(F.lit(1))))
     raise ValueError(rule.kind)
 
 
+def _side(keys: DataFrame, side: int) -> DataFrame:
+    return keys.toDF("_key").withColumn("_side", F.lit(side))
+
+
 def _tag(frame: DataFrame, rule: Rule) -> DataFrame:
     return frame.select(
         F.lit(rule.layer).alias("layer"), F.lit(rule.table).alias("table_name"),
@@ -154,7 +156,7 @@ def evaluate(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
         if r.kind in ROW_KINDS:
             by_table.setdefault(key, []).append(r)
         else:
-            needed = [tuple(r.params[k]) for k in ("ref",) if k in r.params]
+            needed = [tuple(r.params[k]) for k in ("ref", "other") if k in r.params]
             if all(n in tables for n in needed):
                 parts.append(_tag(_single(tables[key], r, tables), r))
     for (layer, table), row_rules in by_table.items():
@@ -193,13 +195,10 @@ def enforce(results: DataFrame) -> None:
 
 # ---- the rule set of the three layers ------------------------------------
 
-BRONZE_TABLES = ["alfabetizacao_uf", "meta_brasil", "meta_uf", "meta_municipio",
-                 "alfabetizacao_municipio", "alunos"]
-SILVER_TABLES = ["alfabetizacao_uf_clean", "metas_consolidadas", "alfabetizacao_municipio_clean",
-                 "alunos_clean"]
-GOLD_TABLES = ["indicador_por_uf_ano", "evolucao_temporal_brasil", "ranking_estados",
-               "perfil_desempenho_uf", "painel_municipios"]
+BATCH = [(layer, name) for layer, name in SPECS if not name.startswith("streaming_")]
+BRONZE_TABLES, SILVER_TABLES, GOLD_TABLES = ([n for lay, n in BATCH if lay == layer] for layer in ("bronze", "silver", "gold"))
 
+# The columns that must be filled in each table.
 SILVER_CRITICAL = {
     "alfabetizacao_uf_clean": ["ano", "sigla_uf", "nome_uf", "serie", "rede", "taxa_alfabetizacao"],
     "metas_consolidadas": ["ano", "rede", "taxa_alfabetizacao", "meta_alfabetizacao_2030",
@@ -226,6 +225,8 @@ def bronze_rules() -> list[Rule]:
         Rule("duplicates", "bronze", t, {"keys": ["ano", "sigla_uf", "serie", "rede"]}),
         Rule("range", "bronze", t, {"col": "taxa_alfabetizacao", "lo": 0, "hi": 100}),
         Rule("domain", "bronze", t, {"col": "sigla_uf", "domain": VALID_STATES}),
+        # A code listed twice would double the rows it decodes.
+        Rule("duplicates", "source", "dicionario", {"keys": ["id_tabela", "nome_coluna", "chave"]}),
     ])
 
 

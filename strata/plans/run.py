@@ -2,12 +2,13 @@
 
 Tables are written as parquet under ``<root>/<layer>/<table>/run=<id>``: every
 run writes a fresh folder (a layer never overwrites the data it reads) and,
-once the data is committed, a marker ``_runs/<id>``; readers take the latest
-marked run.  Markers are only ever added, so a crash at any point leaves the
-previous version readable.  The row count comes
-with the write through ``DataFrame.observe`` (no second scan).  Independent
-tables of a layer are submitted from a small thread pool so their jobs share
-the cluster; a failed table is reported and stops the later layers.
+once the data is committed, an empty marker ``_runs/<id>``; readers list the
+markers and take the latest.  A crash at any point leaves the previous version
+readable.  The row count comes with the write through ``DataFrame.observe`` (no
+second scan).  Independent tables of a layer are submitted from a small thread
+pool so their jobs share the cluster.  A failed table ends the run with
+:class:`LayerError`; with the gate on, each layer's rules are enforced before
+the next layer is built from it.
 """
 
 from __future__ import annotations
@@ -15,51 +16,73 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.plans import bronze, gold, silver
 from strata.plans.quality import enforce, evaluate, rules_for
-from strata.plans.registry import spec
+from strata.plans.registry import SPECS, spec
+from strata.session import hadoop_path
 
 log = logging.getLogger("strata")
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+class LayerError(RuntimeError):
+    """A table could not be built or written; ``report`` holds what was done."""
+
+    def __init__(self, layer: str, report: dict):
+        failed = {n: r["error"] for n, r in report[layer].items() if "error" in r}
+        super().__init__(f"{layer}: " + "; ".join(f"{n}: {e}" for n, e in failed.items()))
+        self.report = report
+
+
 def _markers(root: str, layer: str, name: str) -> str:
     return f"{root}/{layer}/{name}/_runs"
 
 
+def clustered(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``.
+
+    Each file then holds a narrow range (min/max statistics skip the others)
+    and a partition value is in few files.  A hash of the row comes last in
+    the range key, so one hot value is split over several files.
+    """
+    whole = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    return df.repartitionByRange(*[F.col(c) for c in order], whole).sortWithinPartitions(*order)
+
+
 def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,
                 run_id: str) -> int:
     """Write ``df`` as the new version of ``layer.name`` and return its row count."""
     s = spec(layer, name)
-    obs = Observation(f"{layer}.{name}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     order = [*s.partition_by, *s.cluster_by]
-    # A source stored as one large row group arrives as one partition: spread
-    # it so sort and write use every core.  Never triggers on a split input
-    # (more partitions than cores), so large runs keep their no-shuffle path.
-    cores = spark.sparkContext.defaultParallelism
-    if order and out.rdd.getNumPartitions() < cores:
-        out = out.repartition(cores)
-    if order:
-        # Sort inside each task only: no shuffle, so a hot key cannot pile up
-        # in one task; each task writes one file per year it holds.
-        out = out.sortWithinPartitions(*order)
+    obs = Observation(f"{layer}.{name}")
+    out = (clustered(df, order) if order else df).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if s.partition_by:
         writer = writer.partitionBy(*s.partition_by)
-    path = f"{root}/{layer}/{name}/run={run_id}"
-    writer.parquet(path)
-    spark.range(1).select(F.lit(run_id).alias("run")).coalesce(1).write.mode("overwrite").text(
-        f"{_markers(root, layer, name)}/{run_id}")
+    writer.parquet(f"{root}/{layer}/{name}/run={run_id}")
+    fs, marker = hadoop_path(spark, f"{_markers(root, layer, name)}/{run_id}")
+    fs.create(marker).close()
     return int(obs.get["rows"])
 
 
+def expire(spark: SparkSession, root: str, layer: str, name: str, keep: int) -> list[str]:
+    """Delete all but the last ``keep`` committed versions (marker first); returns the ids that went."""
+    old = versions(spark, root, layer, name)[:-keep] if keep > 0 else []
+    for run_id in old:
+        for path in (f"{_markers(root, layer, name)}/{run_id}", f"{root}/{layer}/{name}/run={run_id}"):
+            fs, where = hadoop_path(spark, path)
+            fs.delete(where, True)
+    return old
+
+
 def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: list[str],
                   partition_by: tuple[str, ...] = ()) -> None:
     """Save ``df`` as a catalog table at ``path`` (external), bucketed and sorted
@@ -72,15 +95,21 @@ def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: list
     writer.saveAsTable(table)
 
 
-def table_path(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
-    """Folder of the latest committed version, or None when never written.
+def versions(spark: SparkSession, root: str, layer: str, name: str) -> list[str]:
+    """Ids of the committed versions, oldest first (ids start with a UTC timestamp); none when never written.
 
-    Run ids start with a UTC timestamp, so the greatest one is the latest."""
-    try:
-        latest = spark.read.text(_markers(root, layer, name) + "/*").agg(F.max("value")).first()[0]
-    except Exception:  # noqa: BLE001 - no marker folder yet
-        return None
-    return f"{root}/{layer}/{name}/run={latest}" if latest else None
+    Only a missing folder means "never written"; any other read error is raised.
+    """
+    fs, folder = hadoop_path(spark, _markers(root, layer, name))
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+
+
+def table_path(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
+    """Folder of the latest committed version, or None when never written."""
+    known = versions(spark, root, layer, name)
+    return f"{root}/{layer}/{name}/run={known[-1]}" if known else None
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame | None:
@@ -102,7 +131,7 @@ def _write_layer(spark, root, layer, builders: dict, run_id, threads) -> dict:
         try:
             rows = write_table(spark, builders[name](), root, layer, name, run_id)
             return name, {"rows": rows, "seconds": round(time.time() - t0, 3)}
-        except Exception as e:  # noqa: BLE001 - isolate one table's failure
+        except Exception as e:  # noqa: BLE001 - the other tables finish, then the run fails
             log.error("%s.%s failed: %s", layer, name, e)
             return name, {"error": f"{type(e).__name__}: {e}"}
 
@@ -112,33 +141,58 @@ def _write_layer(spark, root, layer, builders: dict, run_id, threads) -> dict:
     return results
 
 
-def run(spark: SparkSession, sources: dict[str, DataFrame], root: str,
+def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
         layers=("bronze", "silver", "gold", "quality"), events: DataFrame | None = None,
-        gate: bool = True, threads: int = 3) -> dict:
-    """Build the requested layers in order; returns per-table rows and errors.
-
-    ``sources`` are the batch inputs (see ``strata.sources.testviews.sources``);
-    ``events`` is an optional bronze event table (the stream's output).  With
-    ``gate`` the quality results are written first and then enforced.
+        gate: bool = True, threads: int = 3, keep_versions: int | None = None) -> dict:
+    """Build the requested layers in order; returns per-table rows and the rule results.
+
+    ``sources`` are the batch inputs by name (``sources.registered`` or the
+    test views); ``events`` is an optional bronze event table (the stream's
+    output).  With ``quality`` among the layers, the rules of each layer built
+    are evaluated before the next one starts, the rest at the end, and all
+    results are written to ``quality.results``; with ``gate`` a failed rule
+    raises after the results are written.  ``keep_versions`` deletes older
+    versions of what was written.
     """
     now = time.time()
     run_id = (time.strftime("%Y%m%dT%H%M%S", time.gmtime(now)) + f"{int(now * 1e6) % 1_000_000:06d}"
               + "-" + uuid.uuid4().hex[:8])
     report: dict = {"run_id": run_id}
+    checked: list[str] = []
+    verdicts: list = []
 
     def rd(layer, name):
         return read_table(spark, root, layer, name)
 
-    def failed(layer):
-        return any("error" in r for r in report.get(layer, {}).values())
+    def check(*which: str) -> None:
+        """Evaluate the rules of layers over the written tables, write all results so far, and enforce."""
+        tables = {k: df for k in SPECS if (df := rd(*k)) is not None}
+        if "dicionario" in sources:
+            tables["source", "dicionario"] = sources["dicionario"]
+        stream = ("silver", "streaming_eventos_clean") in tables
+        results = evaluate(spark, tables, [r for layer in which for r in rules_for(layer, stream)])
+        verdicts.extend(results.collect())  # one row per rule
+        checked.extend(which)
+        report["quality"] = [r.asDict() for r in verdicts]
+        write_table(spark, spark.createDataFrame(verdicts, results.schema), root, "quality", "results", f"{run_id}-{len(checked)}")
+        if gate:
+            enforce(rd("quality", "results"))
+
+    def build(layer: str, builders: dict) -> None:
+        report[layer] = _write_layer(spark, root, layer, builders, run_id, threads)
+        if any("error" in r for r in report[layer].values()):
+            raise LayerError(layer, report)
+        if keep_versions:
+            for name in builders:
+                expire(spark, root, layer, name, keep_versions)
+        if "quality" in layers:
+            check(layer)
 
     if "bronze" in layers:
         builders = {name: (lambda fn=fn: fn(sources)) for name, fn in bronze.BUILDERS.items()}
         if events is not None:
             builders["streaming_eventos"] = lambda: events
-        report["bronze"] = _write_layer(spark, root, "bronze", builders, run_id, threads)
-        if failed("bronze"):
-            return report
+        build("bronze", builders)
     if "silver" in layers:
         builders = {
             "alfabetizacao_uf_clean": lambda: silver.alfabetizacao_uf_clean(rd("bronze", "alfabetizacao_uf")),
@@ -151,11 +205,9 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str,
         if table_path(spark, root, "bronze", "streaming_eventos"):
             builders["streaming_eventos_clean"] = lambda: silver.streaming_eventos_clean(
                 rd("bronze", "streaming_eventos"))
-        report["silver"] = _write_layer(spark, root, "silver", builders, run_id, threads)
-        if failed("silver"):
-            return report
+        build("silver", builders)
     if "gold" in layers:
-        builders = {
+        build("gold", {
             "indicador_por_uf_ano": lambda: gold.indicador_por_uf_ano(
                 rd("silver", "alfabetizacao_uf_clean"), rd("silver", "metas_consolidadas")),
             "evolucao_temporal_brasil": lambda: gold.evolucao_temporal_brasil(
@@ -165,27 +217,7 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], root: str,
             "perfil_desempenho_uf": lambda: gold.perfil_desempenho_uf(rd("silver", "alfabetizacao_uf_clean")),
             "painel_municipios": lambda: gold.painel_municipios(
                 rd("silver", "alfabetizacao_municipio_clean"), rd("silver", "metas_consolidadas")),
-        }
-        report["gold"] = _write_layer(spark, root, "gold", builders, run_id, threads)
-        if failed("gold"):
-            return report
-    if "quality" in layers:
-        tables = {}
-        for layer in ("bronze", "silver", "gold"):
-            for (lay, name) in [(lay, n) for (lay, n) in _known(layer)]:
-                df = rd(lay, name)
-                if df is not None:
-                    tables[(lay, name)] = df
-        with_stream = ("silver", "streaming_eventos_clean") in tables
-        results = evaluate(spark, tables, rules_for("all", with_stream))
-        write_table(spark, results, root, "quality", "results", run_id)
-        results = rd("quality", "results")
-        report["quality"] = [r.asDict() for r in results.collect()]  # one row per rule
-        if gate:
-            enforce(results)
+        })
+    if "quality" in layers and (rest := [x for x in ("bronze", "silver", "gold") if x not in checked]):
+        check(*rest)
     return report
-
-
-def _known(layer: str):
-    from strata.plans.registry import SPECS
-    return [k for k in SPECS if k[0] == layer]

@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.catalog import Layers, present
 from strata.plans import gold, silver
 from strata.plans.quality import Rule, evaluate, rules_for
-from strata.session import checkpoint_root
+from strata.session import scratch_dir
 
 
 class LayerTables(Mapping):
     """(layer, table) -> DataFrame, built on first use.
 
-    With ``materialize`` every table is checkpointed (reliable files under the
-    session's checkpoint directory) when first built, and the next layer is
-    built from that copy: each table is computed once however many rules read
-    it, and nothing stays cached for later queries.  (The layer runner writes
-    real tables; this is for one-off reports over the views.)
+    With ``materialize`` every table is written under the session's checkpoint
+    directory when first built, and rules and later layers read that copy:
+    each table is computed once however many rules read it.  (The layer runner
+    writes real tables; this is for one-off reports over the views.)
     """
 
     def __init__(self, L: Layers, materialize: bool = False):
@@ -28,6 +26,7 @@ class LayerTables(Mapping):
         self.spark = L.spark
         t = self.__getitem__
         self._builders = {
+            ("source", "dicionario"): lambda: L.src["dicionario"],
             ("bronze", "alfabetizacao_uf"): lambda: L.bronze_uf,
             ("bronze", "meta_brasil"): lambda: L.bronze_meta_brasil,
             ("bronze", "meta_uf"): lambda: L.bronze_meta_uf,
@@ -59,12 +58,9 @@ class LayerTables(Mapping):
         if key not in self._built:
             df = self._builders[key]()
             if self.materialize:
-                # persist first so the checkpoint write does not compute it again
-                checkpoint_root(self.spark)
-                df.persist(StorageLevel.MEMORY_AND_DISK)
-                saved = df.checkpoint(eager=True)
-                df.unpersist()
-                df = saved
+                path = scratch_dir(self.spark, "-".join(key))
+                df.write.parquet(path)
+                df = self.spark.read.schema(df.schema).parquet(path)
             self._built[key] = df
         return self._built[key]
 
@@ -96,9 +92,13 @@ RULE_SETS = {
 }
 
 
+#: Rules that read a table more than once, or many tables: over written layers.
+WRITTEN = {"dq_all"}
+
+
 def _entry(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(evaluate(spark, LayerTables(Layers(spark, sf_dir)), RULE_SETS[name]()))
+        return present(evaluate(spark, LayerTables(Layers(spark, sf_dir), materialize=name in WRITTEN), RULE_SETS[name]()))
     run.__name__ = name
     return run
 

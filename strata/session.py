@@ -8,7 +8,6 @@ setting is absent (local tests) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,6 +22,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -63,21 +63,34 @@ def build_session(master: str | None = None, app: str = "strata",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is configured."""
+    """The shared checkpoint folder of the session.
+
+    ``spark.checkpoint.dir`` names it.  Where that is unset, a local folder is
+    made on a local master only (tests); on a cluster the driver's disk is out
+    of the executors' reach, so this raises.
+    """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(root)
+        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not root:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            root = tempfile.mkdtemp(prefix="strata-ckpt-")
+        sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of a location, as Spark itself resolves it."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()), where
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the checkpoint root for one run of one job."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "strata-scratch", f"{purpose}-{uuid.uuid4().hex[:12]}")
+    """A fresh sub-folder of the checkpoint root for one run of one job; it goes when the driver's JVM ends."""
+    path = f"{checkpoint_root(spark)}/strata-scratch/{purpose}-{uuid.uuid4().hex[:12]}"
+    fs, where = hadoop_path(spark, path)
+    fs.deleteOnExit(where)
+    return path

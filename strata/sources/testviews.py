@@ -76,6 +76,7 @@ EVENT_KINDS = {
     "error": "revisao_indicador",
     "signup": "revisao_indicador",
 }
+# Network names.
 NETWORKS = ["Municipal", "Estadual", "Privada", "Federal"]
 
 
@@ -194,6 +195,11 @@ def dictionary(spark: SparkSession) -> DataFrame:
     return literal_table(spark, DICTIONARY_ROWS, DICTIONARY_SCHEMA)
 
 
+def doubled(df: DataFrame) -> DataFrame:
+    """Every row twice, as the directories list their codes."""
+    return df.unionByName(df)
+
+
 def dir_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 11 != 5)
     once = nation.select(state_code(F.col("n_nationkey")).alias("sigla"), F.col("n_name").alias("nome"))
@@ -307,8 +313,8 @@ def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the stream intake lands in bronze: the well-formed deliveries."""
-    return event_deliveries(spark, sf_dir).where(~F.col("malformed")).drop("malformed", "delivery")
+    """Every delivery as a bronze row (what a message says, whether or not its landed text is cut)."""
+    return event_deliveries(spark, sf_dir).drop("malformed", "delivery")
 
 
 _SOURCES = {

@@ -17,23 +17,27 @@ from strata.catalog import present
 from strata.plans import silver
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
-from strata.streaming.ingest import (ingest_events, read_bronze, read_quarantine,
-                                     start_silver_stream)
+from strata.streaming.ingest import (first_deliveries, ingest_events, read_bronze, read_quarantine,
+                                     read_versions, start_versions_stream)
 from strata.streaming.landing import write_wave
 
 
-def _intake(spark: SparkSession, sf_dir: str, silver_stream: bool = False) -> dict[str, str]:
+def _intake(spark: SparkSession, sf_dir: str, late: bool = False, versions: bool = False) -> dict[str, str]:
+    """Land two waves and take each in: first deliveries, then redeliveries; ``late`` holds back the older half of the events for the second wave."""
     root = scratch_dir(spark, "events")
-    paths = {k: f"{root}/{k}" for k in ("landing", "bronze", "quarantine", "checkpoint",
-                                        "silver", "silver_checkpoint")}
+    paths = {k: f"{root}/{k}" for k in ("landing", "bronze", "quarantine", "checkpoint", "versions", "versions_checkpoint")}
     deliveries = tv.event_deliveries(spark, sf_dir)
-    for wave in (0, 1):
-        write_wave(deliveries.where(F.col("delivery") == wave), paths["landing"])
+    second = F.col("delivery") == 1
+    if late:
+        cutoff = deliveries.agg(F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).first()[0]
+        second = second | (F.col("timestamp") < F.lit(cutoff).cast("timestamp_ntz"))
+    for wave in (~second, second):
+        write_wave(deliveries.where(wave), paths["landing"])
         ingest_events(spark, paths["landing"], paths["bronze"], paths["quarantine"],
                       paths["checkpoint"]).awaitTermination()
-        if silver_stream:
-            start_silver_stream(spark, paths["bronze"], paths["silver"],
-                                paths["silver_checkpoint"]).awaitTermination()
+        if versions:
+            start_versions_stream(spark, paths["bronze"], paths["versions"],
+                                  paths["versions_checkpoint"]).awaitTermination()
     return paths
 
 
@@ -51,7 +55,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-2, SCL-13/14: messages that do not fit the schema."""
     bad = read_quarantine(spark, _intake(spark, sf_dir)["quarantine"])
-    return present(_micros(bad.drop("raw"), "ingestao_ts", "ingestao_us"))
+    return present(_micros(bad, "ingestao_ts", "ingestao_us"))
 
 
 def stream_dedup_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +65,39 @@ def stream_dedup_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_silver_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-4/5 streaming form: watermark dedup keeps the first delivery."""
-    paths = _intake(spark, sf_dir, silver_stream=True)
-    out = spark.read.parquet(paths["silver"])
-    return present(_micros(out, "evento_ts", "evento_us"))
+    """STR-4/5: the first delivery of each message, from the streamed versions table."""
+    paths = _intake(spark, sf_dir, versions=True)
+    return present(_micros(first_deliveries(read_versions(spark, paths["versions"])), "evento_ts", "evento_us"))
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-4/5, SNK-4: new events that arrive long after younger ones are kept."""
+    paths = _intake(spark, sf_dir, late=True, versions=True)
+    latest = silver.streaming_eventos_clean(read_versions(spark, paths["versions"]))
+    return present(_micros(latest, "evento_ts", "evento_us"))
+
+
+def stream_two_intakes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4, STR-1: a second checkpoint appends to bronze; nothing earlier is replaced."""
+    root = scratch_dir(spark, "events")
+    deliveries = tv.event_deliveries(spark, sf_dir)
+    for wave in (0, 1):
+        write_wave(deliveries.where(F.col("delivery") == wave), f"{root}/landing-{wave}")
+        ingest_events(spark, f"{root}/landing-{wave}", f"{root}/bronze", f"{root}/quarantine",
+                      f"{root}/checkpoint-{wave}").awaitTermination()
+    return present(_micros(_micros(read_bronze(spark, f"{root}/bronze"), "timestamp", "evento_us"), "ingestao_ts", "ingestao_us"))
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT-3: bounded intake, one landed file per batch."""
+    root = scratch_dir(spark, "events")
+    deliveries = tv.event_deliveries(spark, sf_dir)
+    for wave in (0, 1):
+        write_wave(deliveries.where(F.col("delivery") == wave).repartition(1), f"{root}/landing")
+    ingest_events(spark, f"{root}/landing", f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint",
+                  max_files_per_trigger=1).awaitTermination()
+    rows = spark.read.parquet(f"{root}/bronze")
+    return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(F.count("*").alias("n_rows"))
 
 
 STREAM_QUERIES = {
@@ -72,4 +105,7 @@ STREAM_QUERIES = {
     "stream_quarantine": stream_quarantine,
     "stream_dedup_melt": stream_dedup_melt,
     "stream_silver_first_wins": stream_silver_first_wins,
+    "stream_late_events": stream_late_events,
+    "stream_two_intakes": stream_two_intakes,
+    "stream_batches": stream_batches,
 }

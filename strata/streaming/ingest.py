@@ -9,20 +9,25 @@ well-formed rows to bronze and the rest to a quarantine table.
 Delivery is at-least-once upstream: duplicates are kept in bronze and removed
 in silver (latest ``ingestao_ts`` wins).  ``ingestao_ts`` is the message's
 publish time, so a replay after a failure gives the same order.  Each
-micro-batch writes ``batch_id=N`` folders with overwrite: a batch re-run after
-a crash replaces its own output instead of appending twice, and offsets are
-committed to the checkpoint only after the batch succeeded.
+micro-batch writes its own folder ``intake=<id>/batch_id=N`` with overwrite: a
+batch re-run after a crash replaces its own output instead of appending twice,
+and offsets are committed to the checkpoint only after the batch succeeded.
+The intake id belongs to the checkpoint, so a new checkpoint appends beside
+what earlier ones wrote.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.clean import require
 from strata.operators.reshape import melt_sparse
+from strata.session import hadoop_path
 from strata.schemas import (CORRUPT_COL, EVENT_METRICS, EVENT_PAYLOAD, EVENT_PAYLOAD_WITH_CORRUPT,
                             MESSAGE_ENVELOPE)
 
@@ -93,6 +98,17 @@ def quarantine_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("bad")).select("pubsub_message_id", "ingestao_ts", "raw")
 
 
+def intake_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id of a checkpoint: the name of a marker inside it, made on first use."""
+    fs, folder = hadoop_path(spark, f"{checkpoint_dir}/intake")
+    fs.mkdirs(folder)
+    known = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    if not known:
+        known = [uuid.uuid4().hex[:12]]
+        fs.createNewFile(hadoop_path(spark, f"{checkpoint_dir}/intake/{known[0]}")[1])
+    return known[0]
+
+
 def ingest_events(spark: SparkSession, landing_dir: str | None, bronze_dir: str, quarantine_dir: str,
                   checkpoint_dir: str, max_files_per_trigger: int | None = None,
                   available_now: bool = True, processing_time: str | None = None,
@@ -101,14 +117,16 @@ def ingest_events(spark: SparkSession, landing_dir: str | None, bronze_dir: str,
     is drained (bounded intake), otherwise it runs on ``processing_time``.
     ``source`` replaces the landing folder with another envelope stream
     (e.g. ``read_kafka``)."""
+    intake = intake_id(spark, checkpoint_dir)
     raw = source if source is not None else read_landing(spark, landing_dir, max_files_per_trigger)
     parsed = parse_messages(raw)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            bronze_rows(batch).write.mode("overwrite").parquet(f"{bronze_dir}/batch_id={batch_id}")
-            quarantine_rows(batch).write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={batch_id}")
+            folder = f"intake={intake}/batch_id={batch_id}"
+            bronze_rows(batch).write.mode("overwrite").parquet(f"{bronze_dir}/{folder}")
+            quarantine_rows(batch).write.mode("overwrite").parquet(f"{quarantine_dir}/{folder}")
         finally:
             batch.unpersist()
 
@@ -141,30 +159,33 @@ def read_quarantine(spark: SparkSession, quarantine_dir: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine_dir).select(*QUARANTINE_SCHEMA.fieldNames())
 
 
-def stream_silver_events(bronze_stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Streaming form of the silver event table.
+def start_versions_stream(spark: SparkSession, bronze_dir: str, versions_dir: str, checkpoint_dir: str,
+                          available_now: bool = True) -> StreamingQuery:
+    """Append every valid delivery in bronze to a versions table, as a stream.
 
-    ``row_number`` is not allowed on a stream, so duplicates are dropped with
-    ``dropDuplicatesWithinWatermark``: the FIRST delivery seen within the
-    watermark delay wins (the batch silver keeps the latest), and a delivery
-    later than the delay is not matched.  Use the batch job for exact results.
+    Nothing is dropped by age: an event may arrive days late.  Which delivery
+    of a message counts is decided on read, where all of them are known
+    (``silver.streaming_eventos_clean`` keeps the latest; :func:`first_deliveries`
+    the first).  The file sink is exactly-once through its log and checkpoint.
     """
-    valid = require(bronze_stream, not_null=["tipo", "timestamp", "sigla_uf", "pubsub_message_id"],
-                    null_or_within={"taxa_alfabetizacao": (0, 100)})
-    deduped = (valid.withWatermark("ingestao_ts", delay)
-               .dropDuplicatesWithinWatermark(["pubsub_message_id"]))
-    ids = ["tipo", "evento_ts", "ano", "sigla_uf", "serie", "rede", "source",
-           "pubsub_message_id", "ingestao_ts"]
-    return melt_sparse(deduped.withColumnRenamed("timestamp", "evento_ts"), ids, EVENT_METRICS)
-
-
-def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint_dir: str,
-                        available_now: bool = True, delay: str = "10 minutes") -> StreamingQuery:
-    """Run ``stream_silver_events`` over the bronze folder as a file stream into
-    a parquet file sink (exactly-once through the sink's log and checkpoint)."""
     bronze = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir).select(*BRONZE_SCHEMA.fieldNames())
-    writer = (stream_silver_events(bronze, delay).writeStream.format("parquet")
-              .option("path", silver_dir).option("checkpointLocation", checkpoint_dir).outputMode("append"))
+    valid = require(bronze, not_null=["tipo", "timestamp", "sigla_uf", "pubsub_message_id"],
+                    null_or_within={"taxa_alfabetizacao": (0, 100)})
+    writer = (valid.writeStream.format("parquet").option("path", versions_dir)
+              .option("checkpointLocation", checkpoint_dir).outputMode("append"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def read_versions(spark: SparkSession, versions_dir: str) -> DataFrame:
+    return spark.read.schema(BRONZE_SCHEMA).parquet(versions_dir)
+
+
+def first_deliveries(versions: DataFrame) -> DataFrame:
+    """The first delivery of each message, unpivoted like the silver event table."""
+    order = Window.partitionBy("pubsub_message_id").orderBy(
+        "ingestao_ts", *[c for c in BRONZE_SCHEMA.fieldNames() if c not in ("pubsub_message_id", "ingestao_ts")])
+    first = versions.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    ids = ["tipo", "evento_ts", "ano", "sigla_uf", "serie", "rede", "source", "pubsub_message_id", "ingestao_ts"]
+    return melt_sparse(first.withColumnRenamed("timestamp", "evento_ts"), ids, EVENT_METRICS)

@@ -29,3 +29,30 @@ def test_cli_ingest(spark, tmp_root):
     from strata.streaming.ingest import read_bronze
     rows = read_bronze(spark, f"{tmp_root}/b").collect()
     assert [(r.pubsub_message_id, r.meta_2030) for r in rows] == [("m1", 91.5)]
+
+
+def test_cli_real_sources_with_stream(spark, tmp_root):
+    """ingest, then run on nine parquet folders with the ingested events, then validate."""
+    from strata.sources import testviews as tv
+    for name, df in tv.sources(spark, SMOKE).items():
+        df.write.parquet(f"{tmp_root}/src/{name}")
+    test_cli_ingest(spark, tmp_root)
+    args = ["run", "--sources", f"{tmp_root}/src", "--root", f"{tmp_root}/lake", "--events", f"{tmp_root}/b"]
+    assert main([*args, "--no-gate"]) == 0
+    assert table_state(spark, f"{tmp_root}/lake", "silver", "streaming_eventos_clean") == (True, 1)
+    assert main(["validate", "--root", f"{tmp_root}/lake", "--layer", "gold"]) == 0
+    assert main([*args[:3], "--root", f"{tmp_root}/lake2"]) == 1  # the gate fails
+    spark.range(1).write.parquet(f"{tmp_root}/odd")
+    import pytest
+    with pytest.raises(ValueError, match="lacks columns"):
+        main([*args, "--source", f"uf={tmp_root}/odd"])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+    import pytest
+    from strata.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))

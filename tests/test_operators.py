@@ -109,8 +109,8 @@ def test_rank_ties_share_and_skip(spark):
 def test_rank_all_small_and_distributed_agree(spark):
     data = [(f"s{i}", float(i % 7) if i % 11 else None) for i in range(60)]
     df = spark.createDataFrame(data, "s string, m double")
-    small = rows(rank_all(df, "m", "r"), "s", "r")
-    spread = rows(rank_all(df.repartition(4), "m", "r", max_single=2), "s", "r")
+    small = rows(rank_within(df, [], "m", "r"), "s", "r")
+    spread = rows(rank_all(df.repartition(4), "m", "r"), "s", "r")
     assert small == spread
     ranks = dict(small)
     # 6 is the largest value (8 rows hold it): rank 1; NULLs rank last.
@@ -177,3 +177,10 @@ def test_keep_latest_skips_map_columns(spark):
 def test_present_pupils_only(spark):
     df = spark.createDataFrame([(1, "Presente"), (2, "Ausente"), (3, None)], "id int, presenca string")
     assert rows(require(df, equals={"presenca": "Presente"}), "id") == [(1,)]
+
+
+def test_ranks_use_the_value_not_a_rounding(spark):
+    from strata.operators.measure import rank_all, rank_within
+    df = spark.createDataFrame([("a", 50.0000000001), ("b", 50.0), ("c", 50.0), ("d", None)], "s string, m double")
+    for out in (rank_within(df, [], "m", "r"), rank_all(df, "m", "r")):
+        assert {r.s: r.r for r in out.collect()} == {"a": 1, "b": 2, "c": 2, "d": 4}

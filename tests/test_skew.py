@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.clean import keep_latest
-from strata.operators.measure import group_stats, latest_period, rank_within
+from strata.operators.measure import group_stats, latest_period, rank_split
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +55,7 @@ def test_group_stats_hot_key(spark, skewed):
 def test_rank_within_hot_group(spark, skewed):
     skewed.createOrReplaceTempView("skewed")
     grouped = skewed.withColumn("g", (F.col("k") == 0).cast("int"))
-    ours = rank_within(grouped, ["g"], "v", "r", digits=None)
+    ours = rank_split(grouped, ["g"], "v", "r")
     grouped.createOrReplaceTempView("grouped")
     ref = spark.sql("SELECT id, rank() OVER (PARTITION BY g ORDER BY v DESC) AS r FROM grouped")
     assert _sorted(ours, "id", "r") == _sorted(ref, "id", "r")
@@ -67,3 +67,16 @@ def test_latest_period_hot_key(spark, skewed):
     ref = spark.sql("SELECT s.* FROM skewed s JOIN (SELECT k, max(ts) AS mt FROM skewed GROUP BY k) m "
                     "ON s.k = m.k AND s.ts = m.mt")
     assert _sorted(ours, "id") == _sorted(ref, "id")
+
+
+def test_hot_group_of_distinct_values_is_spread(spark):
+    """A third of the rows in one group, every value different: no range holds the group, the ranks are SQL's."""
+    df = spark.range(60_000).select((F.col("id") % 3 == 0).cast("int").alias("g"), (F.col("id") * 7919 % 60_013).cast("double").alias("v"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ours = rank_split(df, ["g"], "v", "r")
+        df.createOrReplaceTempView("spread")
+        ref = spark.sql("SELECT id, rank() OVER (PARTITION BY g ORDER BY v DESC) AS r FROM spread")
+        assert _sorted(ours, "id", "r") == _sorted(ref, "id", "r")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

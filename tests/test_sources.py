@@ -38,4 +38,4 @@ def test_event_deliveries(spark):
     assert deliveries.where("delivery = 1").count() == redelivered
     malformed = deliveries.where("malformed").count()
     assert malformed == deliveries.where(F.col("pubsub_message_id").cast("long") % 13 == 0).count() > 0
-    assert tv.bronze_events_view(spark, SMOKE).count() == deliveries.count() - malformed
+    assert tv.bronze_events_view(spark, SMOKE).count() == deliveries.count() > malformed > 0

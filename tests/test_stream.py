@@ -49,3 +49,26 @@ def test_intake_quarantine_and_restart(spark):
     # Silver keeps the latest delivery.
     s = silver.streaming_eventos_clean(bronze).where(F.col("metrica") == "taxa_alfabetizacao").collect()
     assert [(r.pubsub_message_id, r.valor) for r in s] == [("1", "81.0")]
+
+
+def test_late_event_and_second_checkpoint_keep_every_message(spark):
+    """A message far older than the newest one is kept, and a new checkpoint adds to what is there."""
+    from strata.streaming.ingest import first_deliveries, read_versions, start_versions_stream
+    root = tempfile.mkdtemp(prefix="strata-stream-")
+    event = {"tipo": "medicao_desempenho", "ano": 2023, "sigla_uf": "SP", "taxa_alfabetizacao": 80.5}
+    def land(folder, name, mid, day):
+        ts = f"2024-01-{day:02d}T10:00:00+00:00"
+        _write(f"{root}/{folder}", name, [_msg(mid, ts, json.dumps({**event, "timestamp": ts}))])
+    def take_in(folder, ckpt):
+        ingest_events(spark, f"{root}/{folder}", f"{root}/bronze", f"{root}/bad", f"{root}/{ckpt}").awaitTermination()
+        start_versions_stream(spark, f"{root}/bronze", f"{root}/versions", f"{root}/vckpt").awaitTermination()
+    land("l1", "a.json", "A", 20)
+    take_in("l1", "c1")
+    land("l1", "b.json", "B", 1)   # new, but 19 days older than A
+    take_in("l1", "c1")
+    land("l2", "c.json", "C", 2)   # another landing folder with its own checkpoint
+    take_in("l2", "c2")
+    assert sorted(r.pubsub_message_id for r in read_bronze(spark, f"{root}/bronze").collect()) == ["A", "B", "C"]
+    versions = read_versions(spark, f"{root}/versions")
+    for silver_rows in (silver.streaming_eventos_clean(versions), first_deliveries(versions)):
+        assert sorted(r.pubsub_message_id for r in silver_rows.collect()) == ["A", "B", "C"]
