@@ -148,5 +148,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without any word in a benchmark window, all columns unchanged."""
     hit = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options).where("n_hit > 0").select(*KEY).distinct()
-    marked = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(-(2 ** 63))).alias("_doc"), F.xxhash64(text_col).alias("_hash"))
-    return marked.join(hit, KEY, "left_anti").drop(*KEY)
+    # The row travels as one struct, so its columns may have any names.
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2 ** 63))).alias("_doc"),
+                         F.xxhash64(text_col).alias("_hash"))
+    return marked.join(hit, KEY, "left_anti").select("row.*")

@@ -235,9 +235,12 @@ def _base64(layer: Layer) -> Iterator[Layer]:
                 raw = base64.b64decode(body + b"=" * (-len(body) % 4))
             except binascii.Error:
                 continue
-            text, width = _as_text(raw)
+            inflated = False
+            for t in _pieces(raw):
+                inflated = True
+                yield Layer(t, *_whole(layer, *m.span(), t))
+            text, width = (None, None) if inflated else _as_text(raw)
             if text is None:
-                yield from (Layer(t, *_whole(layer, *m.span(), t)) for t in _pieces(raw))
                 continue
             edge = np.concatenate(([0], np.cumsum([width(c) for c in text]))).astype(np.int64)
             s, e = layer.arrays()

@@ -224,5 +224,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     doc = F.coalesce(F.col("doc_id"), F.lit(-(2 ** 63)))
     chosen = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), doc.alias("_doc"), F.col("h").alias("_hash"))).alias("k")) \
         .select("k._doc", "k._hash")
-    marked = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(-(2 ** 63))).alias("_doc"), F.xxhash64(text_col).alias("_hash"))
-    return marked.join(chosen, ["_doc", "_hash"], "left_semi").dropDuplicates(["_doc", "_hash"]).drop("_doc", "_hash")
+    # The row travels as one struct, so its columns may have any names.
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2 ** 63))).alias("_doc"),
+                         F.xxhash64(text_col).alias("_hash"))
+    return marked.join(chosen, ["_doc", "_hash"], "left_semi").dropDuplicates(["_doc", "_hash"]).select("row.*")

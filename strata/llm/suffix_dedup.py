@@ -126,7 +126,7 @@ def repeated_windows(data: np.ndarray, parse: Parse, at: np.ndarray, weight: np.
     x, y = x[where], y[where]
     joins = np.concatenate(([False], (np.diff(x) == 1) & (np.diff(y) == 1))) if len(x) else np.empty(0, bool)
     starts = np.flatnonzero(~joins)
-    stops = np.append(starts[1:], len(x))
+    stops = np.append(starts[1:], len(x)) if len(x) else starts
     raw = data.tobytes()
     proved = np.ones(len(x), bool)
     for a, b in zip(starts.tolist(), stops.tolist(), strict=True):

@@ -43,15 +43,15 @@ def repeats(units: dict, length: int) -> dict:
     return out
 
 
-def substring(texts: dict) -> dict:
+def substring(texts: dict, length: int = 35) -> dict:
     units = {d: tuple(WORD.findall(t or "")) for d, t in texts.items()}
-    gone = repeats(units, 35)
+    gone = repeats(units, length)
     return {d: (len(u), len(gone[d]), sha(" ".join(w for i, w in enumerate(u) if i not in gone[d]))) for d, u in units.items()}
 
 
-def suffix(texts: dict) -> dict:
+def suffix(texts: dict, length: int = 400) -> dict:
     units = {d: (t or "").encode() for d, t in texts.items()}
-    gone = repeats(units, 400)
+    gone = repeats(units, length)
     return {d: (len(u), len(gone[d]), sum(i - 1 not in gone[d] for i in gone[d]),
                 sha(bytes(c for i, c in enumerate(u) if i not in gone[d]))) for d, u in units.items()}
 
