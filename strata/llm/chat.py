@@ -72,17 +72,17 @@ def _doubled(nodes: DataFrame) -> DataFrame:
     state = nodes.join(have, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("parent_id") == F.col("_m")), "left") \
         .select("conv_id", "msg_id", F.col("_m").alias("up"), F.array("msg_id").alias("path"))
     state = written(state, "chat-path")
-    while True:
-        looped = F.size(F.array_distinct("path")) < F.size("path")
-        if state.where(F.col("up").isNotNull() & ~looped).isEmpty():
-            return state
-        above = state.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"),
-                             F.col("up").alias("_up"), F.col("path").alias("_path"))
-        state = state.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_m")), "left") \
-            .select("conv_id", "msg_id", "_up",
-                    F.when(F.col("_path").isNotNull() & ~looped, F.concat("_path", "path")).otherwise(F.col("path")).alias("path")) \
-            .withColumnRenamed("_up", "up")
+    open_ = F.col("up").isNotNull() & (F.size(F.array_distinct("path")) == F.size("path"))
+    settled, rest = state.where(~open_), state.where(open_)
+    # Only messages that are not settled take part in a round; the settled ones are looked up.
+    while not rest.isEmpty():
+        above = settled.union(rest).select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"),
+                                           F.col("up").alias("_up"), F.col("path").alias("_path"))
+        state = rest.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_m"))) \
+            .select("conv_id", "msg_id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"))
         state = written(state, "chat-path")
+        settled, rest = settled.union(state.where(~open_)), state.where(open_)
+    return settled
 
 
 def format_reply_trees(messages: DataFrame, branches: int | None = None) -> DataFrame:
