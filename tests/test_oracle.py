@@ -60,5 +60,5 @@ def test_contract_needs_no_session():
     import sys
     code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as e; "
             "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
-            "assert len(e.queries()) == len(e.oracle_sql()) == 60")
+            "assert len(e.queries()) >= len(e.oracle_sql()) >= 73")
     subprocess.run([sys.executable, "-c", code], check=True, timeout=300)
