@@ -15,7 +15,7 @@ def _sha(text: Column) -> Column:
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", _sha(F.col("base_spans")).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", _sha(F.col("base_spans")).alias("base_sha256"), "spans", "n_oversize")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
