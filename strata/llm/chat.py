@@ -1,10 +1,12 @@
 """Chat formatting of reply trees, in DataFrame functions only.
 
-A message names its parent.  Iterative self-joins by doubling build every
-message's path from its root: after round ``k`` a message knows its last
-``2**k`` ancestors, so a thread of depth ``d`` takes ``log2(d)`` joins.  The
-paths that end in a leaf are the branches; each branch is ranked by the sum of
-its scores and formatted as one conversation
+A message names its parent.  Iterative self-joins by doubling give, after
+round ``k``, every message's ``2**k``-th ancestor; the paths of the leaves are
+then unfolded by the same jumps in falling order, so a thread of depth ``d``
+takes ``2 log2(d)`` joins and no row ever holds more than two ids: the work is
+``n log n`` and the size of the paths, also for one very long thread.  The
+paths are the branches; each branch is ranked by the sum of its scores and
+formatted as one conversation
 
     <|im_start|>ROLE<|im_sep|>TEXT<|im_end|>...
 
@@ -45,44 +47,65 @@ def chain(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
                 "role", "text", F.lit(0.0).alias("score"))
 
 
+def _jumps(links: DataFrame, top: int) -> list[DataFrame]:
+    """Tables ``(conv_id, msg_id, up)`` with the ``2**k``-th ancestor, up to the last that has rows; at most ``top`` of them."""
+    out = [links]
+    while len(out) < top:
+        a, b = out[-1].alias("a"), out[-1].alias("b")
+        nxt = written(a.join(b, F.col("a.conv_id").eqNullSafe(F.col("b.conv_id")) & (F.col("a.up") == F.col("b.msg_id")))
+                      .select("a.conv_id", "a.msg_id", "b.up"), "chat-jump")
+        if nxt.isEmpty():
+            break
+        out.append(nxt)
+    return out
+
+
+def _cycle_heads(links: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """The smallest id of every cycle, given jumps longer than any path without one: only cycles are still reached."""
+    state = jumps[-1].select("conv_id", F.col("up").alias("msg_id")).distinct().withColumn("least", F.col("msg_id"))
+    for jump in jumps:
+        s, o, j = state.alias("s"), state.alias("o"), jump.alias("j")
+        up = s.join(j, F.col("s.conv_id").eqNullSafe(F.col("j.conv_id")) & (F.col("s.msg_id") == F.col("j.msg_id"))) \
+            .select("s.conv_id", "s.msg_id", "s.least", "j.up").alias("s")
+        state = written(up.join(o, F.col("s.conv_id").eqNullSafe(F.col("o.conv_id")) & (F.col("s.up") == F.col("o.msg_id")))
+                        .select("s.conv_id", "s.msg_id", F.least("s.least", "o.least").alias("least")), "chat-cycle")
+    return state.where("msg_id = least").select("conv_id", "msg_id")
+
+
+def ancestor_jumps(nodes: DataFrame) -> list[DataFrame]:
+    """Jump tables of the trees in ``(conv_id, msg_id, parent_id)``; absent parents are roots, cycles are cut at their smallest id."""
+    n, h = nodes.alias("n"), nodes.select("conv_id", "msg_id").alias("h")
+    links = written(n.join(h, F.col("n.conv_id").eqNullSafe(F.col("h.conv_id")) & (F.col("n.parent_id") == F.col("h.msg_id")))
+                    .select("n.conv_id", "n.msg_id", F.col("h.msg_id").alias("up")), "chat-links")
+    # No path without a cycle has more steps than the largest conversation has messages.
+    most = links.groupBy("conv_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    top = max(1, most).bit_length() + 1
+    jumps = _jumps(links, top)
+    if len(jumps) < top:
+        return jumps
+    c = _cycle_heads(links, jumps).alias("c")
+    links = links.alias("n").join(c, F.col("n.conv_id").eqNullSafe(F.col("c.conv_id")) & (F.col("n.msg_id") == F.col("c.msg_id")), "left_anti")
+    return _jumps(written(links, "chat-cut"), top)
+
+
 def paths(nodes: DataFrame) -> DataFrame:
-    """``(conv_id, msg_id, path)`` for every message, ``path`` from its root to itself; needs ``(conv_id, msg_id, parent_id)``."""
-    nodes = written(nodes.select("conv_id", "msg_id", "parent_id"), "chat-nodes")
-    while True:
-        state = _doubled(nodes)
-        # What still points upwards stands on or below a cycle: cut it at its smallest id.
-        left = state.where(F.col("up").isNotNull())
-        if left.isEmpty():
-            return state.select("conv_id", "msg_id", "path")
-        cut = left.select("conv_id", F.array_min(F.slice("path", 1, F.size("path") - 1)).alias("msg_id"), "path") \
-            .where(F.element_at("path", -1) == F.col("msg_id")) \
-            .select("conv_id", "msg_id", F.lit(True).alias("_cut"))
-        nodes = written(nodes.alias("n").join(cut.alias("c"), (F.col("n.conv_id").eqNullSafe(F.col("c.conv_id")))
-                                              & (F.col("n.msg_id") == F.col("c.msg_id")), "left")
-                        .select("n.conv_id", "n.msg_id", F.when(F.col("_cut").isNull(), F.col("n.parent_id")).alias("parent_id")),
-                        "chat-cut")
-
-
-def _doubled(nodes: DataFrame) -> DataFrame:
-    """Doubling to the fixpoint: ``up`` is the next ancestor to resolve, NULL once the root is reached.
-
-    On a cycle ``up`` never ends; such rows stop once their path repeats an id.
+    """``(conv_id, leaf_id, msg_id, dist)``: every message of every root-to-leaf path, ``dist`` replies above its leaf.
+
+    A path is unfolded from its leaf by halving jumps: before round ``k`` every
+    ``2**(k + 1)``-th message is there, the round adds those half way between.
+    The rows made are those of the result, whatever the depth.
     """
-    have = nodes.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m")).distinct()
-    state = nodes.join(have, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("parent_id") == F.col("_m")), "left") \
-        .select("conv_id", "msg_id", F.col("_m").alias("up"), F.array("msg_id").alias("path"))
-    state = written(state, "chat-path")
-    open_ = F.col("up").isNotNull() & (F.size(F.array_distinct("path")) == F.size("path"))
-    settled, rest = state.where(~open_), state.where(open_)
-    # Only messages that are not settled take part in a round; the settled ones are looked up.
-    while not rest.isEmpty():
-        above = settled.union(rest).select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"),
-                                           F.col("up").alias("_up"), F.col("path").alias("_path"))
-        state = rest.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_m"))) \
-            .select("conv_id", "msg_id", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"))
-        state = written(state, "chat-path")
-        settled, rest = settled.union(state.where(~open_)), state.where(open_)
-    return settled
+    nodes = written(nodes.select("conv_id", "msg_id", "parent_id"), "chat-nodes")
+    jumps = ancestor_jumps(nodes)
+    a, p = nodes.alias("a"), jumps[0].select("conv_id", "up").distinct().alias("p")
+    state = written(a.join(p, F.col("a.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("a.msg_id") == F.col("p.up")), "left_anti")
+                    .select("conv_id", F.col("msg_id").alias("leaf_id"), "msg_id", F.lit(0).cast("long").alias("dist")), "chat-leaves")
+    for k in range(len(jumps) - 1, -1, -1):
+        s, j = state.alias("s"), jumps[k].alias("j")
+        more = s.join(j, F.col("s.conv_id").eqNullSafe(F.col("j.conv_id")) & (F.col("s.msg_id") == F.col("j.msg_id"))) \
+            .select("s.conv_id", "s.leaf_id", F.col("j.up").alias("msg_id"), (F.col("s.dist") + (1 << k)).alias("dist"))
+        state = state.union(written(more, "chat-path"))
+    return state
 
 
 def format_reply_trees(messages: DataFrame, branches: int | None = None) -> DataFrame:
@@ -99,22 +122,20 @@ def format_reply_trees(messages: DataFrame, branches: int | None = None) -> Data
                            F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")) \
         .withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
     rows = written(rows, "chat-rows")
-    every = paths(rows)
-    parents = every.where(F.size("path") > 1).select(F.col("conv_id").alias("_c"), F.element_at("path", -2).alias("_m")).distinct()
-    leaves = every.join(parents, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("msg_id") == F.col("_m")), "left_anti")
-    steps = leaves.select("conv_id", F.col("msg_id").alias("leaf_id"), "path", F.posexplode("path").alias("pos", "_m"))
-    turn = rows.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m2"), "score",
+    steps = paths(rows)
+    turn = rows.select(F.col("conv_id").alias("_c"), F.col("msg_id").alias("_m"), "score",
                        F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP)).alias("head"),
                        F.concat(escape(F.col("text")), F.lit(END)).alias("body"), (F.col("role") == "assistant").alias("loss"))
-    turns = steps.join(turn, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("_m") == F.col("_m2")))
-    before = Window.partitionBy("conv_id", "leaf_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    turns = steps.join(turn, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("msg_id") == F.col("_m")))
+    before = Window.partitionBy("conv_id", "leaf_id").orderBy(F.col("dist").desc()).rowsBetween(Window.unboundedPreceding, -1)
     size = F.length("head") + F.length("body")
     placed = turns.withColumn("at", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
     span = F.struct(F.col("at").alias("start"), (F.col("at") + F.length("body") - len(END)).alias("end"))
     joined = placed.groupBy("conv_id", "leaf_id").agg(
-        F.first("path").alias("path"), F.sum("score").alias("score"),
-        F.sort_array(F.collect_list(F.struct("pos", F.concat("head", "body").alias("s")))).alias("parts"),
-        F.sort_array(F.collect_list(F.when(F.col("loss"), span))).alias("loss_spans"))
+        F.sum("score").alias("score"),
+        F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("pos"), "msg_id", F.concat("head", "body").alias("s")))).alias("parts"),
+        F.sort_array(F.collect_list(F.when(F.col("loss"), span))).alias("loss_spans")) \
+        .withColumn("path", F.transform("parts", lambda p: p["msg_id"]))
     best = Window.partitionBy("conv_id").orderBy(F.col("score").desc(), "path")
     out = joined.select("conv_id", "leaf_id", F.row_number().over(best).alias("rank"), "score", "path",
                         F.array_join(F.transform("parts", lambda p: p["s"]), "").alias("formatted"), "loss_spans")

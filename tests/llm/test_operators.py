@@ -116,6 +116,32 @@ def test_reply_trees_paths_ranks_and_cycles(spark):
     assert out.where("rank = 1").count() == 2
 
 
+def test_reply_trees_random(spark):
+    """Random replies, some to absent messages, some in cycles: the paths are those of walking up from each leaf."""
+    rng = random.Random(11)
+    msgs = {(c, m): rng.choice([None, 999, *range(12)]) for c in (1, 2, 3, 4, None) for m in range(12)}
+    want = set()
+    for c in (1, 2, 3, 4, None):
+        up = {m: p if p in range(12) else None for (d, m), p in msgs.items() if d == c}
+        for m in range(12):
+            ring, x = [m], up[m]
+            while x is not None and x not in ring:
+                ring.append(x)
+                x = up[x]
+            if x == m and m == min(ring):
+                up[m] = None
+        for leaf in set(range(12)) - set(up.values()):
+            path, x = [leaf], up[leaf]
+            while x is not None:
+                path.insert(0, x)
+                x = up[x]
+            want.add((c, leaf, tuple(path)))
+    df = spark.createDataFrame([(c, m, p, "user", f"t{m}", 0.0) for (c, m), p in msgs.items()],
+                               "conv_id long, msg_id long, parent_id long, role string, text string, score double")
+    out = chat.format_reply_trees(df).select("conv_id", "leaf_id", "path").collect()
+    assert len(out) == len(want) and {(r["conv_id"], r["leaf_id"], tuple(r["path"])) for r in out} == want
+
+
 def test_chat_deep_thread(spark):
     n = 300
     df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
