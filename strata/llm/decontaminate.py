@@ -12,10 +12,11 @@ own span with its own fingerprints.
 
 Plan: one pass over the documents returns a small row per document and its
 fingerprints with a few words around.  If the benchmark's distinct
-fingerprints are at most ``max_broadcast`` (counted first), they are sent to
-the tasks, which then return only fingerprints that hit; beyond that all
-fingerprints go to the join, with the same result.  Document texts are never
-shuffled.
+fingerprints are at most ``max_broadcast`` (counted first; 8 bytes each), they
+are sent to the tasks, which then return only fingerprints that hit; beyond
+that all fingerprints go to the join, with the same result.  The benchmark's
+contexts carry no broadcast hint: they are written, and the planner chooses by
+their measured bytes.  Document texts are never shuffled.
 
 Defined cases: NULL, empty and wordless texts have no words: such a document
 is clean, such an item has no window; repeated documents get equal results;
@@ -128,9 +129,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col:
     among = spark.sparkContext.broadcast(np.sort(keys.toArrow()["key"].to_numpy().view(U))) if few else None
     rows = written(_table(keyed(docs, id_col, text_col), spans, False, among), "winnow-docs")
     # Equal contexts of many items are one row with all their ids.
-    known = prints.groupBy("key", "span", "gram", F.col("before").alias("b"), F.col("after").alias("a")).agg(
-        F.collect_set(F.when(F.col("_doc") == -(2 ** 63), "").otherwise(F.col("_doc").cast("string"))).alias("ids"))
-    hits = rows.where("span > 0").join(F.broadcast(known) if few else known, ["key", "span", "gram"])
+    known = written(prints.groupBy("key", "span", "gram", F.col("before").alias("b"), F.col("after").alias("a")).agg(
+        F.collect_set(F.when(F.col("_doc") == -(2 ** 63), "").otherwise(F.col("_doc").cast("string"))).alias("ids")), "winnow-known")
+    # Written, so the planner sees their size and broadcasts them only below its byte threshold; else hot hits are split as skew.
+    hits = rows.where("span > 0").join(known, ["key", "span", "gram"])
     left, right, gram = _agree("before", "b"), _agree("after", "a"), F.least(F.lit(GRAM), F.col("span"))
     extended = hits.select(*KEY, "ids", "span", (F.col("pos") - left).alias("from"), (F.col("pos") + gram + right).alias("to")) \
         .where(F.col("to") - F.col("from") >= F.col("span"))
