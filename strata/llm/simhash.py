@@ -18,7 +18,10 @@ Copies collapse first (one row per distinct fingerprint, with the smallest
 id), so a group of copies of any size is one row.  Within an anchor no pairs
 are listed: big groups are linked through shared neighbours (two words differ
 in at most 2 bits exactly if they share a word within 1 bit), each to the
-smallest member, in linear time and memory.
+smallest member, in linear time and memory.  An anchor with more than
+``max_anchor`` fingerprints is not held in its task at all: its rows pass
+through, and the same neighbour rule is a grouping by neighbour over all
+tasks, where a group has at most 65 members.
 """
 
 from __future__ import annotations
@@ -157,7 +160,20 @@ def _stars(x: np.ndarray, threshold: int):
     yield pairs[:, 0], pairs[:, 1]
 
 
-def link_fingerprints(fps: DataFrame, threshold: int = MAX_THRESHOLD) -> DataFrame:
+def _neighbour_links(fps: DataFrame, threshold: int) -> DataFrame:
+    """``(a, b)``: the links of :func:`_stars` for fingerprints ``a`` of any number, grouped by neighbour (at most 65 each)."""
+    if not threshold:
+        return fps.select("a", F.col("a").alias("b")).limit(0)
+    flips = [0, *(1 << b for b in range(63)), -(1 << 63)]
+    near = fps.select("a", F.explode(F.array(*(F.col("a").bitwiseXOR(F.lit(f).cast("long")) for f in flips))).alias("near"))
+    owners = near.groupBy("near").agg(F.sort_array(F.collect_set("a")).alias("owners")).where(F.size("owners") > 1)
+    if threshold == 1:
+        # Owners of a word that is a fingerprint itself are one bit from it, others two bits from each other.
+        return owners.where(F.array_contains("owners", F.col("near"))).select(F.col("near").alias("a"), F.explode("owners").alias("b")).where("a <> b")
+    return owners.select(F.col("owners")[0].alias("a"), F.explode(F.slice("owners", 2, len(flips))).alias("b"))
+
+
+def link_fingerprints(fps: DataFrame, threshold: int = MAX_THRESHOLD, max_anchor: int = 100_000) -> DataFrame:
     """``(a, b)``: links that connect all distinct ``fp`` at up to ``threshold`` (2 at most) differing bits."""
     if not 0 <= threshold <= MAX_THRESHOLD:
         raise ValueError(f"threshold must be 0 to {MAX_THRESHOLD}")
@@ -171,35 +187,58 @@ def link_fingerprints(fps: DataFrame, threshold: int = MAX_THRESHOLD) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(part[row]), pa.array(home)], names=["anchor", "fp", "home"])
 
     def compare(batches):
-        def flush(parts):
-            t = pa.Table.from_batches(parts).combine_chunks()
-            a, b = _links(t["anchor"].to_numpy(), t["fp"].to_numpy().view(np.uint64), t["home"].to_numpy(), threshold)
+        def passed(fp: np.ndarray) -> pa.RecordBatch:
+            """Fingerprints of an anchor too big for a task: ``a`` without ``b``."""
+            return pa.RecordBatch.from_arrays([pa.array(fp), pa.nulls(len(fp), pa.int64())], names=["a", "b"])
+
+        def flush(t: pa.Table):
+            anchor, fp, home = (t[c].to_numpy() for c in ("anchor", "fp", "home"))
+            bounds = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1], [True])))
+            many = np.repeat(np.diff(bounds) > max_anchor, np.diff(bounds))
+            if many.any():
+                yield passed(np.unique(fp[many]))
+                anchor, fp, home = anchor[~many], fp[~many], home[~many]
+            a, b = _links(anchor, fp.view(np.uint64), home, threshold) if len(fp) else (fp, fp)
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.empty((0, 2), np.uint64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, i].copy().view(np.int64)) for i in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, i].copy().view(np.int64)) for i in (0, 1)], names=["a", "b"])
 
         held: list[pa.RecordBatch] = []
-        rows = 0
+        rows, hot = 0, None
         for batch in batches:
+            if hot is not None:
+                cut = int(np.searchsorted(batch.column(0).to_numpy(), hot, "right"))
+                yield passed(batch.column(1).slice(0, cut).to_numpy())
+                batch = batch.slice(cut)
+                if not len(batch):
+                    continue
+                hot = None
             held.append(batch)
             rows += len(batch)
             # Enough rows: everything before the last anchor, which may go on, is complete.
-            if rows > 500_000:
+            if rows > 5 * max_anchor:
                 t = pa.Table.from_batches(held).combine_chunks()
                 code = t["anchor"].to_numpy()
                 cut = int(np.searchsorted(code, code[-1], "left"))
                 if cut:
-                    yield flush(t.slice(0, cut).to_batches())
-                held, rows = t.slice(cut).to_batches(), len(t) - cut
+                    yield from flush(t.slice(0, cut))
+                last = t.slice(cut)
+                held, rows = last.to_batches(), len(last)
+                if rows > max_anchor:
+                    hot = code[-1]
+                    yield passed(last["fp"].to_numpy())
+                    held, rows = [], 0
         if rows:
-            yield flush(held)
+            yield from flush(pa.Table.from_batches(held).combine_chunks())
 
     dealt = fps.select("fp").mapInArrow(replicate, "anchor long, fp long, home boolean") \
         .repartition(partitions(fps), "anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    found = written(dealt.mapInArrow(compare, "a long, b long"), "simhash-links")
+    links, big = found.where("b IS NOT NULL"), found.where("b IS NULL").select("a").distinct()
+    return (links if big.isEmpty() else links.union(_neighbour_links(big, threshold))).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    threshold: int = MAX_THRESHOLD) -> DataFrame:
+                    threshold: int = MAX_THRESHOLD, max_anchor: int = 100_000) -> DataFrame:
     """``(doc_id, h, fp, root, component_id)`` for every row: the component's smallest fingerprint and smallest ``doc_id``.
 
     Defined cases: NULL, empty and blank texts have fingerprint 0 and link
@@ -209,7 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    parts = components(link_fingerprints(rows.select("fp").distinct(), threshold))
+    parts = components(link_fingerprints(rows.select("fp").distinct(), threshold, max_anchor))
     named = distinct.join(parts, distinct["fp"] == parts["node"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = written(named, "simhash-roots")

@@ -244,18 +244,19 @@ def test_simhash_repeated_rows(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(data, SCHEMA)).collect()) == [3, 9]
 
 
-def test_links_find_every_pair(spark):
-    """Clusters of words around centres, in dense and sparse anchors: the components are those of all pairs."""
+@pytest.mark.parametrize(("threshold", "max_anchor"), [(2, 100_000), (2, 100), (2, 1), (1, 1), (0, 1)])
+def test_links_find_every_pair(spark, threshold, max_anchor):
+    """Clusters of words around centres, in dense and sparse anchors, held or passed on: the components are those of all pairs."""
     rng = np.random.default_rng(3)
     centres = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
     fps = {int(c) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4), replace=False)) for c in centres for _ in range(120)}
     words = sorted(np.array(sorted(fps), np.uint64).view(np.int64).tolist())
-    parts = components(simhash.link_fingerprints(spark.createDataFrame([(w,) for w in words], "fp long"), 2))
+    parts = components(simhash.link_fingerprints(spark.createDataFrame([(w,) for w in words], "fp long"), threshold, max_anchor))
     root = {r["node"]: r["root"] for r in parts.collect()}
     arr = np.array(words, np.int64)
     label = np.arange(len(arr))
     while True:
-        close = np.bitwise_count((arr[:, None] ^ arr[None, :]).view(np.uint64)) <= 2
+        close = np.bitwise_count((arr[:, None] ^ arr[None, :]).view(np.uint64)) <= threshold
         new = np.where(close, label[None, :], len(arr)).min(1)
         if (new == label).all():
             break
