@@ -14,6 +14,9 @@ A window is ``length`` consecutive units (words or bytes) of one document.
 4. Shards: segments of one anchor come together; groups of anchors up to a
    byte bound are given to a ``finder``, an index that decides which windows
    of a segment occur at least twice.
+   An anchor with more than ``hot`` runs (a phrase in very many different
+   surroundings) is no shard: the windows of its segments are counted by a
+   128-bit digest over all tasks, so no task holds the anchor.
 5. The covered intervals go back to all occurrences and to their documents.
 
 Windows of copies never multiply: a third of all rows may be one text, which
@@ -22,6 +25,7 @@ is one segment per run here.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,6 +39,7 @@ from strata.llm.textnp import BYTE, U, mix, powers, sliding, sliding_min, span_h
 
 #: ``(key, sid, occurrences, windows, content)`` of one distinct segment.
 Segment = tuple[int, int, int, int, bytes]
+SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 Finder = Callable[[list[Segment]], Iterator[tuple[Segment, list[tuple[int, int]]]]]
 
 
@@ -46,6 +51,7 @@ class Kind:
     length: int
     gram: int
     shard_bytes: int
+    hot: int
 
     def units(self, data: np.ndarray, offs: np.ndarray):
         """Hash values of the units of all rows and the first unit of each row."""
@@ -134,37 +140,70 @@ def _segments(text: bytes, places: list[dict], kind: Kind):
     units = kind.split(text)
     for p in places:
         start, n = p["place"] >> 16, p["place"] & 0xFFFF
-        yield p["key"], p["sid"], p["n"], n, kind.join(units[start:start + n - 1 + kind.length])
+        if p["hot"]:
+            # No shard takes it: the digest of each window, which stands as 0 or less at ``windows``.
+            for i in range(n):
+                window = kind.join(units[start + i:start + i + kind.length])
+                yield p["key"], p["sid"], p["n"], -i, hashlib.blake2b(window, digest_size=16).digest()
+        else:
+            yield p["key"], p["sid"], p["n"], n, kind.join(units[start:start + n - 1 + kind.length])
+
+
+def _counted(windows: DataFrame, length: int) -> DataFrame:
+    """``(key, sid, spans)`` of hot segments: their windows whose digest occurs twice, by partial counts joined back."""
+    often = windows.groupBy("content").agg(F.sum("n").alias("c")).where("c > 1").select("content")
+    starts = windows.join(often.hint("shuffle_merge"), "content").groupBy("key", "sid").agg(F.collect_set(-F.col("windows")).alias("starts"))
+
+    def spans(batches):
+        for batch in batches:
+            out = [[{"a": a, "b": b} for a, b in window_spans(np.sort(np.array(x, np.int64)), length)] for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, SPANS)], names=["key", "sid", "spans"])
+
+    return starts.mapInArrow(spans, "key long, sid long, spans array<struct<a:long,b:long>>")
 
 
 def find_repeats(docs: DataFrame, kind: Kind, finder: Finder, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_doc, _hash, text, spans)``: every row with the unit intervals covered by repeated windows (NULL: none)."""
     docs = keyed(docs, id_col, text_col)
     found = written(_anchor_rows(docs, kind), "repeat-runs")
-    often = found.groupBy("key").agg(F.sum("many").alias("c")).where("c > 1").select("key")
-    candidates = written(found.join(often.hint("shuffle_merge"), "key").select("key", "sid", *KEY, "place"), "repeat-candidates")
-    distinct = candidates.groupBy("key", "sid").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "place")).alias("one"))
+    often = found.groupBy("key").agg(F.sum("many").alias("c")).where("c > 1").select("key", (F.col("c") > kind.hot).alias("hot"))
+    candidates = written(found.join(often.hint("shuffle_merge"), "key").select("key", "sid", *KEY, "place", "hot"), "repeat-candidates")
+    distinct = candidates.groupBy("key", "sid").agg(F.count("*").alias("n"), F.first("hot").alias("hot"), F.min(F.struct(*KEY, "place")).alias("one"))
     wanted = distinct.groupBy("one._doc", "one._hash").agg(
-        F.collect_list(F.struct("key", "sid", "n", F.col("one.place").alias("place"))).alias("places"))
+        F.collect_list(F.struct("key", "sid", "n", "hot", F.col("one.place").alias("place"))).alias("places"))
 
     def cut(batches):
+        def pack(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)],
+                                              names=["key", "sid", "n", "windows", "content"])
+
+        rows = []
         for batch in batches:
-            rows = [s for text, places in zip(batch.column(0), batch.column(1), strict=True)
-                    for s in _segments((text.as_py() or "").encode(), places.as_py(), kind)]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.binary()], strict=True)],
-                                             names=["key", "sid", "n", "windows", "content"])
+            for text, places in zip(batch.column(0), batch.column(1), strict=True):
+                for s in _segments((text.as_py() or "").encode(), places.as_py(), kind):
+                    rows.append(s)
+                    if len(rows) == 20_000:
+                        yield pack(rows)
+                        rows = []
+        if rows:
+            yield pack(rows)
 
     def search(batches):
         for shard in _shards(batches, kind.shard_bytes):
             out = [(s[0], s[1], [{"a": a, "b": b} for a, b in spans]) for s, spans in finder(shard) if spans]
             cols = list(zip(*out, strict=True)) if out else [()] * 3
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))]
+            kinds = [pa.int64(), pa.int64(), SPANS]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "sid", "spans"])
 
     segments = docs.join(wanted, KEY).select("text", "places").mapInArrow(cut, "key long, sid long, n long, windows long, content binary")
-    repeated = segments.repartition(partitions(docs), "key").sortWithinPartitions("key", "sid") \
+    hot = not candidates.where("hot").isEmpty()
+    if hot:
+        # Read twice, so cut once.
+        segments = written(segments, "repeat-segments")
+    repeated = segments.where("windows > 0").repartition(partitions(docs), "key").sortWithinPartitions("key", "sid") \
         .mapInArrow(search, "key long, sid long, spans array<struct<a:long,b:long>>")
+    if hot:
+        repeated = repeated.union(_counted(segments.where("windows <= 0"), kind.length))
     start = F.shiftright("place", 16)
     covered = candidates.join(repeated, ["key", "sid"]).select(*KEY, F.explode("spans").alias("s"), start.alias("at")) \
         .groupBy(*KEY).agg(F.collect_set(F.struct((F.col("s.a") + F.col("at")).alias("a"), (F.col("s.b") + F.col("at")).alias("b"))).alias("spans"))

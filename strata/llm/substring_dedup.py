@@ -172,9 +172,13 @@ def matches(index: FMIndex, text: np.ndarray, first: np.ndarray, size: np.ndarra
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept)``: every document without the words covered by repeated windows, joined by one space."""
-    kind = Kind(words=True, length=length, gram=gram, shard_bytes=6 << 20)
+def remove_repeats(docs: DataFrame, length: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text",
+                   hot: int = 1 << 16) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept)``: every document without the words covered by repeated windows, joined by one space.
+
+    Anchors with more than ``hot`` runs are counted window by window and not put into a shard's index.
+    """
+    kind = Kind(words=True, length=length, gram=gram, shard_bytes=6 << 20, hot=hot)
 
     def drop(batches):
         for batch in batches:

@@ -141,9 +141,13 @@ def repeated_windows(data: np.ndarray, parse: Parse, at: np.ndarray, weight: np.
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept)``: every document's bytes without those covered by repeated windows."""
-    kind = Kind(words=False, length=length, gram=gram, shard_bytes=2 << 20)
+def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, id_col: str = "doc_id", text_col: str = "text",
+                   hot: int = 1 << 13) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept)``: every document's bytes without those covered by repeated windows.
+
+    Anchors with more than ``hot`` runs are counted window by window and not put into a shard's arrays.
+    """
+    kind = Kind(words=False, length=length, gram=gram, shard_bytes=2 << 20, hot=hot)
 
     def drop(batches):
         for batch in batches:

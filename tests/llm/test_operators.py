@@ -167,8 +167,9 @@ def random_texts(seed, n=60):
 def test_substring_dedup_random(spark, seed):
     texts = dict(enumerate(random_texts(seed)))
     df = spark.createDataFrame(rows(list(texts.values())), SCHEMA).repartition(4)
-    for length, gram in ((6, 2), (8, 8), (3, 1)):
-        out = substring_dedup.remove_repeats(df, length=length, gram=gram).withColumn("h", sha("kept"))
+    # Few, some and all anchors beyond the bound of a shard.
+    for length, gram, hot in ((6, 2, 9), (8, 8, 1 << 16), (3, 1, 0)):
+        out = substring_dedup.remove_repeats(df, length=length, gram=gram, hot=hot).withColumn("h", sha("kept"))
         assert got(out, "n_words", "n_removed", "h") == brute.substring(texts, length)
 
 
@@ -176,8 +177,8 @@ def test_substring_dedup_random(spark, seed):
 def test_suffix_dedup_random(spark, seed):
     texts = dict(enumerate(random_texts(seed)))
     df = spark.createDataFrame(rows(list(texts.values())), SCHEMA).repartition(4)
-    for length, gram in ((20, 6), (40, 10)):
-        out = suffix_dedup.remove_repeats(df, length=length, gram=gram).withColumn("h", sha("kept"))
+    for length, gram, hot in ((20, 6, 9), (40, 10, 1 << 13), (20, 6, 0)):
+        out = suffix_dedup.remove_repeats(df, length=length, gram=gram, hot=hot).withColumn("h", sha("kept"))
         assert got(out, "n_bytes", "n_removed", "n_spans", "h") == brute.suffix(texts, length)
 
 
@@ -192,10 +193,11 @@ def test_dedup_edges(edges, empty):
 
 def test_dedup_repeated_rows_and_null_ids(spark):
     """The same row twice, one id with two texts, NULL ids: every row is a document of its own."""
-    data = rows([PASSAGE, PASSAGE, "x " + PASSAGE[5:], "unique text"], [1, 1, 1, None])
-    out = substring_dedup.remove_repeats(spark.createDataFrame(data, SCHEMA)).select("doc_id", "n_words", "n_removed").collect()
-    assert sorted(out, key=str) == sorted([(1, 60, 60), (1, 60, 60), (1, 60, 59 - 1), (None, 2, 0)], key=str) or \
-        sorted(r["n_removed"] for r in out)[0] == 0 and sum(r["n_removed"] == 60 for r in out) == 2
+    ids, texts = [1, 1, 1, None], [PASSAGE, PASSAGE, "x " + PASSAGE[5:], "unique text"]
+    df, expected = spark.createDataFrame(rows(texts, ids), SCHEMA), brute.substring(dict(enumerate(texts)))
+    for hot in (1 << 16, 0):
+        out = substring_dedup.remove_repeats(df, hot=hot).withColumn("h", sha("kept")).select("doc_id", "n_words", "n_removed", "h").collect()
+        assert sorted(map(tuple, out), key=str) == sorted(((d, *expected[i]) for i, d in enumerate(ids)), key=str)
 
 
 def test_smoke_dedup(spark):
