@@ -141,10 +141,10 @@ def _segments(text: bytes, places: list[dict], kind: Kind):
     for p in places:
         start, n = p["place"] >> 16, p["place"] & 0xFFFF
         if p["hot"]:
-            # No shard takes it: the digest of each window, which stands as 0 or less at ``windows``.
+            # No shard takes it: the digest of each window, whose start stands at ``windows``.
             for i in range(n):
                 window = kind.join(units[start + i:start + i + kind.length])
-                yield p["key"], p["sid"], p["n"], -i, hashlib.blake2b(window, digest_size=16).digest()
+                yield p["key"], p["sid"], p["n"], i, hashlib.blake2b(window, digest_size=16).digest()
         else:
             yield p["key"], p["sid"], p["n"], n, kind.join(units[start:start + n - 1 + kind.length])
 
@@ -152,7 +152,7 @@ def _segments(text: bytes, places: list[dict], kind: Kind):
 def _counted(windows: DataFrame, length: int) -> DataFrame:
     """``(key, sid, spans)`` of hot segments: their windows whose digest occurs twice, by partial counts joined back."""
     often = windows.groupBy("content").agg(F.sum("n").alias("c")).where("c > 1").select("content")
-    starts = windows.join(often.hint("shuffle_merge"), "content").groupBy("key", "sid").agg(F.collect_set(-F.col("windows")).alias("starts"))
+    starts = windows.join(often.hint("shuffle_merge"), "content").groupBy("key", "sid").agg(F.collect_set("windows").alias("starts"))
 
     def spans(batches):
         for batch in batches:
@@ -172,21 +172,24 @@ def find_repeats(docs: DataFrame, kind: Kind, finder: Finder, id_col: str = "doc
     wanted = distinct.groupBy("one._doc", "one._hash").agg(
         F.collect_list(F.struct("key", "sid", "n", "hot", F.col("one.place").alias("place"))).alias("places"))
 
-    def cut(batches):
+    def cut(hot: bool):
         def pack(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)],
                                               names=["key", "sid", "n", "windows", "content"])
 
-        rows = []
-        for batch in batches:
-            for text, places in zip(batch.column(0), batch.column(1), strict=True):
-                for s in _segments((text.as_py() or "").encode(), places.as_py(), kind):
-                    rows.append(s)
-                    if len(rows) == 20_000:
-                        yield pack(rows)
-                        rows = []
-        if rows:
-            yield pack(rows)
+        def run(batches):
+            rows = []
+            for batch in batches:
+                for text, places in zip(batch.column(0), batch.column(1), strict=True):
+                    mine = [p for p in places.as_py() if p["hot"] == hot]
+                    for s in _segments((text.as_py() or "").encode(), mine, kind) if mine else ():
+                        rows.append(s)
+                        if len(rows) == 20_000:
+                            yield pack(rows)
+                            rows = []
+            if rows:
+                yield pack(rows)
+        return run
 
     def search(batches):
         for shard in _shards(batches, kind.shard_bytes):
@@ -195,15 +198,13 @@ def find_repeats(docs: DataFrame, kind: Kind, finder: Finder, id_col: str = "doc
             kinds = [pa.int64(), pa.int64(), SPANS]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "sid", "spans"])
 
-    segments = docs.join(wanted, KEY).select("text", "places").mapInArrow(cut, "key long, sid long, n long, windows long, content binary")
-    hot = not candidates.where("hot").isEmpty()
-    if hot:
-        # Read twice, so cut once.
-        segments = written(segments, "repeat-segments")
-    repeated = segments.where("windows > 0").repartition(partitions(docs), "key").sortWithinPartitions("key", "sid") \
+    # One job for both kinds of segment: the shuffled texts are used again, here and at the end.
+    holders, schema = docs.join(wanted, KEY).select("text", "places"), "key long, sid long, n long, windows long, content binary"
+    repeated = holders.mapInArrow(cut(False), schema).repartition(partitions(docs), "key").sortWithinPartitions("key", "sid") \
         .mapInArrow(search, "key long, sid long, spans array<struct<a:long,b:long>>")
-    if hot:
-        repeated = repeated.union(_counted(segments.where("windows <= 0"), kind.length))
+    if not candidates.where("hot").isEmpty():
+        windows = holders.where(F.exists("places", lambda p: p["hot"])).mapInArrow(cut(True), schema)
+        repeated = repeated.union(_counted(windows, kind.length))
     start = F.shiftright("place", 16)
     covered = candidates.join(repeated, ["key", "sid"]).select(*KEY, F.explode("spans").alias("s"), start.alias("at")) \
         .groupBy(*KEY).agg(F.collect_set(F.struct((F.col("s.a") + F.col("at")).alias("a"), (F.col("s.b") + F.col("at")).alias("b"))).alias("spans"))
