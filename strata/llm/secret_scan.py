@@ -9,8 +9,9 @@ the span of the original text it came from, so a secret found at any depth is
 reported at its place in the document.
 
 Documents are independent: one pass, no shuffle.  Layers are visited depth
-first and made lazily, inflated data in pieces of ``PIECE`` characters that
-overlap by ``OVERLAP``, so memory is bounded by one piece per depth.
+first and made lazily.  A payload's data is one layer, all its members
+together, so nothing inside it is cut; ``max_inflated`` bounds what a document
+inflates to, and so the memory of its task.
 
 Defined cases: NULL and empty texts have no spans; repeated rows give
 repeated results; a NULL id stays NULL; extra columns are ignored; a document
@@ -23,6 +24,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -46,9 +48,14 @@ ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f
 ONE_ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]+\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]+;|&#[xX][0-9A-Fa-f]+;")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-RAW = re.compile(r"(?:\x1f\x8b\x08|BZh[1-9]1AY&SY|\x28\xb5\x2f\xfd|\xfd7zXZ\x00)[\x00-\xff]*")
+#: Headers of compressed data; those of zlib are the pairs divisible by 31 without a preset dictionary.
+ZLIB = b"|".join(re.escape(bytes([c, f])) for c in range(0x08, 0x80, 0x10) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32)
+MAGIC = re.compile(rb"(?P<deflate>\x1f\x8b\x08|" + ZLIB + rb")|(?P<bzip>BZh[1-9](?:1AY&SY|\x17rE8P\x90))|(?P<zstd>\x28\xb5\x2f\xfd)"
+                   rb"|(?P<lzma>\xfd7zXZ\x00|\x5d\x00\x00)", re.S)
+RAW = re.compile(MAGIC.pattern.decode("latin-1"), re.S)
+LATIN = re.compile(r"[\x00-\xff]+")
 URLSAFE = bytes.maketrans(b"-_", b"+/")
-PIECE, OVERLAP = 1 << 22, 1 << 14
+PIECE = 1 << 22
 
 Span = tuple[str, int, int]
 
@@ -75,8 +82,12 @@ def digest(spans: list[Span]) -> str:
 class Layer:
     """A text and, per character, where it begins and ends in the document (``None``: it is the document)."""
 
-    def __init__(self, text: str, start=None, end=None):
-        self.text, self.start, self.end = text, start, end
+    def __init__(self, text: str, start=None, end=None, guard: Guard | None = None):
+        self.text, self.start, self.end, self.guard = text, start, end, guard
+
+    def at_one_place(self) -> bool:
+        """Inflated text stands whole at the place of its payload: one pair of numbers however long it is."""
+        return self.start is not None and len(self.start) > 1 and self.start.strides == (0,) == self.end.strides
 
     def place(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.start is None else (int(self.start[a]), int(self.end[b - 1]))
@@ -90,6 +101,13 @@ def _rewritten(layer: Layer, parts: list[tuple[int, int, str, list[int] | None]]
     """The layer with each ``[a, b)`` replaced; ``widths`` gives the source length of each new character (None: the whole span)."""
     if not parts:
         return None
+    if layer.at_one_place():
+        text, at = [], 0
+        for a, b, new, _ in parts:
+            text += [layer.text[at:a], new]
+            at = b
+        new = "".join([*text, layer.text[at:]])
+        return Layer(new, np.broadcast_to(layer.start[0], len(new)), np.broadcast_to(layer.end[0], len(new)), layer.guard)
     s, e = layer.arrays()
     text, starts, ends, at = [], [], [], 0
     for a, b, new, widths in parts:
@@ -107,65 +125,80 @@ def _rewritten(layer: Layer, parts: list[tuple[int, int, str, list[int] | None]]
     text.append(layer.text[at:])
     starts.append(s[at:])
     ends.append(e[at:])
-    return Layer("".join(text), np.concatenate(starts), np.concatenate(ends))
-
-
-def _pieces(blob: bytes) -> Iterator[str]:
-    """Text of a compressed payload in overlapping pieces; nothing if it is none."""
-    if blob[:2] == b"\x1f\x8b" or (len(blob) > 2 and blob[0] & 15 == 8 and (blob[0] << 8 | blob[1]) % 31 == 0):
-        make = lambda: zlib.decompressobj(47)  # noqa: E731  gzip or zlib by its header
-    elif blob[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif blob[:6] == b"\xfd7zXZ\x00" or blob[:3] == b"\x5d\x00\x00":
-        make = lzma.LZMADecompressor
-    elif blob[:4] == b"\x28\xb5\x2f\xfd":
-        import zstandard
-        with zstandard.ZstdDecompressor().stream_reader(blob) as reader:
-            yield from _decoded(iter(lambda: _zread(reader, zstandard.ZstdError), b""))
-        return
-    else:
-        return
-
-    def stream():
-        unit, rest = make(), blob
-        while True:
-            try:
-                out = unit.decompress(rest, PIECE)
-            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-                return
-            rest = unit.unconsumed_tail if hasattr(unit, "unconsumed_tail") else b""
-            if not out:
-                return
-            yield out
-            if unit.eof:
-                return
-    yield from _decoded(stream())
+    return Layer("".join(text), np.concatenate(starts), np.concatenate(ends), layer.guard)
 
 
-def _zread(reader, error) -> bytes:
-    try:
-        return reader.read(PIECE)
-    except error:
-        return b""
+class Guard:
+    """What the payloads of one document may still inflate to, in bytes, and whether that stopped one."""
+
+    def __init__(self, left: int):
+        self.left, self.stopped = left, False
 
 
-def _decoded(chunks: Iterator[bytes]) -> Iterator[str]:
-    tail = ""
-    for x in chunks:
-        # Bytes that are no text still hold ASCII secrets or further payloads: Latin-1 keeps them one to one.
+def _unit(kind: str):
+    """A decompressor and how much input it gets at once (zstd has no bound on its output but its input)."""
+    if kind == "zstd":
+        import zstandard
+        return zstandard.ZstdDecompressor().decompressobj(), 1 << 9
+    return {"deflate": lambda: zlib.decompressobj(47), "bzip": bz2.BZ2Decompressor, "lzma": lzma.LZMADecompressor}[kind](), 1 << 16
+
+
+def _inflate(blob: memoryview, guard: Guard) -> tuple[bytes, int]:
+    """The data of the payload at the start of ``blob`` and the bytes it takes (0: it has no end); members of its kind that follow belong to it."""
+    kind, out, at, used = MAGIC.match(blob).lastgroup, bytearray(), 0, 0
+    while (m := MAGIC.match(blob, at)) and m.lastgroup == kind and not guard.stopped:
+        unit, step = _unit(kind)
+        fed, data = at, b""
         try:
-            text = x.decode()
-        except UnicodeDecodeError:
-            text = x.decode("latin-1")
-        yield tail + text
-        tail = (tail + text)[-OVERLAP:]
+            while not unit.eof:
+                if not data and getattr(unit, "needs_input", True):
+                    data = bytes(blob[fed:fed + step])
+                    fed += len(data)
+                x = unit.decompress(data) if kind == "zstd" else unit.decompress(data, max(1, min(PIECE, guard.left + 1)))
+                if not x and not data:
+                    return bytes(out), used
+                data = getattr(unit, "unconsumed_tail", b"")
+                out += x
+                guard.left -= len(x)
+                if guard.left < 0:
+                    guard.stopped = True
+                    return bytes(out), used
+        except MemoryError:
+            guard.stopped = True
+            return bytes(out), used
+        except Exception as e:  # noqa: BLE001  each library has its own error for bytes that are no payload
+            if type(e).__name__ not in ("error", "OSError", "LZMAError", "EOFError", "ValueError", "ZstdError"):
+                raise
+            return bytes(out), used
+        at = used = fed - len(unit.unused_data)
+        while at < len(blob) and not blob[at]:
+            at += 1
+    return bytes(out), used
+
+
+def _payloads(blob: bytes, guard: Guard) -> Iterator[tuple[int, int, bytes]]:
+    """Compressed payloads wherever they begin in the bytes: ``(start, end, data)``; one without an end goes to the last byte."""
+    at = 0
+    while not guard.stopped and (m := MAGIC.search(blob, at)):
+        data, used = _inflate(memoryview(blob)[m.start():], guard)
+        at = m.start() + (used or 1)
+        if data:
+            yield m.start(), m.start() + used if used else len(blob), data
+
+
+def _decoded(data: bytes) -> str:
+    """Bytes that are no text still hold ASCII secrets or further payloads: Latin-1 keeps them one to one."""
+    try:
+        return codecs.getincrementaldecoder("utf-8")().decode(data)
+    except UnicodeDecodeError:
+        return data.decode("latin-1")
 
 
 def _url(layer: Layer) -> Iterator[Layer]:
     parts = []
     for m in PERCENT.finditer(layer.text):
         raw = bytes.fromhex(m[0].replace("%", ""))
-        yield from (Layer(t, *_whole(layer, m.start(), m.end(), t)) for t in _pieces(raw))
+        yield from _inflated(layer, raw, lambda i, a=m.start(): a + 3 * i)
         try:
             new = raw.decode()
         except UnicodeDecodeError:
@@ -204,9 +237,6 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
                 widths.append(len(x))
         new = "".join("\ufffd" if 0xD800 <= c < 0xE000 else chr(c) for c in codes)
         parts.append((m.start(), m.end(), new, widths))
-        if all(c < 256 for c in codes):
-            raw = bytes(codes)
-            yield from (Layer(t, *_whole(layer, m.start(), m.end(), t)) for t in _pieces(raw))
     if out := _rewritten(layer, parts):
         yield out
     if not layer.text.isascii() and not unicodedata.is_normalized("NFKC", layer.text):
@@ -216,9 +246,12 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
             yield out
 
 
-def _whole(layer: Layer, a: int, b: int, text: str):
-    s, e = layer.place(a, b)
-    return np.full(len(text), s), np.full(len(text), e)
+def _inflated(layer: Layer, blob: bytes, where) -> Iterator[Layer]:
+    """Layers of the payloads in ``blob``, whose byte ``i`` begins at ``where(i)`` in the layer."""
+    for a, b, data in _payloads(blob, layer.guard):
+        text = _decoded(data)
+        s, e = layer.place(where(a), where(b))
+        yield Layer(text, np.broadcast_to(s, len(text)), np.broadcast_to(e, len(text)), layer.guard)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -236,16 +269,16 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             except binascii.Error:
                 continue
             inflated = False
-            for t in _pieces(raw):
+            for found_layer in _inflated(layer, raw, lambda i: int(where[i * 4 // 3]) if i < len(raw) else int(where[-1]) + 1):
                 inflated = True
-                yield Layer(t, *_whole(layer, *m.span(), t))
+                yield found_layer
             text, width = (None, None) if inflated else _as_text(raw)
             if text is None:
                 continue
             edge = np.concatenate(([0], np.cumsum([width(c) for c in text]))).astype(np.int64)
             s, e = layer.arrays()
             first, last = where[edge[:-1] * 4 // 3], where[np.minimum((edge[1:] * 4 + 2) // 3, len(body)) - 1]
-            yield Layer(text, s[first], e[last])
+            yield Layer(text, s[first], e[last], layer.guard)
 
 
 def _as_text(raw: bytes):
@@ -265,9 +298,9 @@ def _as_text(raw: bytes):
 
 def _raw(layer: Layer) -> Iterator[Layer]:
     """Payloads whose bytes stand in the text as characters up to U+00FF."""
-    for m in RAW.finditer(layer.text):
-        blob = m[0].encode("latin-1")
-        yield from (Layer(t, *_whole(layer, *m.span(), t)) for t in _pieces(blob))
+    if RAW.search(layer.text):
+        for m in LATIN.finditer(layer.text):
+            yield from _inflated(layer, m[0].encode("latin-1"), lambda i, a=m.start(): a + i)
 
 
 def children(layer: Layer) -> Iterator[Layer]:
@@ -283,8 +316,9 @@ def find_secrets(text: str | None, max_inflated: int = 1 << 28) -> tuple[list[Sp
     """Base spans, all spans, and whether the inflation guard stopped the search."""
     text = text or ""
     base = ordered(scan(text))
-    spans, seen, budget = set(base), set(), max_inflated
-    root = Layer(text)
+    spans, seen, guard = set(base), set(), Guard(max_inflated)
+    budget = max_inflated
+    root = Layer(text, guard=guard)
     seen.add(_mark(root))
     work = [children(root)]
     while work:
@@ -300,7 +334,7 @@ def find_secrets(text: str | None, max_inflated: int = 1 << 28) -> tuple[list[Sp
             return base, ordered(spans), True
         spans.update((k, *layer.place(a, b)) for k, a, b in scan(layer.text))
         work.append(children(layer))
-    return base, ordered(spans), False
+    return base, ordered(spans), guard.stopped
 
 
 def _mark(layer: Layer):

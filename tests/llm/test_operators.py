@@ -1,9 +1,12 @@
 """Each operator against a brute-force restatement: edge rows, random texts, the smallest test data."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import urllib.parse
+import zlib
 
 import numpy as np
 import pytest
@@ -91,6 +94,23 @@ def test_layers_end(monkeypatch):
     assert secret_scan.find_secrets(base64.b64encode(gzip.compress(b"x" * 100_000)).decode(), max_inflated=1000)[2]
 
 
+def test_secrets_in_every_member_and_payload():
+    """Members that follow one another (also cutting a secret), payloads behind another one, and payloads beyond 4 MiB of inflated data."""
+    kinds = lambda t: {k for k, _, _ in secret_scan.find_secrets(t)[1]}
+    rng = random.Random(7)
+    noise = bytes(rng.choice(b"abcdefgh ij") for _ in range(3000))
+    half = len(SECRET) - 5
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zlib.compress):
+        members = pack(noise) + pack(SECRET[:half].encode()) + pack(SECRET[half:].encode())
+        assert kinds(base64.b64encode(members).decode()) >= {"assign", "access"}
+        raw = (pack(noise) + b" between " + pack(SECRET.encode())).decode("latin-1")
+        spans = secret_scan.find_secrets("漢 " + raw + " after")[1]
+        assert {k for k, _, _ in spans} >= {"assign", "access"} and all(a > len(raw) // 2 and b <= len(raw) + 2 for _, a, b in spans)
+    filler = b"word " * ((1 << 22) // 5 - 4000)
+    inner = gzip.compress(bytes(rng.randrange(256) for _ in range(60_000)) + SECRET.encode())
+    assert kinds(base64.b64encode(gzip.compress(filler + inner + filler)).decode()) >= {"assign", "access"}
+
+
 # ---- chat ----
 
 def test_chat_round_trip_and_loss(spark):
