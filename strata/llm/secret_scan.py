@@ -43,6 +43,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: What URL encoders leave bare (``encodeURI`` the most) and escapes.
+STRETCH = re.compile(r"[A-Za-z0-9;,/?:@&=+$._~!*'()#%-]+")
+ONE_BYTE = re.compile(r"%[0-9A-Fa-f]{2}|.")
 ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ONE_ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]+\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]+;|&#[xX][0-9A-Fa-f]+;")
@@ -194,11 +197,25 @@ def _decoded(data: bytes) -> str:
         return data.decode("latin-1")
 
 
+def _url_bytes(layer: Layer) -> Iterator[Layer]:
+    """Percent-encoded payloads: ordinary encoders leave some bytes bare, so a whole stretch is decoded as bytes."""
+    for m in STRETCH.finditer(layer.text):
+        if not PERCENT.search(m[0]):
+            continue
+        units = ONE_BYTE.findall(m[0])
+        edge = m.start() + np.concatenate(([0], np.cumsum([len(u) for u in units])))
+        blob = bytes(ord(u) if len(u) == 1 else int(u[1:], 16) for u in units)
+        # Form encoders write a blank as a plus.
+        blank = bytes(0x20 if u == "+" else b for u, b in zip(units, blob, strict=True))
+        for x in dict.fromkeys((blob, blank)):
+            yield from _inflated(layer, x, lambda i, edge=edge: int(edge[i]))
+
+
 def _url(layer: Layer) -> Iterator[Layer]:
+    yield from _url_bytes(layer)
     parts = []
     for m in PERCENT.finditer(layer.text):
         raw = bytes.fromhex(m[0].replace("%", ""))
-        yield from _inflated(layer, raw, lambda i, a=m.start(): a + 3 * i)
         try:
             new = raw.decode()
         except UnicodeDecodeError:

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from strata.llm import chat, decontaminate, mixing, pu_quality, quality_rules, queries, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup
@@ -111,6 +112,18 @@ def test_secrets_in_every_member_and_payload():
     assert kinds(base64.b64encode(gzip.compress(filler + inner + filler)).decode()) >= {"assign", "access"}
 
 
+@pytest.mark.parametrize("quote", [urllib.parse.quote, urllib.parse.quote_plus, lambda b: urllib.parse.quote(b, safe=";,/?:@&=+$-_.!~*'()#"),
+                                   lambda b: urllib.parse.quote(urllib.parse.quote(b))])
+def test_secrets_in_url_encoded_payloads(quote):
+    """Ordinary encoders leave letters and digits of a payload bare; the header of zlib begins with one."""
+    for pack in (lambda b: gzip.compress(b, mtime=0), zlib.compress, bz2.compress, zstandard.compress):
+        for pad in range(20):
+            text = "see https://x.org/?q=" + quote(pack((SECRET + "p q" * pad).encode())) + " after"
+            spans = secret_scan.find_secrets(text)[1]
+            assert {k for k, _, _ in spans} >= {"assign", "access"}
+            assert all(text.index("q=") < a < b <= len(text) - len(" after") for _, a, b in spans)
+
+
 # ---- chat ----
 
 def test_chat_round_trip_and_loss(spark):
