@@ -45,12 +45,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 #: What URL encoders leave bare (``encodeURI`` the most) and escapes.
 STRETCH = re.compile(r"[A-Za-z0-9;,/?:@&=+$._~!*'()#%-]+")
+BARE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789;,/?:@&=+$._~!*'()#%-")
 ONE_BYTE = re.compile(r"%[0-9A-Fa-f]{2}|.")
 ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 ONE_ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]+\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]+;|&#[xX][0-9A-Fa-f]+;")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Wrapped lines after the first are of any length.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: The least that may hold a secret or its wrapping: 12 characters that are, or become, printable ASCII.
+TEXTY = re.compile(rb"[\t\n\r\x20-\x7e\xa0\xaa\xb2\xb3\xb9\xba]{12}")
 #: Headers of compressed data; those of zlib are the pairs divisible by 31 without a preset dictionary.
 ZLIB = b"|".join(re.escape(bytes([c, f])) for c in range(0x08, 0x80, 0x10) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32)
 MAGIC = re.compile(rb"(?P<deflate>\x1f\x8b\x08|" + ZLIB + rb")|(?P<bzip>BZh[1-9](?:1AY&SY|\x17rE8P\x90))|(?P<zstd>\x28\xb5\x2f\xfd)"
@@ -199,11 +203,16 @@ def _decoded(data: bytes) -> str:
 
 def _url_bytes(layer: Layer) -> Iterator[Layer]:
     """Percent-encoded payloads: ordinary encoders leave some bytes bare, so a whole stretch is decoded as bytes."""
-    for m in STRETCH.finditer(layer.text):
-        if not PERCENT.search(m[0]):
+    end = 0
+    for m in PERCENT.finditer(layer.text):
+        if m.start() < end:
             continue
-        units = ONE_BYTE.findall(m[0])
-        edge = m.start() + np.concatenate(([0], np.cumsum([len(u) for u in units])))
+        a = m.start()
+        while a > end and layer.text[a - 1] in BARE:
+            a -= 1
+        end = STRETCH.match(layer.text, a).end()
+        units = ONE_BYTE.findall(layer.text, a, end)
+        edge = a + np.concatenate(([0], np.cumsum([len(u) for u in units])))
         blob = bytes(ord(u) if len(u) == 1 else int(u[1:], 16) for u in units)
         # Form encoders write a blank as a plus.
         blank = bytes(0x20 if u == "+" else b for u, b in zip(units, blob, strict=True))
@@ -271,31 +280,58 @@ def _inflated(layer: Layer, blob: bytes, where) -> Iterator[Layer]:
         yield Layer(text, np.broadcast_to(s, len(text)), np.broadcast_to(e, len(text)), layer.guard)
 
 
+def _blocks(layer: Layer, a: int, b: int) -> Iterator[list[tuple[int, int]]]:
+    """The line spans of base64 texts in a wrapped stretch: all its lines, lines of one length with the shorter last one, each long line."""
+    lines = [m.span() for m in LINE.finditer(layer.text, a, b)]
+    yield lines
+    if len(lines) == 1:
+        return
+    yield from ([x] for x in lines if x[1] - x[0] >= 16)
+    i = 0
+    while i < len(lines):
+        width, j = lines[i][1] - lines[i][0], i + 1
+        while j < len(lines) and lines[j][1] - lines[j][0] == width:
+            j += 1
+        if j < len(lines) and lines[j][1] - lines[j][0] < width:
+            yield lines[i:j + 1]
+        if j - i > 1:
+            yield lines[i:j]
+        i = j
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
     for wrapped in BASE64.finditer(layer.text):
-        found = [wrapped]
-        if "\n" in wrapped[0]:
-            found += list(TOKEN.finditer(layer.text, *wrapped.span()))
-        for m in found:
-            where = np.array([i for i, c in enumerate(m[0], m.start()) if c not in "\r\n="], np.int64)
-            body = re.sub(r"[\r\n=]", "", m[0]).encode().translate(URLSAFE)
+        for lines in _blocks(layer, *wrapped.span()):
+            if sum(b - a for a, b in lines) < 16:
+                continue
+            body = "".join(layer.text[a:b] for a, b in lines).rstrip("=").replace("=", "").encode().translate(URLSAFE)
             if len(body) % 4 == 1:
                 body = body[:-1]
             try:
                 raw = base64.b64decode(body + b"=" * (-len(body) % 4))
             except binascii.Error:
                 continue
-            inflated = False
-            for found_layer in _inflated(layer, raw, lambda i: int(where[i * 4 // 3]) if i < len(raw) else int(where[-1]) + 1):
-                inflated = True
-                yield found_layer
-            text, width = (None, None) if inflated else _as_text(raw)
-            if text is None:
-                continue
-            edge = np.concatenate(([0], np.cumsum([width(c) for c in text]))).astype(np.int64)
-            s, e = layer.arrays()
-            first, last = where[edge[:-1] * 4 // 3], where[np.minimum((edge[1:] * 4 + 2) // 3, len(body)) - 1]
-            yield Layer(text, s[first], e[last], layer.guard)
+            first, last = lines[0][0], lines[-1][1]
+            where = None
+            for text, width in _texts(raw):
+                if layer.at_one_place():
+                    yield Layer(text, np.broadcast_to(layer.start[0], len(text)), np.broadcast_to(layer.end[0], len(text)), layer.guard)
+                    continue
+                if where is None:
+                    where = np.concatenate([np.arange(a, b) for a, b in lines])
+                    where = where[:len(body)] if "=" not in layer.text[first:last] else np.array([i for i in where if layer.text[i] != "="], np.int64)[:len(body)]
+                edge = np.arange(len(text) + 1) if width is None else np.concatenate(([0], np.cumsum([width(c) for c in text]))).astype(np.int64)
+                s, e = layer.arrays()
+                yield Layer(text, s[where[edge[:-1] * 4 // 3]], e[where[np.minimum((edge[1:] * 4 + 2) // 3, len(body)) - 1]], layer.guard)
+
+
+def _texts(raw: bytes):
+    """Layers of decoded bytes with the byte width of a character (None: one): text, and bytes that are no text one to one if they can hold anything."""
+    text, width = _as_text(raw)
+    if text is not None:
+        yield text, width
+    if (text is None and TEXTY.search(raw)) or (not raw.isascii() and MAGIC.search(raw)):
+        yield raw.decode("latin-1"), None
 
 
 def _as_text(raw: bytes):
@@ -309,7 +345,7 @@ def _as_text(raw: bytes):
             continue
         odd = sum(c < " " and c not in "\t\n\r\x0b\x0c" for c in text)
         if odd * 10 <= len(text):
-            return text, width
+            return text, None if raw.isascii() and name == "utf-8" else width
     return None, None
 
 
