@@ -56,9 +56,9 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: The least that may hold a secret or its wrapping: 12 characters that are, or become, printable ASCII.
 TEXTY = re.compile(rb"[\t\n\r\x20-\x7e\xa0\xaa\xb2\xb3\xb9\xba]{12}")
 #: Headers of compressed data; those of zlib are the pairs divisible by 31 without a preset dictionary.
-ZLIB = b"|".join(re.escape(bytes([c, f])) for c in range(0x08, 0x80, 0x10) for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32)
-MAGIC = re.compile(rb"(?P<deflate>\x1f\x8b\x08|" + ZLIB + rb")|(?P<bzip>BZh[1-9](?:1AY&SY|\x17rE8P\x90))|(?P<zstd>\x28\xb5\x2f\xfd)"
-                   rb"|(?P<lzma>\xfd7zXZ\x00|\x5d\x00\x00)", re.S)
+ZLIB = {c: bytes(f for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 32) for c in range(0x08, 0x80, 0x10)}
+MAGIC = re.compile(b"|".join(re.escape(bytes([c])) + b"[" + re.escape(f) + b"]" for c, f in ZLIB.items())
+                   + rb"|\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\x28\xb5\x2f\xfd|\xfd7zXZ\x00|\x5d\x00\x00", re.S)
 RAW = re.compile(MAGIC.pattern.decode("latin-1"), re.S)
 LATIN = re.compile(r"[\x00-\xff]+")
 URLSAFE = bytes.maketrans(b"-_", b"+/")
@@ -142,6 +142,10 @@ class Guard:
         self.left, self.stopped = left, False
 
 
+def _kind(head: bytes) -> str:
+    return "zstd" if head[:2] == b"\x28\xb5" else {0x42: "bzip", 0xfd: "lzma", 0x5d: "lzma"}.get(head[0], "deflate")
+
+
 def _unit(kind: str):
     """A decompressor and how much input it gets at once (zstd has no bound on its output but its input)."""
     if kind == "zstd":
@@ -152,8 +156,8 @@ def _unit(kind: str):
 
 def _inflate(blob: memoryview, guard: Guard) -> tuple[bytes, int]:
     """The data of the payload at the start of ``blob`` and the bytes it takes (0: it has no end); members of its kind that follow belong to it."""
-    kind, out, at, used = MAGIC.match(blob).lastgroup, bytearray(), 0, 0
-    while (m := MAGIC.match(blob, at)) and m.lastgroup == kind and not guard.stopped:
+    kind, out, at, used = _kind(bytes(blob[:2])), bytearray(), 0, 0
+    while (m := MAGIC.match(blob, at)) and _kind(m[0]) == kind and not guard.stopped:
         unit, step = _unit(kind)
         fed, data = at, b""
         try:
