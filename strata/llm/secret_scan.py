@@ -15,8 +15,10 @@ inflates to, and so the memory of its task.
 
 Defined cases: NULL and empty texts have no spans; repeated rows give
 repeated results; a NULL id stays NULL; extra columns are ignored; a document
-whose layers inflate to more than ``max_inflated`` characters is scanned that
-far and says so in ``n_oversize`` (the guard against decompression bombs).
+whose payloads inflate to more than ``max_inflated`` bytes is scanned that
+far and says so in ``n_oversize`` (the guard against decompression bombs);
+rewritten layers are not charged to it, only escapes nested hundreds deep end
+in a guard of their own, with the same mark.
 """
 
 from __future__ import annotations
@@ -63,6 +65,10 @@ RAW = re.compile(MAGIC.pattern.decode("latin-1"), re.S)
 LATIN = re.compile(r"[\x00-\xff]+")
 URLSAFE = bytes.maketrans(b"-_", b"+/")
 PIECE = 1 << 22
+#: Layers as long as the document and all its inflated data, beyond which (and 2^28 characters) escapes of escapes end.
+REWRITTEN = 256
+#: The text of a document whose search was stopped: what was not searched does not go on.
+UNSEARCHED = "[UNSEARCHED]"
 
 Span = tuple[str, int, int]
 
@@ -374,7 +380,7 @@ def find_secrets(text: str | None, max_inflated: int = 1 << 28) -> tuple[list[Sp
     text = text or ""
     base = ordered(scan(text))
     spans, seen, guard = set(base), set(), Guard(max_inflated)
-    budget = max_inflated
+    spent = 0
     root = Layer(text, guard=guard)
     seen.add(_mark(root))
     work = [children(root)]
@@ -386,8 +392,8 @@ def find_secrets(text: str | None, max_inflated: int = 1 << 28) -> tuple[list[Sp
         if not layer.text or (mark := _mark(layer)) in seen:
             continue
         seen.add(mark)
-        budget -= len(layer.text)
-        if budget < 0:
+        spent += len(layer.text)
+        if spent > REWRITTEN * (len(text) + max_inflated - guard.left) + (1 << 28):
             return base, ordered(spans), True
         spans.update((k, *layer.place(a, b)) for k, a, b in scan(layer.text))
         work.append(children(layer))
@@ -442,12 +448,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", max_inflated: int = 1 << 28) -> DataFrame:
-    """The rows of ``docs`` with the secrets in ``text_col`` replaced by ``[SECRET]``, all other columns unchanged."""
+    """The rows of ``docs`` with the secrets in ``text_col`` replaced by ``[SECRET]``, all other columns unchanged.
+
+    A text whose search the guard stopped may hold more: it is replaced whole by ``UNSEARCHED``.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            texts = [masked(t, find_secrets(t, max_inflated)[1]) for t in batch.column(at).to_pylist()]
+            texts = []
+            for t in batch.column(at).to_pylist():
+                _, spans, over = find_secrets(t, max_inflated)
+                texts.append(UNSEARCHED if over else masked(t, spans))
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
     return docs.mapInArrow(run, docs.schema)

@@ -139,6 +139,17 @@ def test_secrets_in_base64_that_is_no_text():
                 assert any(k == "access" and len(text) - 30 <= a and b <= len(text) for k, a, b in spans), (n, text)
 
 
+def test_inflation_guard(spark):
+    """Rewritten layers are not charged to it, and what it stopped does not go on through the mask."""
+    long = "caf%C3%A9 \\u00e9 &#233; \ufb01 " * 200 + urllib.parse.quote(SECRET)
+    _, spans, over = secret_scan.find_secrets(long, max_inflated=len(long))
+    assert not over and {k for k, _, _ in spans} >= {"assign", "access"}
+    bomb = base64.b64encode(gzip.compress(b"x" * 100_000 + SECRET.encode())).decode()
+    df = spark.createDataFrame(rows(["plain text", bomb, None]), SCHEMA)
+    out = got(secret_scan.mask_secrets(df, max_inflated=1000), "text")
+    assert out == {0: ("plain text",), 1: (secret_scan.UNSEARCHED,), 2: (None,)}
+
+
 # ---- chat ----
 
 def test_chat_round_trip_and_loss(spark):
