@@ -1,23 +1,26 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities (e-mail, IP, card and phone values) are found in every
-text.  Around each occurrence the words of a small window are context terms.
-From the whole corpus we count in how many distinct contexts an entity ``e``
-occurs, in how many of them with term ``t``, and in how many documents ``t``
-occurs.  A term discloses an entity to the degree
+text.  The document is the context: every word outside the entities is a term
+of it.  Over the distinct contents of the corpus we count in how many an
+entity ``e`` occurs, in how many of them with term ``t``, and in how many
+``t`` occurs.  A term discloses an entity to the degree
 
     disclosure(t, e) = PMI(t, e) / IC(e) = log(p(t, e) / (p(t) p(e))) / -log p(e)
 
-which is 1 when seeing the term gives the entity away.  Terms seen with an
-entity in at least ``min_contexts`` distinct contexts whose disclosure reaches
-``generalise_at`` are generalised (replaced by their shape), those that reach
-``remove_at`` removed.  Copies of a context count once, so duplicated
-documents do not make their wording look revealing.
+which is 1 when seeing the term gives the entity away.  Pairs of one content only
+are left out.  In a document with the entity every occurrence of a term whose
+disclosure reaches ``generalise_at`` is generalised (replaced by its shape),
+of one that reaches ``remove_at`` removed.  Copies of a content count once in
+all counts, so duplicated documents do not make their wording look revealing.
 
-Plan: one pass over the texts in tasks writes three small row kinds (per
-document the base spans; per context term its place; per task partial document
-counts of terms); the corpus statistics are partially aggregated joins over
-them.  Texts are never shuffled.
+Plan: a first pass over the texts writes the base spans, the entities per
+content and partial counts of terms (contents that several tasks counted are
+taken off again).  Because ``n_te <= n_e``, most terms are too frequent to
+disclose an entity; a second pass, over texts with entities, writes the
+remaining pairs with their places, and joins on the counts decide.  Texts are
+shuffled only if the contents that stand in several tasks are too many for a
+broadcast join.
 
 Defined cases: NULL and empty texts have no spans; repeated rows give
 repeated results and count once as context; a NULL id stays NULL; extra
@@ -26,7 +29,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 
@@ -42,7 +44,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-WORD = re.compile(r"[^\W\d_]{2,}")
+WORD = re.compile(r"[^\W_]+")
 
 Span = tuple[str, int, int]
 
@@ -88,84 +90,143 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else re.sub('[^0-9]', '', value)}"
 
 
-def context_terms(text: str, base: list[Span], reach: int):
-    """``(entity, context digest, term, start, end)`` for the words within ``reach`` words of each entity."""
-    taken = sorted((a, b) for _, a, b in base)
-    for kind, a, b in base:
-        # 40 characters per word are searched at most; longer words end the window.
-        lo, hi = max(0, a - 40 * reach), min(len(text), b + 40 * reach)
-        left = [m for m in WORD.finditer(text, lo, a)][-reach:]
-        right = []
-        for m in WORD.finditer(text, b, hi):
-            right.append(m)
-            if len(right) == reach:
-                break
-        near = [m for m in left + right if not any(x < m.end() and m.start() < y for x, y in taken)]
-        mark = hashlib.blake2b("\0".join(m[0] for m in near).encode(), digest_size=8).digest()
-        for m in near:
-            yield entity(kind, text[a:b]), int.from_bytes(mark, "big", signed=True), m[0].lower(), m.start(), m.end()
-
-
-def _scan(docs: DataFrame, reach: int) -> DataFrame:
-    """The one pass over the texts: rows of tag ``doc``, ``near`` and ``df`` (see the module text)."""
+def term_places(text: str, base: list[Span]) -> dict[str, list[tuple[int, int]]]:
+    """The terms of a text, lower-cased, with all their places outside its entities."""
+    taken: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
+    i, out = 0, {}
+    for m in WORD.finditer(text):
+        while i < len(taken) and taken[i][1] <= m.start():
+            i += 1
+        if i == len(taken) or m.end() <= taken[i][0]:
+            out.setdefault(m[0].lower(), []).append(m.span())
+    return out
+
+
+def _pack(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _scan(docs: DataFrame) -> DataFrame:
+    """First pass over the texts: rows of tag ``doc`` (``n`` is 1 if the task counted the content), ``ent`` and ``df`` (see the module text)."""
     flush = 200_000
+    schema = pa.schema([("tag", pa.string()), ("_doc", pa.int64()), ("_hash", pa.int64()), ("name", pa.string()),
+                        ("base_spans", pa.string()), ("n", pa.int64())])
 
     def run(batches):
         counts: Counter = Counter()
+        met: set[int] = set()
         for batch in batches:
             rows = []
             for doc, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 text = text or ""
                 base = base_spans(text)
-                rows.append(("doc", doc, h, None, None, ",".join(f"{k}:{a}:{b}" for k, a, b in base), None, None, None))
-                near = dict.fromkeys(context_terms(text, base, reach))
-                rows += [("near", doc, h, e, t, None, mark, a, b) for e, mark, t, a, b in near]
-                counts.update(set(WORD.findall(text.lower())))
+                rows.append(("doc", doc, h, None, ",".join(f"{k}:{a}:{b}" for k, a, b in base), int(h not in met)))
+                if h in met:
+                    continue
+                met.add(h)
+                rows += [("ent", None, h, e, None, None) for e in {entity(k, text[a:b]) for k, a, b in base}]
+                counts.update(term_places(text, base).keys() if base else {w.lower() for w in set(WORD.findall(text))})
                 if len(counts) > flush:
-                    yield pack([("df", None, None, None, t, None, n, None, None) for t, n in counts.items()])
+                    yield _pack(schema, [("df", None, None, t, None, n) for t, n in counts.items()])
                     counts.clear()
-            yield pack(rows)
-        yield pack([("df", None, None, None, t, None, n, None, None) for t, n in counts.items()])
+            yield _pack(schema, rows)
+        yield _pack(schema, [("df", None, None, t, None, n) for t, n in counts.items()])
+
+    return docs.mapInArrow(run, "tag string, _doc long, _hash long, name string, base_spans string, n long")
+
 
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["tag", "_doc", "_hash", "entity", "term", "base_spans", "n", "start", "stop"]
+def _term_counts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(term, n_t)``: distinct contents with the term.  Contents that several tasks counted are taken off again, from one copy each."""
+    schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
+    copies = rows.where("tag = 'doc'").groupBy("_hash").agg((F.sum("n") - 1).alias("extra")).where("extra > 0")
+    again = docs.join(copies, "_hash").groupBy("_hash").agg(F.first("text").alias("text"), F.first("extra").alias("extra"))
 
-    def pack(rows):
-        cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, extra in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(t, -extra) for t in term_places(text or "", base_spans(text or ""))]
+            yield _pack(schema, out)
 
-    return docs.mapInArrow(run, "tag string, _doc long, _hash long, entity string, term string, base_spans string, "
-                                "n long, start long, stop long")
+    off = again.select("text", "extra").mapInArrow(run, "term string, n long")
+    return (rows.where("tag = 'df'").select(F.col("name").alias("term"), "n").unionByName(off)
+            .groupBy("term").agg(F.sum("n").alias("n_t")))
 
 
-def disclosures(near: DataFrame, df: DataFrame, n_docs: int, min_contexts: int = 2) -> DataFrame:
-    """``(entity, term, disclosure)`` of the pairs seen in at least ``min_contexts`` distinct contexts."""
-    contexts = near.select("entity", F.col("n").alias("mark"), "term").distinct()
-    pair = contexts.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_contexts)
-    whole = near.select("entity", F.col("n").alias("mark")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = df.groupBy("term").agg(F.sum("n").alias("n_t"))
-    p_te, p_t, p_e = (F.col(c) / F.lit(float(n_docs)) for c in ("n_te", "n_t", "n_e"))
+def _candidates(docs: DataFrame, often: dict[str, int], hot: dict[str, int], other: int, n: int, least: float) -> DataFrame:
+    """Second pass, over the texts with entities: ``(_hash, entity, term, places)`` once per task and content.
+
+    ``n_te <= n_e`` bounds the disclosure of a term from above; pairs that
+    cannot reach ``least`` are left out here.  ``often`` and ``hot`` hold the
+    most frequent terms and entities, so an unknown term passes and an unknown
+    entity occurs at most ``other`` times.
+    """
+    schema = pa.schema([("_hash", pa.int64()), ("entity", pa.string()), ("term", pa.string()), ("places", pa.string())])
+    shared = docs.sparkSession.sparkContext.broadcast((often, hot))
+
+    def run(batches):
+        often, hot = shared.value
+        met: set[int] = set()
+        for batch in batches:
+            out = []
+            for h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not text or h in met or not (base := base_spans(text)):
+                    continue
+                met.add(h)
+                terms = [(t, often.get(t, 0), " ".join(f"{a}:{b}" for a, b in x)) for t, x in term_places(text, base).items()]
+                for e in {entity(k, text[a:b]) for k, a, b in base}:
+                    n_e = hot.get(e, other)
+                    most = n_e * (n / n_e) ** (1 - least) * (1 + 1e-9)
+                    out += [(h, e, t, places) for t, n_t, places in terms if n_t <= most]
+                if len(out) > 50_000:
+                    yield _pack(schema, out)
+                    out = []
+            yield _pack(schema, out)
+
+    return docs.select("_hash", "text").mapInArrow(run, "_hash long, entity string, term string, places string")
+
+
+def disclosures(pairs: DataFrame, entities: DataFrame, terms: DataFrame, n_contents: int) -> DataFrame:
+    """``(entity, term, disclosure)`` of the ``(_hash, entity, term)`` rows; ``entities`` has ``n_e``, ``terms`` ``n_t``."""
+    pair = pairs.select("_hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where("n_te >= 2")
+    p_te, p_t, p_e = (F.col(c) / F.lit(float(n_contents)) for c in ("n_te", "n_t", "n_e"))
     ic = -F.log(p_e)
     pmi = F.log(F.least(F.lit(1.0), p_te / p_t) / p_e)
-    return (pair.join(whole, "entity").join(terms, "term")
+    return (pair.join(entities, "entity").join(terms, "term")
             .select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)).alias("disclosure")))
 
 
-def _sanitised(docs: DataFrame, id_col: str, text_col: str, reach: int = 8, min_contexts: int = 2,
-               generalise_at: float = 0.6, remove_at: float = 0.95) -> DataFrame:
-    rows = written(_scan(keyed(docs, id_col, text_col), reach), "pii")
-    near = rows.where("tag = 'near'").select(*KEY, "entity", "n", "term", "start", "stop")
+def _sanitised(docs: DataFrame, id_col: str, text_col: str, generalise_at: float = 0.6, remove_at: float = 0.95,
+               most_known: int = 100_000) -> DataFrame:
+    docs = keyed(docs, id_col, text_col)
+    rows = written(_scan(docs), "pii")
     base = rows.where("tag = 'doc'").select(*KEY, "base_spans")
-    n_docs = max(1, base.count())
-    strong = (disclosures(near, rows.where("tag = 'df'").select("term", "n"), n_docs, min_contexts)
-              .where(F.col("disclosure") >= generalise_at))
-    # A copied row lists its places twice: the set keeps one.
+    n = max(1, base.select("_hash").distinct().count())
+    terms = written(_term_counts(docs, rows), "pii-terms")
+    entities = written(rows.where("tag = 'ent'").select("_hash", F.col("name").alias("entity")).distinct()
+                       .groupBy("entity").agg(F.count("*").alias("n_e")), "pii-entities")
+    # Only to leave out pairs early: at most ``most_known`` rows of each on the driver, the rest is decided in the joins.
+    often = {r["term"]: r["n_t"] for r in terms.where(F.col("n_t") > n ** (1 - generalise_at)).orderBy(F.desc("n_t"), "term").limit(most_known).collect()}
+    hot = {r["entity"]: r["n_e"] for r in entities.where("n_e > 1").orderBy(F.desc("n_e"), "entity").limit(most_known).collect()}
+    other = min(hot.values()) if 0 < len(hot) == most_known else n if most_known == 0 else 1
+    near = written(_candidates(docs, often, hot, other, n, generalise_at), "pii-pairs")
+    strong = disclosures(near, entities, terms, n).where(F.col("disclosure") >= generalise_at)
+    # Copies of a content list its places in several tasks: the grouping keeps one.
+    place = F.split("p", ":")
     added = (near.join(strong, ["entity", "term"])
-             .groupBy(*KEY, "start", "stop").agg(F.max("disclosure").alias("d"))
-             .groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "stop", "d"))).alias("t")))
+             .groupBy("_hash", "places").agg(F.max("disclosure").alias("d"))
+             .select("_hash", "d", F.explode(F.split("places", " ")).alias("p"))
+             .groupBy("_hash").agg(F.sort_array(F.collect_list(F.struct(
+                 place[0].cast("long").alias("start"), place[1].cast("long").alias("stop"), "d"))).alias("t")))
     spans = F.array_join(F.transform("t", lambda x: F.concat_ws(":", F.lit("term"), x["start"].cast("string"), x["stop"].cast("string"))), ",")
     acts = F.array_join(F.transform("t", lambda x: F.when(x["d"] >= remove_at, "remove").otherwise("generalise")), ",")
-    return (base.join(added, KEY, "left")
+    return (base.join(added, "_hash", "left")
             .select(*KEY, "base_spans",
                     F.concat_ws(",", F.when(F.col("base_spans") != "", F.col("base_spans")), spans).alias("spans"),
                     F.coalesce(acts, F.lit("")).alias("actions")))

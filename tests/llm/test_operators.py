@@ -434,3 +434,27 @@ def test_disclosing_terms(spark):
     clean = {r["doc_id"]: r["text"] for r in sanitise.sanitised_texts(df).collect()}
     assert "Zanzibar" not in clean[0] and "[EMAIL]" in clean[0] and clean[5] == texts[5]
     assert sanitise.apply_spans(None, "", "") is None
+
+
+COMMON = ["river", "stone", "table", "window", "garden", "paper", "music", "bread", "cloud", "horse"]
+
+
+def noisy(rng, n):
+    return " ".join(rng.choice(COMMON) for _ in range(n))
+
+
+def terms_of(out, texts):
+    return {d: [texts[d][int(a):int(b)] for k, a, b in (s.split(":") for s in out[d][0].split(",") if s) if k == "term"] for d in out}
+
+
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    """The document is the context: far from the entity, again in a later paragraph, with a digit."""
+    rng = random.Random(2)
+    texts = [f"Zanzibar {noisy(rng, 90)} jo@x.org {noisy(rng, 90)} Unit7 {noisy(rng, 9)}\n\nzanzibar Q" for _ in range(4)] + [noisy(rng, 30) for _ in range(80)]
+    df = spark.createDataFrame(rows(texts), SCHEMA).repartition(5)
+    whole = got(sanitise.sanitise(df), "spans", "actions")
+    assert all(x == (["Zanzibar", "Unit7", "zanzibar", "Q"] if d < 4 else []) for d, x in terms_of(whole, texts).items())
+    # What is left out early only saves rows.
+    for known in (0, 3):
+        assert got(sanitise.sanitise(df, most_known=known), "spans", "actions") == whole
+    assert "anzibar" not in {r["doc_id"]: r["text"] for r in sanitise.sanitised_texts(df).collect()}[0]
