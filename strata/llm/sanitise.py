@@ -8,8 +8,8 @@ entity ``e`` occurs, in how many of them with term ``t``, and in how many
 
     disclosure(t, e) = PMI(t, e) / IC(e) = log(p(t, e) / (p(t) p(e))) / -log p(e)
 
-which is 1 when seeing the term gives the entity away.  Pairs of one content only
-are left out.  In a document with the entity every occurrence of a term whose
+which is 1 when seeing the term gives the entity away, also if both occur only
+once.  In a document with the entity every occurrence of a term whose
 disclosure reaches ``generalise_at`` is generalised (replaced by its shape),
 of one that reaches ``remove_at`` removed.  Copies of a content count once in
 all counts, so duplicated documents do not make their wording look revealing.
@@ -194,7 +194,7 @@ def _candidates(docs: DataFrame, often: dict[str, int], hot: dict[str, int], oth
 
 def disclosures(pairs: DataFrame, entities: DataFrame, terms: DataFrame, n_contents: int) -> DataFrame:
     """``(entity, term, disclosure)`` of the ``(_hash, entity, term)`` rows; ``entities`` has ``n_e``, ``terms`` ``n_t``."""
-    pair = pairs.select("_hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where("n_te >= 2")
+    pair = pairs.select("_hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
     p_te, p_t, p_e = (F.col(c) / F.lit(float(n_contents)) for c in ("n_te", "n_t", "n_e"))
     ic = -F.log(p_e)
     pmi = F.log(F.least(F.lit(1.0), p_te / p_t) / p_e)

@@ -458,3 +458,14 @@ def test_disclosing_terms_anywhere_in_the_document(spark):
     for known in (0, 3):
         assert got(sanitise.sanitise(df, most_known=known), "spans", "actions") == whole
     assert "anzibar" not in {r["doc_id"]: r["text"] for r in sanitise.sanitised_texts(df).collect()}[0]
+
+
+def test_disclosing_terms_beside_unique_entities(spark):
+    """A name beside an address that occurs once, and beside one whose document stands in many copies."""
+    rng = random.Random(3)
+    copied = f"{noisy(rng, 20)} Timbuktu +1 555 010 9999 {noisy(rng, 20)}"
+    texts = [f"{noisy(rng, 20)} Zanzibar jo@x.org {noisy(rng, 20)}"] + [copied] * 40 + [noisy(rng, 30) for _ in range(80)]
+    df = spark.createDataFrame(rows(texts), SCHEMA).repartition(7)
+    out = got(sanitise.sanitise(df), "spans", "actions")
+    assert all(x == (["Zanzibar"] if d == 0 else ["Timbuktu"] if d <= 40 else []) for d, x in terms_of(out, texts).items())
+    assert out[0][1] == out[1][1] == "remove"
