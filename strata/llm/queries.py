@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, mixing, pu_quality, quality_rules, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup
+from strata.llm import chat, decontaminate, mixing, pu_quality, quality_rules, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup, turn_repair
 from strata.llm.common import table
 
 
@@ -138,6 +138,84 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in sanitise.KINDS[:4]), _sha(F.col("base_spans")).alias("base_sha256"), "spans")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired_digests(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+# The same programme position by position: per state the cheapest and then ASCII-least audit so far.
+_STATES11 = "VALUES (0, 2), (1, 2), (2, 3), (3, 2)"
+_KEEPS11 = "VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)"
+OP11_SQL = rf"""
+WITH RECURSIVE bytes AS (
+  SELECT conv_id, turn, role, text, list_transform(range(1, length(key) + 1), lambda i: ord(key[i])) AS b
+  FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+          coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations)
+), crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i))
+), coded AS (
+  SELECT conv_id, turn, role, text,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(b, lambda x: x::BIGINT), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS f
+  FROM bytes, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM coded, (VALUES (1), (2)) AS copy(c) WHERE f <> 0 AND (c = 1 OR f = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text)) AS i FROM damaged
+), faulty AS (
+  SELECT *, left(role, 1) AS ini, CASE
+      WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+  FROM placed
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faulty GROUP BY conv_id
+), nexts(q, nq) AS ({_STATES11}), keeps(q, ini, kq) AS ({_KEEPS11}),
+inserts(q, iq, k) AS (
+  SELECT q, q, 0 FROM nexts UNION ALL SELECT q, nq, 1 FROM nexts
+  UNION ALL SELECT a.q, b.nq, 2 FROM nexts a JOIN nexts b ON a.nq = b.q
+  UNION ALL SELECT a.q, c.nq, 3 FROM nexts a JOIN nexts b ON a.nq = b.q JOIN nexts c ON b.nq = c.q
+), steps AS (
+  SELECT conv_id, i, q, 'D' AS letter, 2 AS cost, q AS nq FROM faulty, nexts
+  UNION ALL SELECT conv_id, i, q, 'K', CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, kq FROM faulty JOIN keeps USING (ini) WHERE fault IS NULL OR fault = 'truncated'
+  UNION ALL SELECT conv_id, i, q, 'R', 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, nq FROM faulty, nexts WHERE fault IS NULL OR fault = 'truncated'
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0::BIGINT, 'audit': ''}} AS best FROM stats
+  UNION ALL
+  SELECT w.conv_id, s.i, s.nq AS q, min({{'cost': w.best.cost + 5 * j.k + s.cost, 'audit': w.best.audit || repeat('I', j.k) || s.letter}}) AS best
+  FROM walk w JOIN inserts j ON j.q = w.q JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i + 1 AND s.q = j.iq
+  GROUP BY w.conv_id, s.i, s.nq
+), finished AS (
+  SELECT conv_id, min({{'cost': best.cost + 5 * k, 'audit': best.audit || repeat('I', k)}}) AS best
+  FROM walk JOIN stats USING (conv_id) JOIN inserts USING (q) WHERE walk.i = n AND iq IN (0, 3) GROUP BY conv_id
+), letters AS (
+  SELECT conv_id, best.audit AS audit, unnest(string_split(best.audit, '')) AS letter, unnest(range(1, length(best.audit) + 1)) AS p FROM finished WHERE best.audit <> ''
+), told AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS o FROM letters
+  WINDOW w AS (PARTITION BY conv_id ORDER BY p ROWS UNBOUNDED PRECEDING)
+), turns AS (
+  SELECT told.conv_id, p, letter, CASE WHEN letter = 'I' THEN '' ELSE text END AS text, role,
+    (o - max((o = 1 AND letter = 'K' AND ini = 's')::INT) OVER (PARTITION BY told.conv_id)) AS place
+  FROM told LEFT JOIN faulty ON told.conv_id IS NOT DISTINCT FROM faulty.conv_id AND told.i = faulty.i WHERE letter <> 'D'
+), repaired AS (
+  SELECT conv_id, string_agg((CASE WHEN letter = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY p) AS lines
+  FROM turns GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -155,6 +233,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_pii": op10_pii,
+    "op11_turn_repair": op11_turn_repair,
     "pipeline": pipeline,
 }
-SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL}
+SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op11_turn_repair": OP11_SQL}
