@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, mixing, pu_quality, quality_rules, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup, turn_repair
+from strata.llm import chat, decontaminate, mixing, pu_quality, quality_rules, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup, turn_repair, warc
 from strata.llm.common import table
 
 
@@ -216,6 +216,21 @@ LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repai
 """
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.pages_of(warc.archived(spark, table(spark, sf_dir, "pages")))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP12_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
+m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM m
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -234,6 +249,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_pii": op10_pii,
     "op11_turn_repair": op11_turn_repair,
+    "op12_warc": op12_warc,
     "pipeline": pipeline,
 }
-SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op11_turn_repair": OP11_SQL}
+SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op11_turn_repair": OP11_SQL, "op12_warc": OP12_SQL}

@@ -213,6 +213,7 @@ def _ordered(rows: DataFrame) -> DataFrame:
         F.when(said, F.coalesce("role", F.lit(" "))).alias("role"), F.when(said, F.coalesce("text", F.lit(" "))).alias("text"),
         "copies", F.monotonically_increasing_id().alias("uid"))
     base = base.withColumn("fault", F.when(said, fault)).withColumn("digest", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
+    base = written(base, "repair-rows")  # row numbers are the same wherever they are read
     # Partial minima, so a text that stands in a third of the rows is one row a task.
     again = base.where(said & (F.col("fault") != GONE)).groupBy(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("digest").alias("d")).agg(
         F.min(F.struct("turn", "uid")).alias("first"), F.count("*").alias("n")).where("n > 1").select("c", "r", "d", "first.uid")
