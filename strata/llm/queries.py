@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, mixing, pu_quality, quality_rules, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup, turn_repair, warc
+from strata.llm import chat, decontaminate, mixing, phrases, pu_quality, quality_rules, sanitise, secret_scan, simhash, substring_dedup, suffix_dedup, turn_repair, warc
 from strata.llm.common import table
 
 
@@ -231,6 +231,39 @@ FROM m
 """
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents)
+), sizes AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM pieces GROUP BY lang),
+counts AS (
+  SELECT lang, m, phrase, count(*)::HUGEINT AS f
+  FROM (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, m, ws, unnest(range(1, len(ws) - m + 2)) AS i FROM pieces, range(1, 6) AS r(m) WHERE len(ws) >= m))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, m, f, k, string_split(phrase, ' ') AS w FROM (SELECT *, unnest(range(1, m)) AS k FROM counts WHERE m > 1)
+), scored AS (
+  SELECT c.lang, c.phrase, c.m, c.f, k, a.f AS l, b.f AS r, n, 1000 * c.f * n // (a.f * b.f) AS score
+  FROM cuts c JOIN sizes USING (lang)
+  JOIN counts a ON a.lang = c.lang AND a.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts b ON b.lang = c.lang AND b.phrase = array_to_string(w[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM counts c WHERE c.lang = s.lang AND c.m > s.m AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * c.f >= 100 * s.f)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase,
+  f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -250,6 +283,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_turn_repair": op11_turn_repair,
     "op12_warc": op12_warc,
+    "op13_phrases": op13_phrases,
     "pipeline": pipeline,
 }
-SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op11_turn_repair": OP11_SQL, "op12_warc": OP12_SQL}
+SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op11_turn_repair": OP11_SQL, "op12_warc": OP12_SQL, "op13_phrases": OP13_SQL}
