@@ -18,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back; ``options`` go to the Parquet writer.
 
     This cuts the lineage: later jobs read files every executor can reach,
     so a lost executor repeats only its own tasks.  The folder goes when the
@@ -27,7 +27,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)

@@ -79,10 +79,12 @@ def _decided(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_byt
                         F.coalesce(F.col(html_col).cast("string").cast("binary"), F.lit(b"")).alias("payload"),
                         F.monotonically_increasing_id().alias("uid"))
     # Written, so that row numbers are the same wherever they are read.
-    base = written(base.withColumn("key", F.when(F.octet_length("payload") >= min_bytes, F.substring(F.unhex(F.sha2("payload", 256)), 1, 16))), "warc-pages")
-    # Partial maxima: a payload that a third of the pages share is one row a task.
+    base = written(base.withColumn("key", F.when(F.octet_length("payload") >= min_bytes, F.substring(F.unhex(F.sha2("payload", 256)), 1, 16))), "warc-pages", compression="zstd")
+    # Partial maxima: a payload that a third of the pages share is one row a task.  Written, so that the planner knows
+    # its size and broadcasts it only below its byte threshold; else the join shuffles the payloads once.
     again = base.where("key IS NOT NULL").groupBy(F.col("key").alias("k")).agg(
         F.max(F.struct("page", "uid")).alias("w"), F.count("*").alias("n")).where("n > 1").select("k", F.col("w.page").alias("w_page"), F.col("w.uid").alias("w_uid"))
+    again = written(again, "warc-first")
     revisit = F.col("w_uid").isNotNull() & (F.col("w_uid") != F.col("uid"))
     return base.join(again, F.col("key") == F.col("k"), "left").select(
         "page", "uid", "url", "payload", revisit.alias("revisit"), "w_page", "w_uid")
