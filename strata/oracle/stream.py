@@ -39,6 +39,7 @@ STREAM_SQL = {
         "FROM event_deliveries WHERE malformed", ["event_deliveries"]),
     "stream_dedup_melt": _LATEST,
     "stream_late_events": _LATEST,
+    "stream_silver_state": _LATEST,
     "stream_silver_first_wins": select(
         _SILVER_COLS,
         _melted(_latest("event_deliveries", ["pubsub_message_id"], "delivery", [], f"NOT malformed AND {_VALID}")

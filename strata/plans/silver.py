@@ -83,7 +83,11 @@ def streaming_eventos_clean(bronze_events: DataFrame) -> DataFrame:
     """
     valid = require(bronze_events, not_null=["tipo", "timestamp", "sigla_uf", "pubsub_message_id"],
                     null_or_within={"taxa_alfabetizacao": RATE_RANGE})
-    latest = keep_latest(valid, ["pubsub_message_id"], "ingestao_ts")
+    return melted_events(keep_latest(valid, ["pubsub_message_id"], "ingestao_ts"))
+
+
+def melted_events(latest: DataFrame) -> DataFrame:
+    """One valid delivery per message -> one row per message and metric."""
     long = melt_sparse(latest.withColumnRenamed("timestamp", "evento_ts"), EVENT_IDS, EVENT_METRICS)
     return _processed(long.select(
         "tipo", "evento_ts", "ano", "sigla_uf", "serie", "rede", "source", "metrica", "valor",

@@ -17,9 +17,10 @@ from strata.catalog import present
 from strata.plans import silver
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
-from strata.streaming.ingest import (first_deliveries, ingest_events, read_bronze, read_quarantine,
+from strata.streaming.ingest import (first_deliveries, ingest_events, read_batches, read_bronze, read_quarantine,
                                      read_versions, start_versions_stream)
 from strata.streaming.landing import write_wave
+from strata.streaming.silver_state import read_latest, start_silver_stream
 
 
 def _intake(spark: SparkSession, sf_dir: str, late: bool = False, versions: bool = False) -> dict[str, str]:
@@ -89,17 +90,37 @@ def stream_two_intakes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT-3: bounded intake, one landed file per batch."""
+    """SRT-3: bounded intake, as many files per batch as a wave has landed."""
     root = scratch_dir(spark, "events")
     deliveries = tv.event_deliveries(spark, sf_dir)
+    files = 8
     for wave in (0, 1):
-        write_wave(deliveries.where(F.col("delivery") == wave).repartition(1), f"{root}/landing")
+        write_wave(deliveries.where(F.col("delivery") == wave).repartition(files), f"{root}/landing")
     ingest_events(spark, f"{root}/landing", f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint",
-                  max_files_per_trigger=1).awaitTermination()
-    rows = spark.read.parquet(f"{root}/bronze")
+                  max_files_per_trigger=files).awaitTermination()
+    rows = read_batches(spark, f"{root}/bronze").where("bad = 'false'")
     return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(F.count("*").alias("n_rows"))
 
 
+def _three_waves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Bronze and the bucketed silver state after three waves: the older half, the rest, the redeliveries of few messages last."""
+    root = scratch_dir(spark, "events")
+    deliveries = tv.event_deliveries(spark, sf_dir)
+    cutoff = deliveries.agg(F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).first()[0]
+    again, old = F.col("delivery") == 1, F.col("timestamp") < F.lit(cutoff).cast("timestamp_ntz")
+    for wave in (~again & old, ~again & ~old, again):
+        write_wave(deliveries.where(wave), f"{root}/landing")
+        ingest_events(spark, f"{root}/landing", f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint").awaitTermination()
+        start_silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/silver_checkpoint").awaitTermination()
+    return f"{root}/bronze", f"{root}/silver"
+
+
+def stream_silver_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-4, WIN-2: the silver event table kept by key over three waves equals the recomputed one."""
+    _, state = _three_waves(spark, sf_dir)
+    return present(_micros(silver.melted_events(read_latest(spark, state)), "evento_ts", "evento_us"))
+
+
 STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
@@ -108,4 +129,5 @@ STREAM_QUERIES = {
     "stream_late_events": stream_late_events,
     "stream_two_intakes": stream_two_intakes,
     "stream_batches": stream_batches,
+    "stream_silver_state": stream_silver_state,
 }

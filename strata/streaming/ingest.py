@@ -9,11 +9,12 @@ well-formed rows to bronze and the rest to a quarantine table.
 Delivery is at-least-once upstream: duplicates are kept in bronze and removed
 in silver (latest ``ingestao_ts`` wins).  ``ingestao_ts`` is the message's
 publish time, so a replay after a failure gives the same order.  Each
-micro-batch writes its own folder ``intake=<id>/batch_id=N`` with overwrite: a
-batch re-run after a crash replaces its own output instead of appending twice,
-and offsets are committed to the checkpoint only after the batch succeeded.
-The intake id belongs to the checkpoint, so a new checkpoint appends beside
-what earlier ones wrote.
+micro-batch is one write, partitioned into good and bad rows, into a folder of
+its own attempt, and one commit (:mod:`strata.streaming.commits`) that shows
+both parts at once: a reader in between sees nothing of the batch, a batch that
+is replayed after its commit changes nothing, one that died before it is
+written anew.  The intake id belongs to the checkpoint, so a new checkpoint
+appends beside what earlier ones wrote.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from strata.operators.reshape import melt_sparse
 from strata.session import hadoop_path
 from strata.schemas import (CORRUPT_COL, EVENT_METRICS, EVENT_PAYLOAD, EVENT_PAYLOAD_WITH_CORRUPT,
                             MESSAGE_ENVELOPE)
+from strata.streaming import commits
 
 ENVELOPE_WITH_CORRUPT = T.StructType(MESSAGE_ENVELOPE.fields + [T.StructField(CORRUPT_COL, T.StringType())])
 PAYLOAD_FIELDS = [f.name for f in EVENT_PAYLOAD.fields]
@@ -43,6 +45,10 @@ QUARANTINE_SCHEMA = T.StructType([
     T.StructField("ingestao_ts", T.TimestampType()),
     T.StructField("raw", T.StringType()),
 ])
+#: A written batch: both parts, told apart by the folder ``bad=...``.
+BATCH_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField("raw", T.StringType()),
+                             T.StructField("batch_id", T.LongType()), T.StructField("bad", T.StringType())])
+FILES_PER_TRIGGER = 10_000
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
 
 
@@ -89,15 +95,6 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     return parsed.withColumn("bad", bad)
 
 
-def bronze_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where(~F.col("bad")).select(
-        *[F.col(f"p.{c}").alias(c) for c in PAYLOAD_FIELDS], "pubsub_message_id", "ingestao_ts")
-
-
-def quarantine_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("bad")).select("pubsub_message_id", "ingestao_ts", "raw")
-
-
 def intake_id(spark: SparkSession, checkpoint_dir: str) -> str:
     """The id of a checkpoint: the name of a marker inside it, made on first use."""
     fs, folder = hadoop_path(spark, f"{checkpoint_dir}/intake")
@@ -109,8 +106,33 @@ def intake_id(spark: SparkSession, checkpoint_dir: str) -> str:
     return known[0]
 
 
+def batch_rows(parsed: DataFrame) -> DataFrame:
+    """Good and bad rows of a batch in one shape: fields of good rows, raw text of bad ones."""
+    good = ~F.col("bad")
+    return parsed.select(*[F.when(good, F.col(f"p.{c}")).alias(c) for c in PAYLOAD_FIELDS], "pubsub_message_id", "ingestao_ts",
+                         F.when(~good, F.col("raw")).alias("raw"), F.col("bad").cast("string").alias("bad"))
+
+
+def commit_batch(spark: SparkSession, parsed: DataFrame, bronze_dir: str, intake: str, batch_id: int) -> bool:
+    """Write one parsed batch and commit it; False if it was committed before."""
+    name = f"{intake}-{batch_id:010d}"
+    if commits.has(spark, bronze_dir, name):
+        return False
+    folder = f"intake={intake}/batch_id={batch_id}/{commits.attempt()}"
+    batch_rows(parsed).write.partitionBy("bad").parquet(f"{bronze_dir}/{folder}")
+    return commits.add(spark, bronze_dir, name, [("rows", folder)])
+
+
+def _point(spark: SparkSession, quarantine_dir: str, bronze_dir: str) -> None:
+    """Let the quarantine folder name the bronze folder whose batches hold its rows."""
+    fs, folder = hadoop_path(spark, quarantine_dir)
+    fs.mkdirs(folder)
+    if bronze_dir not in [v for _, v in commits.lines_of(spark, quarantine_dir)]:
+        commits.add(spark, quarantine_dir, f"bronze-{uuid.uuid4().hex[:12]}", [("bronze", bronze_dir)])
+
+
 def ingest_events(spark: SparkSession, landing_dir: str | None, bronze_dir: str, quarantine_dir: str,
-                  checkpoint_dir: str, max_files_per_trigger: int | None = None,
+                  checkpoint_dir: str, max_files_per_trigger: int | None = FILES_PER_TRIGGER,
                   available_now: bool = True, processing_time: str | None = None,
                   source: DataFrame | None = None) -> StreamingQuery:
     """Start the intake; with ``available_now`` it stops when the landing folder
@@ -118,17 +140,12 @@ def ingest_events(spark: SparkSession, landing_dir: str | None, bronze_dir: str,
     ``source`` replaces the landing folder with another envelope stream
     (e.g. ``read_kafka``)."""
     intake = intake_id(spark, checkpoint_dir)
+    _point(spark, quarantine_dir, bronze_dir)
     raw = source if source is not None else read_landing(spark, landing_dir, max_files_per_trigger)
     parsed = parse_messages(raw)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            folder = f"intake={intake}/batch_id={batch_id}"
-            bronze_rows(batch).write.mode("overwrite").parquet(f"{bronze_dir}/{folder}")
-            quarantine_rows(batch).write.mode("overwrite").parquet(f"{quarantine_dir}/{folder}")
-        finally:
-            batch.unpersist()
+        commit_batch(batch.sparkSession, batch, bronze_dir, intake, batch_id)
 
     writer = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     if available_now:
@@ -151,12 +168,42 @@ def run_bounded(query: StreamingQuery, timeout_s: float | None = None) -> bool:
     return bool(finished) or finished is None
 
 
+def read_batches(spark: SparkSession, bronze_dir: str, folders: list[str] | None = None) -> DataFrame:
+    """Committed batches of ``BATCH_SCHEMA``: all, or those in the given folders."""
+    found = [v for k, v in commits.lines_of(spark, bronze_dir) if k == "rows"] if folders is None else folders
+    return commits.read(spark, bronze_dir, found, BATCH_SCHEMA)
+
+
 def read_bronze(spark: SparkSession, bronze_dir: str) -> DataFrame:
-    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_dir).select(*BRONZE_SCHEMA.fieldNames())
+    return read_batches(spark, bronze_dir).where("bad = 'false'").select(*BRONZE_SCHEMA.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, quarantine_dir: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine_dir).select(*QUARANTINE_SCHEMA.fieldNames())
+    """The bad rows of the committed batches of every bronze folder that this quarantine belongs to."""
+    out = spark.createDataFrame([], QUARANTINE_SCHEMA)
+    for _, bronze_dir in commits.lines_of(spark, quarantine_dir):
+        out = out.unionByName(read_batches(spark, bronze_dir).where("bad = 'true'").select(*QUARANTINE_SCHEMA.fieldNames()))
+    return out
+
+
+def valid_deliveries(bronze: DataFrame) -> DataFrame:
+    return require(bronze, not_null=["tipo", "timestamp", "sigla_uf", "pubsub_message_id"],
+                   null_or_within={"taxa_alfabetizacao": (0, 100)})
+
+
+def on_commits(spark: SparkSession, bronze_dir: str, checkpoint_dir: str, step, available_now: bool = True) -> StreamingQuery:
+    """Follow the committed batches of a bronze folder: ``step(good rows, name of this batch)`` for every few new commits."""
+    intake = intake_id(spark, checkpoint_dir)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        folders = [v for k, v in commits.parse([r["value"] for r in batch.collect()]) if k == "rows"]  # a line per commit
+        rows = read_batches(batch.sparkSession, bronze_dir, sorted(folders)).where("bad = 'false'").select(*BRONZE_SCHEMA.fieldNames())
+        step(rows, f"{intake}-{batch_id:010d}")
+
+    writer = commits.follow(spark, bronze_dir).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def start_versions_stream(spark: SparkSession, bronze_dir: str, versions_dir: str, checkpoint_dir: str,
@@ -166,20 +213,19 @@ def start_versions_stream(spark: SparkSession, bronze_dir: str, versions_dir: st
     Nothing is dropped by age: an event may arrive days late.  Which delivery
     of a message counts is decided on read, where all of them are known
     (``silver.streaming_eventos_clean`` keeps the latest; :func:`first_deliveries`
-    the first).  The file sink is exactly-once through its log and checkpoint.
+    the first).  Every batch is one commit.
     """
-    bronze = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir).select(*BRONZE_SCHEMA.fieldNames())
-    valid = require(bronze, not_null=["tipo", "timestamp", "sigla_uf", "pubsub_message_id"],
-                    null_or_within={"taxa_alfabetizacao": (0, 100)})
-    writer = (valid.writeStream.format("parquet").option("path", versions_dir)
-              .option("checkpointLocation", checkpoint_dir).outputMode("append"))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    def step(rows: DataFrame, name: str) -> None:
+        if not commits.has(rows.sparkSession, versions_dir, name):
+            folder = f"batch=b-{name}/{commits.attempt()}"
+            valid_deliveries(rows).write.parquet(f"{versions_dir}/{folder}")
+            commits.add(rows.sparkSession, versions_dir, name, [("rows", folder)])
+
+    return on_commits(spark, bronze_dir, checkpoint_dir, step, available_now)
 
 
 def read_versions(spark: SparkSession, versions_dir: str) -> DataFrame:
-    return spark.read.schema(BRONZE_SCHEMA).parquet(versions_dir)
+    return commits.read(spark, versions_dir, [v for _, v in commits.lines_of(spark, versions_dir)], BRONZE_SCHEMA)
 
 
 def first_deliveries(versions: DataFrame) -> DataFrame:
