@@ -10,7 +10,10 @@
 * ``validate``: evaluate the quality rules of one layer (or all) over the
   tables already written under ``--root``; exit code 1 when a check failed.
 * ``ingest``: run the event intake over a landing folder until it is drained
-  or ``--timeout`` seconds passed.
+  or ``--timeout`` seconds passed; with ``--max-messages`` take exactly that
+  many, or what came within the time.
+* ``redeliver``: one round over the quarantined messages, with the repaired
+  ones (``message_id, data``) as JSON lines under ``--repaired``.
 """
 
 from __future__ import annotations
@@ -44,6 +47,11 @@ def main(argv: list[str] | None = None) -> int:
         i.add_argument(f"--{name}", required=True)
     i.add_argument("--max-files-per-trigger", type=int, default=None)
     i.add_argument("--timeout", type=float, default=None)
+    i.add_argument("--max-messages", type=int, default=None)
+    d = sub.add_parser("redeliver")
+    d.add_argument("--bronze", required=True)
+    d.add_argument("--repaired")
+    d.add_argument("--max-attempts", type=int, default=5)
     ap.add_argument("--master", default=None)
     ap.add_argument("--cluster", action="store_true", help="apply session.CLUSTER_CONF sizing")
     args = ap.parse_args(argv)
@@ -89,10 +97,19 @@ def main(argv: list[str] | None = None) -> int:
             print(e, file=sys.stderr)
             return 1
         return 0
+    if args.cmd == "ingest" and args.max_messages:
+        from strata.streaming.bounded import take_messages
+        print(take_messages(spark, args.landing, args.bronze, args.quarantine, args.checkpoint, args.max_messages, args.timeout or 0.0))
+        return 0
+    if args.cmd == "redeliver":
+        from strata.streaming.redelivery import redeliver
+        repaired = spark.read.schema("message_id string, data string").json(args.repaired) if args.repaired else None
+        print(json.dumps(redeliver(spark, args.bronze, repaired, args.max_attempts)))
+        return 0
     if args.cmd == "ingest":
-        from strata.streaming.ingest import ingest_events, run_bounded
+        from strata.streaming.ingest import FILES_PER_TRIGGER, ingest_events, run_bounded
         q = ingest_events(spark, args.landing, args.bronze, args.quarantine, args.checkpoint,
-                          max_files_per_trigger=args.max_files_per_trigger)
+                          max_files_per_trigger=args.max_files_per_trigger or FILES_PER_TRIGGER)
         run_bounded(q, args.timeout)
         return 0
     return 2

@@ -45,6 +45,18 @@ STREAM_SQL = {
         _melted(_latest("event_deliveries", ["pubsub_message_id"], "delivery", [], f"NOT malformed AND {_VALID}")
                 .replace("delivery DESC NULLS LAST", "delivery ASC")),
         ["event_deliveries"]),
+    "stream_exact_rows": _BRONZE,
+    "stream_exact_intake": select(
+        ["batch_id", "n_reported", "n_rows"],
+        "SELECT batch_id, n AS n_reported, n AS n_rows FROM (SELECT 0::BIGINT AS batch_id, least(7, count(*)) AS n FROM event_deliveries "
+        "UNION ALL SELECT 1, least(1000, count(*) - 7) FROM event_deliveries UNION ALL SELECT 2, greatest(0, count(*) - 1007) FROM event_deliveries)",
+        ["event_deliveries"]),
+    "stream_redelivery": select(
+        ["pubsub_message_id", "outcome", "attempts", "n_bronze", "n_dead"],
+        "SELECT pubsub_message_id, CASE WHEN id % 2 = 0 OR id % 3 = 0 THEN 'recovered' ELSE 'dead' END AS outcome, "
+        "CASE WHEN id % 2 = 0 THEN 2 ELSE 3 END::BIGINT AS attempts, (id % 2 = 0 OR id % 3 = 0)::BIGINT AS n_bronze, "
+        "(id % 2 <> 0 AND id % 3 <> 0)::BIGINT AS n_dead "
+        "FROM (SELECT DISTINCT pubsub_message_id, pubsub_message_id::BIGINT AS id FROM event_deliveries WHERE malformed)", ["event_deliveries"]),
     "stream_batches": select(
         ["batch_id", "n_rows"],
         "SELECT CAST(delivery AS BIGINT) AS batch_id, count(*) AS n_rows FROM event_deliveries WHERE NOT malformed GROUP BY delivery",

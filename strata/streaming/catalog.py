@@ -17,9 +17,11 @@ from strata.catalog import present
 from strata.plans import silver
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
+from strata.streaming.bounded import take_messages
 from strata.streaming.ingest import (first_deliveries, ingest_events, read_batches, read_bronze, read_quarantine,
                                      read_versions, start_versions_stream)
-from strata.streaming.landing import write_wave
+from strata.streaming.landing import envelopes, write_wave
+from strata.streaming.redelivery import dead_letters, outcomes, redeliver
 from strata.streaming.silver_state import read_latest, start_silver_stream
 
 
@@ -111,7 +113,7 @@ def _three_waves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     for wave in (~again & old, ~again & ~old, again):
         write_wave(deliveries.where(wave), f"{root}/landing")
         ingest_events(spark, f"{root}/landing", f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint").awaitTermination()
-        start_silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/silver_checkpoint").awaitTermination()
+        start_silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/silver_checkpoint", buckets=16).awaitTermination()
     return f"{root}/bronze", f"{root}/silver"
 
 
@@ -121,6 +123,45 @@ def stream_silver_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(_micros(silver.melted_events(read_latest(spark, state)), "evento_ts", "evento_us"))
 
 
+def _bounded(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
+    """Bronze after three bounded intakes (7 messages, 1,000 and the rest) of both waves, and what each of them took."""
+    root = scratch_dir(spark, "events")
+    for wave in (0, 1):
+        write_wave(tv.event_deliveries(spark, sf_dir).where(F.col("delivery") == wave), f"{root}/landing")
+    took = [take_messages(spark, f"{root}/landing", f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint", n) for n in (7, 1000, 1 << 40)]
+    return f"{root}/bronze", took
+
+
+def stream_exact_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6, SRT-3: what each bounded intake reported, and the messages that its batch holds."""
+    bronze, took = _bounded(spark, sf_dir)
+    held = read_batches(spark, bronze).groupBy("batch_id").agg(F.count("*").alias("n_rows"))
+    told = spark.createDataFrame(list(enumerate(took)), "batch_id long, n_reported long")
+    return told.join(held, "batch_id", "left").select("batch_id", "n_reported", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
+
+
+def stream_exact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6, SRT-3: three bounded intakes take every message once."""
+    bronze, _ = _bounded(spark, sf_dir)
+    return present(_micros(_micros(read_bronze(spark, bronze), "timestamp", "evento_us"), "ingestao_ts", "ingestao_us"))
+
+
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-2: quarantined messages after two redeliveries (even ids are repaired for the first, multiples of three for the second) with three attempts at most."""
+    paths = _intake(spark, sf_dir)
+    deliveries = tv.event_deliveries(spark, sf_dir).where("malformed").withColumn("malformed", F.lit(False))
+    fixed = F.from_json("value", "message_id string, data string")
+    repaired = envelopes(deliveries).select(fixed.alias("m")).select("m.*")
+    for by in (2, 3):
+        redeliver(spark, paths["bronze"], repaired.where(F.col("message_id").cast("long") % by == 0), max_attempts=3)
+    rows = read_bronze(spark, paths["bronze"]).groupBy("pubsub_message_id").agg(F.count("*").alias("n"))
+    out = outcomes(spark, paths["bronze"]).withColumn("pubsub_message_id", F.substring("message", 4, 100))
+    dead = dead_letters(spark, paths["bronze"]).groupBy("message").agg(F.count("*").alias("n_dead"))
+    return out.join(rows, "pubsub_message_id", "left").join(dead, "message", "left").select(
+        "pubsub_message_id", "outcome", "attempts", F.coalesce("n", F.lit(0)).cast("long").alias("n_bronze"),
+        F.coalesce("n_dead", F.lit(0)).cast("long").alias("n_dead"))
+
+
 STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
@@ -130,4 +171,7 @@ STREAM_QUERIES = {
     "stream_two_intakes": stream_two_intakes,
     "stream_batches": stream_batches,
     "stream_silver_state": stream_silver_state,
+    "stream_exact_intake": stream_exact_intake,
+    "stream_exact_rows": stream_exact_rows,
+    "stream_redelivery": stream_redelivery,
 }

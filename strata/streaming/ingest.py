@@ -80,16 +80,17 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
         F.lit(None).cast("string").alias(CORRUPT_COL))
 
 
-def parse_messages(raw: DataFrame) -> DataFrame:
+def parse_messages(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Envelope rows -> message id, ingest time, raw text, parsed payload ``p``
-    and a ``bad`` flag (envelope or payload not readable with the schema)."""
+    and a ``bad`` flag (envelope or payload not readable with the schema);
+    ``keep`` names columns that stay."""
     payload = F.from_json(F.col("data"), EVENT_PAYLOAD_WITH_CORRUPT, _JSON_OPTIONS)
     parsed = raw.select(
         F.col("message_id").alias("pubsub_message_id"),
         F.coalesce(F.col("publish_time"), F.current_timestamp()).alias("ingestao_ts"),
         F.coalesce(F.col("data"), F.col(CORRUPT_COL)).alias("raw"),
         F.col(CORRUPT_COL).alias("_envelope_corrupt"),
-        payload.alias("p"))
+        payload.alias("p"), *keep)
     bad = (F.col("_envelope_corrupt").isNotNull() | F.col("p").isNull()
            | F.col(f"p.{CORRUPT_COL}").isNotNull())
     return parsed.withColumn("bad", bad)
@@ -106,11 +107,11 @@ def intake_id(spark: SparkSession, checkpoint_dir: str) -> str:
     return known[0]
 
 
-def batch_rows(parsed: DataFrame) -> DataFrame:
+def batch_rows(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Good and bad rows of a batch in one shape: fields of good rows, raw text of bad ones."""
     good = ~F.col("bad")
     return parsed.select(*[F.when(good, F.col(f"p.{c}")).alias(c) for c in PAYLOAD_FIELDS], "pubsub_message_id", "ingestao_ts",
-                         F.when(~good, F.col("raw")).alias("raw"), F.col("bad").cast("string").alias("bad"))
+                         F.when(~good, F.col("raw")).alias("raw"), F.col("bad").cast("string").alias("bad"), *keep)
 
 
 def commit_batch(spark: SparkSession, parsed: DataFrame, bronze_dir: str, intake: str, batch_id: int) -> bool:
