@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--layers", default="bronze,silver,gold,quality")
     r.add_argument("--skip-streaming", action="store_true")
     r.add_argument("--no-gate", action="store_true")
+    r.add_argument("--year", type=int, action="append", default=None, help="write only this year of the year-partitioned tables (repeatable)")
     v = sub.add_parser("validate")
     v.add_argument("--root", required=True)
     v.add_argument("--layer", choices=["bronze", "silver", "gold", "all"], default="all")
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         layers = [x for x in args.layers.split(",") if not (x == "quality" and args.skip_quality)]
         try:
             report = run(spark, sources, args.root, layers=tuple(layers), events=None if args.skip_streaming else events,
-                         gate=not args.no_gate, keep_versions=args.keep_versions)
+                         gate=not args.no_gate, keep_versions=args.keep_versions, years=args.year)
         except LayerError as e:
             print(json.dumps(e.report, default=str, indent=1))
             print(e, file=sys.stderr)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.catalog import Layers, present
 from strata.plans import gold
 from strata.plans.registry import SPECS
-from strata.plans.run import read_table, run, table_state
+from strata.plans.run import parts, read_table, run, table_state, write_table, write_years
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
 
@@ -111,6 +111,33 @@ def layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.groupBy("layer").agg(F.count("*").alias("n_rules"), bad.alias("n_failed"), (bad == 0).alias("gate_open"))
 
 
+REWRITTEN = [1996, 1998]
+
+
+def _two_years_again(spark: SparkSession, sf_dir: str) -> str:
+    """The pupil table written from damaged microdata (two years lack a third of their pupils, one year is made up), then those years again."""
+    root = scratch_dir(spark, "years")
+    L = Layers(spark, sf_dir)
+    lost = F.col("ano").isin(*REWRITTEN) & (F.col("id_aluno").cast("long") % 3 == 0)
+    made_up = L.bronze_alunos.where("ano = 1995").withColumn("ano", F.lit(1994).cast("long"))
+    write_table(spark, L.bronze_alunos.where(~lost).unionByName(made_up), root, "bronze", "alunos", "run-1")
+    write_years(spark, L.bronze_alunos, root, "bronze", "alunos", "run-2", [1994, *REWRITTEN])
+    return root
+
+
+def layer_years_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1/2: reads of a version that mixes year folders of two runs give the whole table."""
+    return present(read_table(spark, _two_years_again(spark, sf_dir), "bronze", "alunos"))
+
+
+def layer_year_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2: which run's folder holds each year, and its rows: a run for two years wrote those only."""
+    root = _two_years_again(spark, sf_dir)
+    held = _rows(spark, [(int(k.split("=")[1]), v) for k, v in parts(spark, root, "bronze", "alunos").items()], "ano long, run string")
+    rows = read_table(spark, root, "bronze", "alunos").groupBy(F.col("ano").cast("long").alias("ano")).agg(F.count("*").alias("n_rows"))
+    return held.join(rows, "ano").select("ano", "run", "n_rows")
+
+
 LAYER_QUERIES = {
     "layer_receipts": layer_receipts,
     "layer_bronze_municipality": _read_back("bronze", "alfabetizacao_municipio"),
@@ -120,6 +147,8 @@ LAYER_QUERIES = {
     "layer_clustering": layer_clustering,
     "layer_audit": layer_audit,
     "layer_gate": layer_gate,
+    "layer_years_rewritten": layer_years_rewritten,
+    "layer_year_folders": layer_year_folders,
     "order_evolution": order_evolution,
     "order_ranking": order_ranking,
 }

@@ -72,5 +72,9 @@ BUILDERS = {
 }
 
 
+#: The source with the rows (and years) of the tables that are written by year.
+FACTS = {"alfabetizacao_municipio": "municipio", "alunos": "alunos"}
+
+
 def build_all(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: fn(src) for name, fn in BUILDERS.items()}

@@ -4,7 +4,10 @@ Tables are written as parquet under ``<root>/<layer>/<table>/run=<id>``: every
 run writes a fresh folder (a layer never overwrites the data it reads) and,
 once the data is committed, an empty marker ``_runs/<id>``; readers list the
 markers and take the latest.  A crash at any point leaves the previous version
-readable.  The row count comes with the write through ``DataFrame.observe`` (no
+readable.  A run for some years (``run(years=...)``) writes only the year
+folders of those years; its marker is a manifest that names, for every year of
+the table, the run whose folder holds it, so a version may mix folders of many
+runs.  The row count comes with the write through ``DataFrame.observe`` (no
 second scan).  Independent tables of a layer are submitted from a small thread
 pool so their jobs share the cluster.  A failed table ends the run with
 :class:`LayerError`; with the gate on, each layer's rules are enforced before
@@ -13,6 +16,7 @@ the next layer is built from it.
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 import uuid
@@ -42,6 +46,10 @@ class LayerError(RuntimeError):
         self.report = report
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another run committed a version of the table while this one built on the one before."""
+
+
 def _markers(root: str, layer: str, name: str) -> str:
     return f"{root}/{layer}/{name}/_runs"
 
@@ -57,9 +65,7 @@ def clustered(df: DataFrame, order: list[str]) -> DataFrame:
     return df.repartitionByRange(*[F.col(c) for c in order], whole).sortWithinPartitions(*order)
 
 
-def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,
-                run_id: str) -> int:
-    """Write ``df`` as the new version of ``layer.name`` and return its row count."""
+def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str) -> int:
     s = spec(layer, name)
     order = [*s.partition_by, *s.cluster_by]
     obs = Observation(f"{layer}.{name}")
@@ -68,16 +74,86 @@ def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name:
     if s.partition_by:
         writer = writer.partitionBy(*s.partition_by)
     writer.parquet(f"{root}/{layer}/{name}/run={run_id}")
+    return int(obs.get["rows"])
+
+
+def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,
+                run_id: str) -> int:
+    """Write ``df`` as the new version of ``layer.name`` and return its row count."""
+    rows = _write_rows(df, root, layer, name, run_id)
     fs, marker = hadoop_path(spark, f"{_markers(root, layer, name)}/{run_id}")
     fs.create(marker).close()
-    return int(obs.get["rows"])
+    return rows
+
+
+def _folders(spark: SparkSession, root: str, layer: str, name: str, run_id: str) -> list[str]:
+    """The partition folders that a run wrote."""
+    fs, where = hadoop_path(spark, f"{root}/{layer}/{name}/run={run_id}")
+    return sorted(n for s in fs.listStatus(where) if "=" in (n := s.getPath().getName()))
+
+
+def manifest(spark: SparkSession, root: str, layer: str, name: str, run_id: str) -> dict | None:
+    """``{"schema": ..., "parts": {partition folder: run id}}`` of a version, or None where all is in its own run's folder."""
+    fs, marker = hadoop_path(spark, f"{_markers(root, layer, name)}/{run_id}")
+    if not fs.getFileStatus(marker).getLen():
+        return None
+    stream = fs.open(marker)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
+
+
+def parts(spark: SparkSession, root: str, layer: str, name: str) -> dict[str, str]:
+    """Partition folder -> run that wrote it, in the current version."""
+    known = versions(spark, root, layer, name)
+    if not known:
+        return {}
+    told = manifest(spark, root, layer, name, known[-1])
+    return told["parts"] if told else {f: known[-1] for f in _folders(spark, root, layer, name, known[-1])}
+
+
+def write_years(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str, run_id: str, years: list[int]) -> int:
+    """Replace some years of a year-partitioned table: only their rows are computed and written; years without rows go.
+
+    The other years stay in the folders that hold them now.  Raises
+    :class:`ConcurrentWrite`, and shows nothing, if another version came meanwhile.
+    """
+    (column,) = spec(layer, name).partition_by
+    base = versions(spark, root, layer, name)[-1:]
+    now = parts(spark, root, layer, name)
+    rows = _write_rows(df.where(F.col(column).isin(*years)), root, layer, name, run_id)
+    gone = {f"{column}={y}" for y in years}
+    placed = {k: v for k, v in now.items() if k not in gone} | {f: run_id for f in _folders(spark, root, layer, name, run_id)}
+    if versions(spark, root, layer, name)[-1:] != base:
+        raise ConcurrentWrite(f"{layer}.{name}: another version came after {base}; run the years again")
+    _mark(spark, root, layer, name, run_id, {"schema": json.loads(df.schema.json()), "parts": placed})
+    return rows
+
+
+def _mark(spark: SparkSession, root: str, layer: str, name: str, run_id: str, told: dict) -> None:
+    """Commit a version with a manifest: written beside, then renamed."""
+    fs, marker = hadoop_path(spark, f"{_markers(root, layer, name)}/{run_id}")
+    fs.mkdirs(marker.getParent())
+    draft = hadoop_path(spark, f"{root}/{layer}/{name}/run={run_id}/_manifest")[1]
+    out = fs.create(draft)
+    out.write(bytearray(json.dumps(told), "utf-8"))
+    out.close()
+    if not fs.rename(draft, marker):
+        raise ConcurrentWrite(f"{layer}.{name}: cannot commit {run_id}")
 
 
 def expire(spark: SparkSession, root: str, layer: str, name: str, keep: int) -> list[str]:
-    """Delete all but the last ``keep`` committed versions (marker first); returns the ids that went."""
-    old = versions(spark, root, layer, name)[:-keep] if keep > 0 else []
+    """Delete all but the last ``keep`` committed versions (marker first); returns the ids that went.
+
+    Data of an older run stays as long as a kept version's manifest names it.
+    """
+    known = versions(spark, root, layer, name)
+    old, kept = (known[:-keep], known[-keep:]) if keep > 0 else ([], known)
+    used = set(kept)
+    for run_id in kept:
+        used |= set((manifest(spark, root, layer, name, run_id) or {"parts": {}})["parts"].values())
     for run_id in old:
-        for path in (f"{_markers(root, layer, name)}/{run_id}", f"{root}/{layer}/{name}/run={run_id}"):
+        for path in (f"{_markers(root, layer, name)}/{run_id}", *([] if run_id in used else [f"{root}/{layer}/{name}/run={run_id}"])):
             fs, where = hadoop_path(spark, path)
             fs.delete(where, True)
     return old
@@ -113,8 +189,16 @@ def table_path(spark: SparkSession, root: str, layer: str, name: str) -> str | N
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame | None:
-    path = table_path(spark, root, layer, name)
-    return spark.read.parquet(path) if path else None
+    """The latest committed version; a filter on the partition column prunes folders, whichever runs wrote them."""
+    known = versions(spark, root, layer, name)
+    told = manifest(spark, root, layer, name, known[-1]) if known else None
+    if told is None:
+        path = table_path(spark, root, layer, name)
+        return spark.read.parquet(path) if path else None
+    base = f"{root}/{layer}/{name}"
+    if not told["parts"]:
+        return spark.createDataFrame([], T.StructType.fromJson(told["schema"]))
+    return spark.read.option("basePath", base).parquet(*(f"{base}/run={r}/{f}" for f, r in sorted(told["parts"].items()))).drop("run")
 
 
 def table_state(spark: SparkSession, root: str, layer: str, name: str) -> tuple[bool, int]:
@@ -123,13 +207,15 @@ def table_state(spark: SparkSession, root: str, layer: str, name: str) -> tuple[
     return (False, 0) if df is None else (True, df.count())
 
 
-def _write_layer(spark, root, layer, builders: dict, run_id, threads) -> dict:
+def _write_layer(spark, root, layer, builders: dict, run_id, threads, years: list[int] | None) -> dict:
     results: dict[str, dict] = {}
 
     def one(name):
         t0 = time.time()
         try:
-            rows = write_table(spark, builders[name](), root, layer, name, run_id)
+            some = years is not None and spec(layer, name).partition_by
+            rows = (write_years(spark, builders[name](), root, layer, name, run_id, years) if some
+                    else write_table(spark, builders[name](), root, layer, name, run_id))
             return name, {"rows": rows, "seconds": round(time.time() - t0, 3)}
         except Exception as e:  # noqa: BLE001 - the other tables finish, then the run fails
             log.error("%s.%s failed: %s", layer, name, e)
@@ -143,7 +229,7 @@ def _write_layer(spark, root, layer, builders: dict, run_id, threads) -> dict:
 
 def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
         layers=("bronze", "silver", "gold", "quality"), events: DataFrame | None = None,
-        gate: bool = True, threads: int = 3, keep_versions: int | None = None) -> dict:
+        gate: bool = True, threads: int = 3, keep_versions: int | None = None, years: list[int] | None = None) -> dict:
     """Build the requested layers in order; returns per-table rows and the rule results.
 
     ``sources`` are the batch inputs by name (``sources.registered`` or the
@@ -152,7 +238,9 @@ def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
     are evaluated before the next one starts, the rest at the end, and all
     results are written to ``quality.results``; with ``gate`` a failed rule
     raises after the results are written.  ``keep_versions`` deletes older
-    versions of what was written.
+    versions of what was written.  With ``years``, the year-partitioned tables
+    are built and written for those years only (their rows of a year come from
+    that year of their inputs alone); the other tables, which are small, whole.
     """
     now = time.time()
     run_id = (time.strftime("%Y%m%dT%H%M%S", time.gmtime(now)) + f"{int(now * 1e6) % 1_000_000:06d}"
@@ -164,6 +252,11 @@ def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
     def rd(layer, name):
         return read_table(spark, root, layer, name)
 
+    def by_year(name):
+        """A bronze input of a table that is written by year."""
+        df = rd("bronze", name)
+        return df if years is None else df.where(F.col("ano").isin(*years))
+
     def check(*which: str) -> None:
         """Evaluate the rules of layers over the written tables, write all results so far, and enforce."""
         tables = {k: df for k in SPECS if (df := rd(*k)) is not None}
@@ -179,7 +272,7 @@ def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
             enforce(rd("quality", "results"))
 
     def build(layer: str, builders: dict) -> None:
-        report[layer] = _write_layer(spark, root, layer, builders, run_id, threads)
+        report[layer] = _write_layer(spark, root, layer, builders, run_id, threads, years)
         if any("error" in r for r in report[layer].values()):
             raise LayerError(layer, report)
         if keep_versions:
@@ -189,7 +282,14 @@ def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
             check(layer)
 
     if "bronze" in layers:
-        builders = {name: (lambda fn=fn: fn(sources)) for name, fn in bronze.BUILDERS.items()}
+        def inputs(name: str) -> Mapping[str, DataFrame]:
+            """The sources; those with years cut to the wanted ones for a table that is written by year."""
+            if years is None or not spec("bronze", name).partition_by:
+                return sources
+            fact = bronze.FACTS[name]
+            return {k: (sources[k].where(F.col("ano").isin(*years)) if k == fact else sources[k]) for k in (fact, "dicionario", "dir_municipio")}
+
+        builders = {name: (lambda name=name, fn=fn: fn(inputs(name))) for name, fn in bronze.BUILDERS.items()}
         if events is not None:
             builders["streaming_eventos"] = lambda: events
         build("bronze", builders)
@@ -199,8 +299,8 @@ def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
             "metas_consolidadas": lambda: silver.metas_consolidadas(
                 rd("bronze", "meta_brasil"), rd("bronze", "meta_uf"), rd("bronze", "meta_municipio")),
             "alfabetizacao_municipio_clean": lambda: silver.alfabetizacao_municipio_clean(
-                rd("bronze", "alfabetizacao_municipio")),
-            "alunos_clean": lambda: silver.alunos_clean(rd("bronze", "alunos")),
+                by_year("alfabetizacao_municipio")),
+            "alunos_clean": lambda: silver.alunos_clean(by_year("alunos")),
         }
         if table_path(spark, root, "bronze", "streaming_eventos"):
             builders["streaming_eventos_clean"] = lambda: silver.streaming_eventos_clean(
