@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from strata.catalog import Layers, present
 from strata.plans import gold
+from strata.operators.states import StateTable, evolution
+from strata.plans.quality import rule_result, rules_for
 from strata.plans.registry import SPECS
 from strata.plans.run import parts, read_table, run, table_state, write_table, write_years
 from strata.session import scratch_dir
@@ -138,6 +140,43 @@ def layer_year_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.join(rows, "ano").select("ano", "run", "n_rows")
 
 
+def _merged_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of the silver state table by year and grade, merged over three loads; one of them was loaded wrong first and again."""
+    rows = Layers(spark, sf_dir).silver_uf
+    table = StateTable(spark, scratch_dir(spark, "states"), ["ano", "serie"], ["taxa_alfabetizacao"], ["sigla_uf", "rede"])
+    table.load("old", rows.where("ano < 1994"))
+    table.load("odd", rows.where("ano >= 1994 AND sigla_uf < 'M'").withColumn("taxa_alfabetizacao", F.lit(1000.0)).withColumn("rede", F.col("sigla_uf")))
+    table.load("rest", rows.where("ano >= 1994 AND NOT sigla_uf < 'M'"))
+    table.load("odd", rows.where("ano >= 1994 AND sigla_uf < 'M'"))
+    return table.merged()
+
+
+def gold_evolution_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-1/2/4/5: the evolution table from merged states."""
+    return present(evolution(_merged_states(spark, sf_dir)))
+
+
+def distinct_count_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-4: distinct states and networks from merged bitmaps."""
+    return present(_merged_states(spark, sf_dir).select("ano", "serie", F.col("distinct_sigla_uf").alias("qtd_estados"), F.col("distinct_rede").alias("qtd_redes")))
+
+
+def dq_coverage_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-10, DQ-11: the coverage rule from bitmaps of both sides, each merged over two loads."""
+    L = Layers(spark, sf_dir)
+    sides = {"mine": gold.ranking_estados(L.silver_uf, L.silver_metas).select("sigla_uf"),
+             "theirs": L.silver_metas.where("escopo = 'uf' AND sigla_uf IS NOT NULL").select("sigla_uf")}
+    counts = None
+    for side, keys in sides.items():
+        table = StateTable(spark, scratch_dir(spark, f"coverage-{side}"), [], [], ["sigla_uf"])
+        table.load("first", keys.where("sigla_uf < 'N'"))
+        table.load("second", keys.where("sigla_uf >= 'M'"))
+        one = table.distinct_only().withColumnRenamed("distinct_sigla_uf", side)
+        counts = one if counts is None else counts.join(one)
+    (rule,) = [r for r in rules_for("gold") if r.kind == "coverage"]
+    return present(rule_result(counts, rule, F.abs(F.col("mine") - F.col("theirs")), F.col("theirs")))
+
+
 LAYER_QUERIES = {
     "layer_receipts": layer_receipts,
     "layer_bronze_municipality": _read_back("bronze", "alfabetizacao_municipio"),
@@ -147,6 +186,9 @@ LAYER_QUERIES = {
     "layer_clustering": layer_clustering,
     "layer_audit": layer_audit,
     "layer_gate": layer_gate,
+    "gold_evolution_states": gold_evolution_states,
+    "distinct_count_states": distinct_count_states,
+    "dq_coverage_states": dq_coverage_states,
     "layer_years_rewritten": layer_years_rewritten,
     "layer_year_folders": layer_year_folders,
     "order_evolution": order_evolution,

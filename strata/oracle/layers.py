@@ -17,6 +17,9 @@ LAYER_SQL = {
     "layer_silver_state": SQL["silver_state"],
     "layer_gold_panel": SQL["gold_municipality"],
     "layer_partitions": with_views("bronze_alunos") + "\nSELECT ano::VARCHAR AS folder, ano::BIGINT AS ano, count(*) AS n_rows FROM bronze_alunos GROUP BY ano",
+    "gold_evolution_states": SQL["gold_evolution"],
+    "distinct_count_states": SQL["distinct_count"],
+    "dq_coverage_states": QUALITY_SQL["dq_coverage"],
     "layer_years_rewritten": SQL["bronze_pupils"],
     "layer_year_folders": with_views("bronze_alunos")
     + "\nSELECT ano::BIGINT AS ano, CASE WHEN ano IN (1996, 1998) THEN 'run-2' ELSE 'run-1' END AS run, count(*) AS n_rows FROM bronze_alunos GROUP BY ano",

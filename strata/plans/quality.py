@@ -140,6 +140,11 @@ def _tag(frame: DataFrame, rule: Rule) -> DataFrame:
         _share_pct())
 
 
+def rule_result(counts: DataFrame, rule: Rule, violations: Column, total: Column) -> DataFrame:
+    """The result row of a rule whose counts were kept elsewhere (merged states, incremental references)."""
+    return _tag(counts.select(*_one(violations, total)), rule)
+
+
 def evaluate(spark: SparkSession, tables: dict[tuple[str, str], DataFrame],
              rules: list[Rule]) -> DataFrame:
     """Result rows for ``rules``; a rule whose table is absent is skipped,
