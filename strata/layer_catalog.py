@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from strata.catalog import Layers, present
 from strata.plans import gold
+from strata.operators.references import References
 from strata.operators.states import StateTable, evolution
 from strata.plans.quality import rule_result, rules_for
 from strata.plans.registry import SPECS
 from strata.plans.run import parts, read_table, run, table_state, write_table, write_years
+from strata.quality_catalog import LayerTables
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
 
@@ -177,6 +179,30 @@ def dq_coverage_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(rule_result(counts, rule, F.abs(F.col("mine") - F.col("theirs")), F.col("theirs")))
 
 
+def dq_references_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-12, JOI-7: the reference rules from key counts that several loads changed: facts in two halves, a directory that
+    came too large and then lost rows, and facts that were taken back."""
+    L = Layers(spark, sf_dir)
+    t = LayerTables(L, materialize=True)
+    out = None
+    for rule in [r for r in rules_for("all") if r.kind == "references"]:
+        p = rule.params
+        facts = t[rule.layer, rule.table].select(F.col(p["key"]).cast("string").alias("key"))
+        facts = facts.withColumn("half", F.pmod(F.xxhash64("key"), F.lit(2)))
+        ref = t[tuple(p["ref"])]
+        ref = ref.where(p["ref_filter_sql"]) if p.get("ref_filter_sql") else ref
+        ref = ref.select(F.col(p["ref_key"]).cast("string").alias("ref_key"))
+        extra = facts.where("half = 1").select(F.col("key").alias("ref_key"))  # rows that a wrong directory had
+        kept = References(spark, scratch_dir(spark, "references"), "key", "ref_key", buckets=8)
+        kept.load("directory and half", facts.where("half = 0"), ref.unionByName(extra))
+        kept.load("other half", facts.where("half = 1").unionByName(facts.where("half = 0")))
+        kept.load("corrections", gone_facts=facts.where("half = 0"), gone_directory=extra)
+        orphans, rows = kept.verdict()
+        one = rule_result(spark.range(1), rule, F.lit(orphans), F.lit(rows))
+        out = one if out is None else out.unionByName(one)
+    return present(out)
+
+
 LAYER_QUERIES = {
     "layer_receipts": layer_receipts,
     "layer_bronze_municipality": _read_back("bronze", "alfabetizacao_municipio"),
@@ -189,6 +215,7 @@ LAYER_QUERIES = {
     "gold_evolution_states": gold_evolution_states,
     "distinct_count_states": distinct_count_states,
     "dq_coverage_states": dq_coverage_states,
+    "dq_references_kept": dq_references_kept,
     "layer_years_rewritten": layer_years_rewritten,
     "layer_year_folders": layer_year_folders,
     "order_evolution": order_evolution,

@@ -20,6 +20,7 @@ LAYER_SQL = {
     "gold_evolution_states": SQL["gold_evolution"],
     "distinct_count_states": SQL["distinct_count"],
     "dq_coverage_states": QUALITY_SQL["dq_coverage"],
+    "dq_references_kept": QUALITY_SQL["dq_references"],
     "layer_years_rewritten": SQL["bronze_pupils"],
     "layer_year_folders": with_views("bronze_alunos")
     + "\nSELECT ano::BIGINT AS ano, CASE WHEN ano IN (1996, 1998) THEN 'run-2' ELSE 'run-1' END AS run, count(*) AS n_rows FROM bronze_alunos GROUP BY ano",

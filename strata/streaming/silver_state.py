@@ -1,67 +1,34 @@
 """The silver event table kept up to date by key: the latest valid delivery per message, in buckets.
 
 A wave of new deliveries is merged with the stored rows of the buckets that its
-messages fall in; only these buckets are written anew.  A version of the table
-is a commit that names the folder of every bucket, so a wave adds one version
-that shares the untouched buckets with the one before, and readers see a wave
-whole or not at all.  Keeping the latest is idempotent, and the commit carries
-the name of its wave: a replayed wave changes nothing.
-
-A message's bucket is a hash of its id; within a bucket rows are written in
-``files`` parts, so a bucket is no single task.  The number of buckets is fixed
-when the table is first written.
+messages fall in (:mod:`strata.streaming.buckets`); only these are written anew.
+Keeping the latest is idempotent, and a replayed wave changes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.clean import keep_latest
-from strata.streaming import commits
+from strata.streaming import buckets as keyed
 from strata.streaming.ingest import BRONZE_SCHEMA, on_commits, valid_deliveries
 
-BUCKETS = 64
+BUCKETS = keyed.BUCKETS
 KEY = "pubsub_message_id"
-SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField("bucket", T.LongType())])
+written_by_version = keyed.written_by_version
 
 
 def bucket_of(buckets: int) -> Column:
-    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).alias("bucket")
-
-
-def state(spark: SparkSession, silver_dir: str) -> tuple[int, dict[str, str]]:
-    """Version number and lines of the current version: ``wave``, ``buckets`` and a folder per bucket (by number)."""
-    known = commits.names(spark, silver_dir)
-    return (int(known[-1]), dict(commits.lines_of(spark, silver_dir, known[-1:]))) if known else (0, {})
-
-
-def _stored(spark: SparkSession, silver_dir: str, folders: list[str]) -> DataFrame:
-    return commits.read(spark, silver_dir, folders, SCHEMA)
+    return keyed.bucket_of([KEY], buckets)
 
 
 def merge_wave(spark: SparkSession, deliveries: DataFrame, silver_dir: str, wave: str, buckets: int = BUCKETS, files: int = 1) -> list[int]:
     """Merge the valid ones of some deliveries; the buckets that were written anew."""
-    number, now = state(spark, silver_dir)
-    if now.get("wave") == wave:
-        return []
-    buckets = int(now.get("buckets", buckets))
-    new = valid_deliveries(deliveries).withColumn("bucket", bucket_of(buckets))
-    # At most one row per bucket.
-    touched = sorted(r["bucket"] for r in new.select("bucket").distinct().collect())
-    old = _stored(spark, silver_dir, [now[str(b)] for b in touched if str(b) in now])
-    folder = f"version=v-{number + 1:010d}/{commits.attempt()}"
-    if touched:
-        latest = keep_latest(old.unionByName(new), ["bucket", KEY], "ingestao_ts")
-        latest.repartition(max(1, len(touched) * files), "bucket", F.pmod(F.xxhash64(KEY, F.lit(1)), F.lit(files))) \
-            .write.partitionBy("bucket").parquet(f"{silver_dir}/{folder}")
-    placed = {k: v for k, v in now.items() if k not in ("wave", "buckets")} | {str(b): f"{folder}/bucket={b}" for b in touched}
-    lines = [("wave", wave), ("buckets", str(buckets)), *sorted(placed.items())]
-    if not commits.add(spark, silver_dir, f"{number + 1:010d}", lines):
-        raise RuntimeError(f"{silver_dir}: version {number + 1} was committed by another writer; run the wave again")
-    return touched
+    def latest(old: DataFrame, new: DataFrame) -> DataFrame:
+        return keep_latest(old.unionByName(new), ["bucket", KEY], "ingestao_ts")
+
+    return keyed.merge(spark, silver_dir, wave, valid_deliveries(deliveries), [KEY], BRONZE_SCHEMA, latest, buckets, files)
 
 
 def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint_dir: str, buckets: int = BUCKETS,
@@ -73,15 +40,4 @@ def start_silver_stream(spark: SparkSession, bronze_dir: str, silver_dir: str, c
 
 def read_latest(spark: SparkSession, silver_dir: str) -> DataFrame:
     """The latest valid delivery of every message (bronze columns)."""
-    _, now = state(spark, silver_dir)
-    return _stored(spark, silver_dir, [v for k, v in now.items() if k not in ("wave", "buckets")]).select(*BRONZE_SCHEMA.fieldNames())
-
-
-def written_by_version(spark: SparkSession, silver_dir: str) -> list[tuple[int, int, int]]:
-    """``(version, buckets written, buckets in all)`` of the kept versions."""
-    out, before = [], {}
-    for name in commits.names(spark, silver_dir):
-        now = {k: v for k, v in commits.lines_of(spark, silver_dir, [name]) if k not in ("wave", "buckets")}
-        out.append((int(name), sum(before.get(k) != v for k, v in now.items()), len(now)))
-        before = now
-    return out
+    return keyed.read(spark, silver_dir, BRONZE_SCHEMA).select(*BRONZE_SCHEMA.fieldNames())

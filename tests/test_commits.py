@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import silver
+from strata.streaming import buckets as keyed
 from strata.streaming import commits, ingest, silver_state
 from tests.test_stream import _msg, _write
 
@@ -100,4 +101,4 @@ def test_a_replayed_wave_and_an_empty_one(spark, tmp_root):
     assert silver_state.merge_wave(spark, rows, root, "w1") == []
     assert silver_state.merge_wave(spark, rows.limit(0), root, "w2") == []
     assert silver_state.read_latest(spark, root).count() == 1
-    assert silver_state.merge_wave(spark, rows, root, "w3", buckets=99) and silver_state.state(spark, root)[1]["buckets"] == "4"
+    assert silver_state.merge_wave(spark, rows, root, "w3", buckets=99) and keyed.state(spark, root)[1]["buckets"] == "4"
