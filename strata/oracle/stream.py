@@ -51,6 +51,14 @@ STREAM_SQL = {
         "SELECT batch_id, n AS n_reported, n AS n_rows FROM (SELECT 0::BIGINT AS batch_id, least(7, count(*)) AS n FROM event_deliveries "
         "UNION ALL SELECT 1, least(1000, count(*) - 7) FROM event_deliveries UNION ALL SELECT 2, greatest(0, count(*) - 1007) FROM event_deliveries)",
         ["event_deliveries"]),
+    "stream_gate_rows": _BRONZE,
+    "stream_gate": select(
+        ["batch_id", "rows", "malformed", "nulls", "out_of_range", "repeated", "held"],
+        "SELECT wave AS batch_id, count(*) AS rows, count(*) FILTER (malformed) AS malformed, count(*) FILTER (NOT malformed AND "
+        "(tipo IS NULL OR timestamp IS NULL OR sigla_uf IS NULL OR wave = 1 OR pubsub_message_id IS NULL)) AS nulls, "
+        "count(*) FILTER (NOT malformed AND (taxa_alfabetizacao < 0 OR taxa_alfabetizacao > 100)) AS out_of_range, "
+        "count(pubsub_message_id) - count(DISTINCT pubsub_message_id) AS repeated, wave = 1 AS held "
+        "FROM event_deliveries JOIN (VALUES (0::BIGINT, 0), (1, 0), (2, 1)) AS w(wave, d) ON d = delivery GROUP BY wave", ["event_deliveries"]),
     "stream_redelivery": select(
         ["pubsub_message_id", "outcome", "attempts", "n_bronze", "n_dead"],
         "SELECT pubsub_message_id, CASE WHEN id % 2 = 0 OR id % 3 = 0 THEN 'recovered' ELSE 'dead' END AS outcome, "

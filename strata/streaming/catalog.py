@@ -18,6 +18,7 @@ from strata.plans import silver
 from strata.session import scratch_dir
 from strata.sources import testviews as tv
 from strata.streaming.bounded import take_messages
+from strata.streaming.gate import Gate, verdicts
 from strata.streaming.ingest import (first_deliveries, ingest_events, read_batches, read_bronze, read_quarantine,
                                      read_versions, start_versions_stream)
 from strata.streaming.landing import envelopes, write_wave
@@ -162,6 +163,28 @@ def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("n_dead", F.lit(0)).cast("long").alias("n_dead"))
 
 
+def _gated(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze after three gated batches: first deliveries, the same without their states (planted, bad), redeliveries."""
+    root = scratch_dir(spark, "events")
+    deliveries = tv.event_deliveries(spark, sf_dir)
+    first = deliveries.where("delivery = 0")
+    for wave in (first, first.withColumn("sigla_uf", F.lit(None).cast("string")), deliveries.where("delivery = 1")):
+        write_wave(wave, f"{root}/landing")
+        ingest_events(spark, f"{root}/landing", f"{root}/bronze", f"{root}/quarantine", f"{root}/checkpoint", gate=Gate()).awaitTermination()
+    return f"{root}/bronze"
+
+
+def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-3, DQ-8 on the stream: the verdict of every batch."""
+    number = F.regexp_extract("commit", "-([0-9]+)$", 1).cast("long")
+    return verdicts(spark, _gated(spark, sf_dir)).select(number.alias("batch_id"), "rows", "malformed", "nulls", "out_of_range", "repeated", "held")
+
+
+def stream_gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-3, DQ-8 on the stream: bronze does not hold the batch that was held."""
+    return present(_micros(_micros(read_bronze(spark, _gated(spark, sf_dir)), "timestamp", "evento_us"), "ingestao_ts", "ingestao_us"))
+
+
 STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
@@ -174,4 +197,6 @@ STREAM_QUERIES = {
     "stream_exact_intake": stream_exact_intake,
     "stream_exact_rows": stream_exact_rows,
     "stream_redelivery": stream_redelivery,
+    "stream_gate": stream_gate,
+    "stream_gate_rows": stream_gate_rows,
 }

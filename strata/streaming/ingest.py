@@ -19,9 +19,10 @@ appends beside what earlier ones wrote.
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,6 +33,7 @@ from strata.session import hadoop_path
 from strata.schemas import (CORRUPT_COL, EVENT_METRICS, EVENT_PAYLOAD, EVENT_PAYLOAD_WITH_CORRUPT,
                             MESSAGE_ENVELOPE)
 from strata.streaming import commits
+from strata.streaming.gate import Gate
 
 ENVELOPE_WITH_CORRUPT = T.StructType(MESSAGE_ENVELOPE.fields + [T.StructField(CORRUPT_COL, T.StringType())])
 PAYLOAD_FIELDS = [f.name for f in EVENT_PAYLOAD.fields]
@@ -114,14 +116,21 @@ def batch_rows(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                          F.when(~good, F.col("raw")).alias("raw"), F.col("bad").cast("string").alias("bad"), *keep)
 
 
-def commit_batch(spark: SparkSession, parsed: DataFrame, bronze_dir: str, intake: str, batch_id: int) -> bool:
-    """Write one parsed batch and commit it; False if it was committed before."""
+def commit_batch(spark: SparkSession, parsed: DataFrame, bronze_dir: str, intake: str, batch_id: int, gate: Gate | None = None) -> bool:
+    """Write one parsed batch and commit it (held, if a gate says so); False if it was committed before."""
     name = f"{intake}-{batch_id:010d}"
     if commits.has(spark, bronze_dir, name):
         return False
     folder = f"intake={intake}/batch_id={batch_id}/{commits.attempt()}"
-    batch_rows(parsed).write.partitionBy("bad").parquet(f"{bronze_dir}/{folder}")
-    return commits.add(spark, bronze_dir, name, [("rows", folder)])
+    rows = batch_rows(parsed)
+    seen = Observation()
+    (rows.observe(seen, *gate.counts()) if gate else rows).write.partitionBy("bad").parquet(f"{bronze_dir}/{folder}")
+    if gate is None:
+        return commits.add(spark, bronze_dir, name, [("rows", folder)])
+    verdict = {k: int(v or 0) for k, v in seen.get.items()}
+    again = read_batches(spark, bronze_dir, [folder]).where("pubsub_message_id IS NOT NULL").groupBy("pubsub_message_id").agg(F.count(F.lit(1)).alias("n"))
+    verdict["repeated"] = int(again.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).first()["n"])
+    return commits.add(spark, bronze_dir, name, [("held" if gate.holds(verdict) else "rows", folder), ("verdict", json.dumps(verdict))])
 
 
 def _point(spark: SparkSession, quarantine_dir: str, bronze_dir: str) -> None:
@@ -135,18 +144,18 @@ def _point(spark: SparkSession, quarantine_dir: str, bronze_dir: str) -> None:
 def ingest_events(spark: SparkSession, landing_dir: str | None, bronze_dir: str, quarantine_dir: str,
                   checkpoint_dir: str, max_files_per_trigger: int | None = FILES_PER_TRIGGER,
                   available_now: bool = True, processing_time: str | None = None,
-                  source: DataFrame | None = None) -> StreamingQuery:
+                  source: DataFrame | None = None, gate: Gate | None = None) -> StreamingQuery:
     """Start the intake; with ``available_now`` it stops when the landing folder
     is drained (bounded intake), otherwise it runs on ``processing_time``.
     ``source`` replaces the landing folder with another envelope stream
-    (e.g. ``read_kafka``)."""
+    (e.g. ``read_kafka``).  With a ``gate``, batches that fail it are held."""
     intake = intake_id(spark, checkpoint_dir)
     _point(spark, quarantine_dir, bronze_dir)
     raw = source if source is not None else read_landing(spark, landing_dir, max_files_per_trigger)
     parsed = parse_messages(raw)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        commit_batch(batch.sparkSession, batch, bronze_dir, intake, batch_id)
+        commit_batch(batch.sparkSession, batch, bronze_dir, intake, batch_id, gate)
 
     writer = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     if available_now:
