@@ -13,6 +13,7 @@ from strata.catalog import Layers, present
 from strata.plans import gold
 from strata.operators.references import References
 from strata.operators.states import StateTable, evolution
+from strata.plans.fileindex import files_for, index_column, lookup
 from strata.plans.quality import rule_result, rules_for
 from strata.plans.registry import SPECS
 from strata.plans.run import parts, read_table, run, table_state, write_table, write_years
@@ -203,6 +204,32 @@ def dq_references_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(out)
 
 
+def _indexed_pupils(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
+    """The pupil table in small files, with an index of the pupil id, which it is not clustered by; and three ids to look up."""
+    root = scratch_dir(spark, "index")
+    pupils = Layers(spark, sf_dir).bronze_alunos
+    write_table(spark, pupils, root, "bronze", "alunos", "run-1", max_records=1000)
+    index_column(spark, root, "bronze", "alunos", "id_aluno")
+    ids = pupils.agg(F.min("id_aluno").alias("lo"), F.max("id_aluno").alias("hi")).first()
+    return root, [ids["lo"], ids["hi"], "no such pupil"]
+
+
+def layer_file_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: rows of looked-up pupils, read from the files that the index keeps."""
+    root, ids = _indexed_pupils(spark, sf_dir)
+    return present(lookup(spark, root, "bronze", "alunos", "id_aluno", ids))
+
+
+def layer_file_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: whether a lookup of each of two ids, and of one that is not there, leaves out 90 % of the files."""
+    root, ids = _indexed_pupils(spark, sf_dir)
+    rows = []
+    for kind, one in zip(("first", "last", "none"), ids, strict=True):
+        kept, total = files_for(spark, root, "bronze", "alunos", "id_aluno", [one])
+        rows.append((kind, len(kept) <= 0.1 * total))
+    return _rows(spark, rows, "lookup string, pruned boolean")
+
+
 LAYER_QUERIES = {
     "layer_receipts": layer_receipts,
     "layer_bronze_municipality": _read_back("bronze", "alfabetizacao_municipio"),
@@ -216,6 +243,8 @@ LAYER_QUERIES = {
     "distinct_count_states": distinct_count_states,
     "dq_coverage_states": dq_coverage_states,
     "dq_references_kept": dq_references_kept,
+    "layer_file_lookup": layer_file_lookup,
+    "layer_file_pruning": layer_file_pruning,
     "layer_years_rewritten": layer_years_rewritten,
     "layer_year_folders": layer_year_folders,
     "order_evolution": order_evolution,

@@ -21,6 +21,9 @@ LAYER_SQL = {
     "distinct_count_states": SQL["distinct_count"],
     "dq_coverage_states": QUALITY_SQL["dq_coverage"],
     "dq_references_kept": QUALITY_SQL["dq_references"],
+    "layer_file_lookup": f"SELECT * FROM ({SQL['bronze_pupils']}) WHERE id_aluno IN (SELECT min(id_aluno) FROM ({SQL['bronze_pupils']}) "
+                         f"UNION SELECT max(id_aluno) FROM ({SQL['bronze_pupils']}))",
+    "layer_file_pruning": "SELECT unnest(['first', 'last', 'none']) AS lookup, true AS pruned",
     "layer_years_rewritten": SQL["bronze_pupils"],
     "layer_year_folders": with_views("bronze_alunos")
     + "\nSELECT ano::BIGINT AS ano, CASE WHEN ano IN (1996, 1998) THEN 'run-2' ELSE 'run-1' END AS run, count(*) AS n_rows FROM bronze_alunos GROUP BY ano",

@@ -65,12 +65,12 @@ def clustered(df: DataFrame, order: list[str]) -> DataFrame:
     return df.repartitionByRange(*[F.col(c) for c in order], whole).sortWithinPartitions(*order)
 
 
-def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str) -> int:
+def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str, max_records: int = MAX_RECORDS_PER_FILE) -> int:
     s = spec(layer, name)
     order = [*s.partition_by, *s.cluster_by]
     obs = Observation(f"{layer}.{name}")
     out = (clustered(df, order) if order else df).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if s.partition_by:
         writer = writer.partitionBy(*s.partition_by)
     writer.parquet(f"{root}/{layer}/{name}/run={run_id}")
@@ -78,9 +78,9 @@ def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str) ->
 
 
 def write_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str,
-                run_id: str) -> int:
+                run_id: str, max_records: int = MAX_RECORDS_PER_FILE) -> int:
     """Write ``df`` as the new version of ``layer.name`` and return its row count."""
-    rows = _write_rows(df, root, layer, name, run_id)
+    rows = _write_rows(df, root, layer, name, run_id, max_records)
     fs, marker = hadoop_path(spark, f"{_markers(root, layer, name)}/{run_id}")
     fs.create(marker).close()
     return rows
