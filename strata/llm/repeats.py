@@ -10,13 +10,16 @@ A window is ``length`` consecutive units (words or bytes) of one document.
    counts are partial aggregates; runs and counts meet in a sort-merge join,
    which splits hot anchors.
 3. Segments: a candidate run's text is sent once per distinct content, with
-   the number of its occurrences.
+   the number of its occurrences.  Contents are told apart by a 128-bit digest
+   of their bytes, taken in the pass over the texts.
 4. Shards: segments of one anchor come together; groups of anchors up to a
    byte bound are given to a ``finder``, an index that decides which windows
    of a segment occur at least twice.
-   An anchor with more than ``hot`` runs (a phrase in very many different
-   surroundings) is no shard: the windows of its segments are counted by a
-   128-bit digest over all tasks, so no task holds the anchor.
+   An anchor with more than ``hot`` different segments (a phrase in very many
+   surroundings) is split by a deeper name: its segments are searched like
+   documents, with anchors of a longer ``gram``, up to the window itself.  A
+   longer anchor reaches into the surroundings, so such groups fall apart, and
+   all of them end in the same finder.
 5. The covered intervals go back to all occurrences and to their documents.
 
 Windows of copies never multiply: a third of all rows may be one text, which
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import KEY, keyed, partitions, written
-from strata.llm.textnp import BYTE, U, mix, powers, sliding, sliding_min, span_hash, text_chunks, word_spans
+from strata.llm.textnp import BYTE, SPACE, U, mix, powers, sliding, sliding_min, span_hash, text_chunks, word_spans
 
-#: ``(key, sid, occurrences, windows, content)`` of one distinct segment.
-Segment = tuple[int, int, int, int, bytes]
+#: ``(key, digest, occurrences, windows, content)`` of one distinct segment.
+Segment = tuple[int, tuple[int, int], int, int, bytes]
+#: The digest of a segment's content, as two longs.
+DIGEST = ["d1", "d2"]
 SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 Finder = Callable[[list[Segment]], Iterator[tuple[Segment, list[tuple[int, int]]]]]
 
@@ -60,6 +65,27 @@ class Kind:
         s, e, first = word_spans(data, offs)
         return span_hash(BYTE[data], s, e), first
 
+    def deeper(self) -> Kind:
+        """The same search with longer anchors; the last ones are the windows themselves, and no group is too large for it."""
+        near = self.length - self.length // 16
+        gram = 2 * self.gram if 2 * self.gram < near else near if self.gram < near else self.length
+        return replace(self, gram=gram, hot=self.hot if gram < self.length else 1 << 62)
+
+    def bytes_of(self, data: np.ndarray, offs: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The units of all rows as one string, and where each of them begins and ends in it; words have one space between them."""
+        if not self.words:
+            at = np.arange(len(data) + 1, dtype=np.int64)
+            return data.tobytes(), at[:-1], at[1:]
+        s, e, _ = word_spans(data, offs)
+        keep = ~SPACE[data]
+        size = e - s
+        begin = np.cumsum(size + 1) - size - 1
+        out = np.full(int((size + 1).sum()), 32, np.uint8)
+        inside = np.ones(len(out), bool)
+        inside[begin + size] = False
+        out[inside] = data[keep]
+        return out.tobytes(), begin, begin + size
+
     def split(self, text: bytes):
         return text.split() if self.words else text
 
@@ -68,13 +94,13 @@ class Kind:
 
 
 def runs(values: np.ndarray, first: np.ndarray, length: int, gram: int):
-    """``(row, start, windows, key, sid, anchors)`` of all runs; ``start`` counts from the row's first unit.
+    """``(row, first unit, start, windows, key, anchors)`` of all runs; ``start`` counts from the row's first unit.
 
     ``anchors`` is 2 if the run holds its anchor more than once (then it may
     repeat within itself), else 1.  Runs longer than ``length`` are cut.
     """
     n, w = len(values), length - gram + 1
-    none = [np.empty(0, np.int64)] * 3 + [np.empty(0, U)] * 2 + [np.empty(0, np.int64)]
+    none = [np.empty(0, np.int64)] * 4 + [np.empty(0, U), np.empty(0, np.int64)]
     if n < length:
         return none
     p, q = powers(n + 1)
@@ -114,11 +140,9 @@ def runs(values: np.ndarray, first: np.ndarray, length: int, gram: int):
         nth = np.arange(len(rep)) - np.repeat(np.cumsum(parts) - parts, parts)
         a, b = a[rep] + nth * length, np.minimum(b[rep], a[rep] + (nth + 1) * length)
         key, many = key[rep], np.where(parts[rep] > 1, 2, many[rep])
-    e = b - 1 + length
-    sid = mix((c[e] - c[a]) * q[a] + (e - a).astype(U) * U(0xD6E8FEB86659FD93))
     row = np.searchsorted(first, a, "right") - 1
     # Empty rows share a first unit with the next: the run is in the last of them, which the search gives.
-    return row, a - first[row], b - a, key, sid, many
+    return row, a, a - first[row], b - a, key, many
 
 
 def _anchor_rows(docs: DataFrame, kind: Kind) -> DataFrame:
@@ -126,104 +150,127 @@ def _anchor_rows(docs: DataFrame, kind: Kind) -> DataFrame:
         for batch in batches:
             for lo, hi, data, offs in text_chunks(batch.column(2)):
                 values, first = kind.units(data, offs)
-                row, start, n, key, sid, many = runs(values, first, kind.length, kind.gram)
+                row, unit, start, n, key, many = runs(values, first, kind.length, kind.gram)
+                if not len(row):
+                    continue
+                text, begin, end = kind.bytes_of(data, offs)
+                cut = zip(begin[unit].tolist(), end[unit + n + kind.length - 2].tolist(), strict=True)
+                digest = np.frombuffer(b"".join([hashlib.blake2b(text[i:j], digest_size=16).digest() for i, j in cut]), np.int64).reshape(-1, 2)
                 at = pa.array(row + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(sid.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
+                    [pa.array(key.view(np.int64)), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), batch.column(0).take(at), batch.column(1).take(at),
                      pa.array(start.astype(np.int64) << 16 | n), pa.array(many)],
-                    names=["key", "sid", *KEY, "place", "many"])
-
-    return docs.mapInArrow(run, "key long, sid long, _doc long, _hash long, place long, many long")
+                    names=["key", *DIGEST, *KEY, "place", "many"])
 
-
-def _segments(text: bytes, places: list[dict], kind: Kind):
-    units = kind.split(text)
-    for p in places:
-        start, n = p["place"] >> 16, p["place"] & 0xFFFF
-        if p["hot"]:
-            # No shard takes it: the digest of each window, whose start stands at ``windows``.
-            for i in range(n):
-                window = kind.join(units[start + i:start + i + kind.length])
-                yield p["key"], p["sid"], p["n"], i, hashlib.blake2b(window, digest_size=16).digest()
-        else:
-            yield p["key"], p["sid"], p["n"], n, kind.join(units[start:start + n - 1 + kind.length])
+    return docs.mapInArrow(run, "key long, d1 long, d2 long, _doc long, _hash long, place long, many long")
 
 
-def _counted(windows: DataFrame, length: int) -> DataFrame:
-    """``(key, sid, spans)`` of hot segments: their windows whose digest occurs twice, by partial counts joined back."""
-    often = windows.groupBy("content").agg(F.sum("n").alias("c")).where("c > 1").select("content")
-    starts = windows.join(often.hint("shuffle_merge"), "content").groupBy("key", "sid").agg(F.collect_set("windows").alias("starts"))
-
-    def spans(batches):
-        for batch in batches:
-            out = [[{"a": a, "b": b} for a, b in window_spans(np.sort(np.array(x, np.int64)), length)] for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, SPANS)], names=["key", "sid", "spans"])
-
-    return starts.mapInArrow(spans, "key long, sid long, spans array<struct<a:long,b:long>>")
+def _hot_keys(candidates: DataFrame, kind: Kind) -> DataFrame | None:
+    """Anchors with more different segments than one task should hold; None if there are none."""
+    big = candidates.where("big")
+    if big.isEmpty():
+        return None
+    hot = written(big.select("key", *DIGEST).distinct().groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > kind.hot).select("key"), "repeat-hot")
+    return None if hot.isEmpty() else hot
 
 
 def find_repeats(docs: DataFrame, kind: Kind, finder: Finder, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_doc, _hash, text, spans)``: every row with the unit intervals covered by repeated windows (NULL: none)."""
     docs = keyed(docs, id_col, text_col)
+    return docs.join(_covered(docs, kind, finder), KEY, "left")
+
+
+def _covered(docs: DataFrame, kind: Kind, finder: Finder) -> DataFrame:
+    """``(_doc, _hash, spans)`` of the rows of ``docs`` (``_doc, _hash, text``) with repeated windows."""
     found = written(_anchor_rows(docs, kind), "repeat-runs")
-    often = found.groupBy("key").agg(F.sum("many").alias("c")).where("c > 1").select("key", (F.col("c") > kind.hot).alias("hot"))
-    candidates = written(found.join(often.hint("shuffle_merge"), "key").select("key", "sid", *KEY, "place", "hot"), "repeat-candidates")
-    distinct = candidates.groupBy("key", "sid").agg(F.count("*").alias("n"), F.first("hot").alias("hot"), F.min(F.struct(*KEY, "place")).alias("one"))
+    often = found.groupBy("key").agg(F.sum("many").alias("c")).where("c > 1").select("key", (F.col("c") > kind.hot).alias("big"))
+    candidates = written(found.join(often.hint("shuffle_merge"), "key").select("key", *DIGEST, *KEY, "place", "many", "big"), "repeat-candidates")
+    distinct = candidates.groupBy("key", *DIGEST).agg(F.count("*").alias("n"), F.max("many").alias("many"), F.min(F.struct(*KEY, "place")).alias("one"))
+    hot = _hot_keys(candidates, kind)
+    if hot is None:
+        distinct = distinct.withColumn("hot", F.lit(False))
+    else:
+        # Hot anchors are few (each has over ``hot`` runs); written, so they are broadcast only by their size.
+        distinct = distinct.join(hot.withColumn("hot", F.lit(True)), "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = distinct.groupBy("one._doc", "one._hash").agg(
-        F.collect_list(F.struct("key", "sid", "n", "hot", F.col("one.place").alias("place"))).alias("places"))
+        F.collect_list(F.struct("key", *DIGEST, "n", "many", "hot", F.col("one.place").alias("place"))).alias("places"))
 
-    def cut(hot: bool):
+    def cut(which: bool):
         def pack(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)],
-                                              names=["key", "sid", "n", "windows", "content"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 6 + [pa.binary()], strict=True)],
+                                              names=["key", *DIGEST, "n", "many", "windows", "content"])
 
         def run(batches):
-            rows = []
+            rows, size = [], 0
             for batch in batches:
                 for text, places in zip(batch.column(0), batch.column(1), strict=True):
-                    mine = [p for p in places.as_py() if p["hot"] == hot]
-                    for s in _segments((text.as_py() or "").encode(), mine, kind) if mine else ():
-                        rows.append(s)
-                        if len(rows) == 20_000:
+                    mine = [p for p in places.as_py() if p["hot"] == which]
+                    if not mine:
+                        continue
+                    units = kind.split(_raw(text.as_py()))
+                    for p in mine:
+                        start, n = p["place"] >> 16, p["place"] & 0xFFFF
+                        rows.append((p["key"], p["d1"], p["d2"], p["n"], p["many"], n, kind.join(units[start:start + n - 1 + kind.length])))
+                        size += len(rows[-1][-1]) + 100
+                        if size > 8 << 20:
                             yield pack(rows)
-                            rows = []
+                            rows, size = [], 0
             if rows:
                 yield pack(rows)
         return run
 
     def search(batches):
         for shard in _shards(batches, kind.shard_bytes):
-            out = [(s[0], s[1], [{"a": a, "b": b} for a, b in spans]) for s, spans in finder(shard) if spans]
-            cols = list(zip(*out, strict=True)) if out else [()] * 3
-            kinds = [pa.int64(), pa.int64(), SPANS]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "sid", "spans"])
-
-    # One job for both kinds of segment: the shuffled texts are used again, here and at the end.
-    holders, schema = docs.join(wanted, KEY).select("text", "places"), "key long, sid long, n long, windows long, content binary"
-    repeated = holders.mapInArrow(cut(False), schema).repartition(partitions(docs), "key").sortWithinPartitions("key", "sid") \
-        .mapInArrow(search, "key long, sid long, spans array<struct<a:long,b:long>>")
-    if not candidates.where("hot").isEmpty():
-        windows = holders.where(F.exists("places", lambda p: p["hot"])).mapInArrow(cut(True), schema)
-        repeated = repeated.union(_counted(windows, kind.length))
+            out = [(s[0], *s[1], [{"a": a, "b": b} for a, b in spans]) for s, spans in _decided(shard, kind, finder) if spans]
+            cols = list(zip(*out, strict=True)) if out else [()] * 4
+            kinds = [pa.int64()] * 3 + [SPANS]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", *DIGEST, "spans"])
+
+    holders = docs.join(wanted, KEY).select("text", "places")
+    schema = "key long, d1 long, d2 long, n long, many long, windows long, content binary"
+    repeated = holders.mapInArrow(cut(False), schema).repartition(partitions(docs), "key").sortWithinPartitions("key", *DIGEST) \
+        .mapInArrow(search, "key long, d1 long, d2 long, spans array<struct<a:long,b:long>>")
+    if hot is not None:
+        segments = written(holders.where(F.exists("places", lambda p: p["hot"])).mapInArrow(cut(True), schema), "repeat-segments")
+        below = _covered(segments.select(F.col("d1").alias("_doc"), F.col("d2").alias("_hash"), F.col("content").alias("text")), kind.deeper(), finder)
+        whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("windows") + kind.length - 1).alias("b")))
+        mine = segments.drop("content", "many").join(below.select(F.col("_doc").alias("d1"), F.col("_hash").alias("d2"), "spans"), DIGEST, "left")
+        repeated = repeated.unionByName(mine.select("key", *DIGEST, F.when(F.col("n") > 1, whole).otherwise(F.col("spans")).alias("spans")).where("spans IS NOT NULL"))
     start = F.shiftright("place", 16)
-    covered = candidates.join(repeated, ["key", "sid"]).select(*KEY, F.explode("spans").alias("s"), start.alias("at")) \
+    return candidates.join(repeated, ["key", *DIGEST]).select(*KEY, F.explode("spans").alias("s"), start.alias("at")) \
         .groupBy(*KEY).agg(F.collect_set(F.struct((F.col("s.a") + F.col("at")).alias("a"), (F.col("s.b") + F.col("at")).alias("b"))).alias("spans"))
-    return docs.join(covered, KEY, "left")
 
 
-def _shards(batches, bound: int) -> Iterator[list[Segment]]:
-    """Whole keys, sorted, up to ``bound`` bytes of content (one key may be more); a segment that comes twice is one."""
-    shard: list[Segment] = []
+def _raw(text: str | bytes | None) -> bytes:
+    return text.encode() if isinstance(text, str) else text or b""
+
+
+def _decided(shard: list[tuple], kind: Kind, finder: Finder) -> Iterator[tuple[Segment, list[tuple[int, int]]]]:
+    """A shard's segments with their spans.  One that is alone with its anchor, and holds it once, has no equal windows
+    inside and none elsewhere: all of it is repeated or nothing; the others go to the index."""
+    alone, rest = [], []
+    for i, s in enumerate(shard):
+        single = (i == 0 or shard[i - 1][0] != s[0]) and (i + 1 == len(shard) or shard[i + 1][0] != s[0])
+        (alone if single and s[5] == 1 else rest).append(s)
+    for s in alone:
+        yield s, [(0, s[3] + kind.length - 1)] if s[2] > 1 else []
+    if rest:
+        yield from finder([s[:5] for s in rest])
+
+
+def _shards(batches, bound: int) -> Iterator[list[tuple]]:
+    """Whole keys, sorted, up to ``bound`` bytes of content (one key may be more): segments, each with its number of anchors behind."""
+    shard: list[tuple] = []
     size = 0
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if shard and size >= bound and row[0] != shard[-1][0]:
+        for key, d1, d2, n, many, windows, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if shard and size >= bound and key != shard[-1][0]:
                 yield shard
                 shard, size = [], 0
-            if shard and shard[-1][:2] == row[:2]:
+            if shard and shard[-1][:2] == (key, (d1, d2)):
                 continue
-            shard.append(row)
-            size += len(row[4])
+            shard.append((key, (d1, d2), n, windows, content, many))
+            size += len(content)
     if shard:
         yield shard
 

@@ -176,7 +176,7 @@ def remove_repeats(docs: DataFrame, length: int = 35, gram: int = 12, id_col: st
                    hot: int = 1 << 16) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)``: every document without the words covered by repeated windows, joined by one space.
 
-    Anchors with more than ``hot`` runs are counted window by window and not put into a shard's index.
+    Anchors with more than ``hot`` different segments are split by longer anchors before they come to a shard's index.
     """
     kind = Kind(words=True, length=length, gram=gram, shard_bytes=6 << 20, hot=hot)
 

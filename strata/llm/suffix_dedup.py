@@ -145,7 +145,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 64, id_col: s
                    hot: int = 1 << 13) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)``: every document's bytes without those covered by repeated windows.
 
-    Anchors with more than ``hot`` runs are counted window by window and not put into a shard's arrays.
+    Anchors with more than ``hot`` different segments are split by longer anchors before they come to a shard's arrays.
     """
     kind = Kind(words=False, length=length, gram=gram, shard_bytes=2 << 20, hot=hot)
 
