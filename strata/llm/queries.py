@@ -118,6 +118,29 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", _sha(F.col("kept")).alias("kept_sha256"))
 
 
+OP6_SQL = """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(b[i:i + 399]) AS h FROM (SELECT doc_id, b, unnest(range(1, n - 398)) AS i FROM d WHERE n >= 400)
+), often AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+begun AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER w > 400, true) AS new FROM windows JOIN often USING (h) WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), spans AS (
+  SELECT doc_id, min(i) AS lo, max(i) + 399 AS hi FROM (SELECT *, count(*) FILTER (new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM begun) GROUP BY doc_id, g
+), sums AS (SELECT doc_id, sum(hi - lo + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, hi + 1 AS a, lead(lo) OVER (PARTITION BY doc_id ORDER BY lo) - 1 AS z FROM spans
+  UNION ALL SELECT doc_id, 1, min(lo) - 1 FROM spans GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(hex(b[a:coalesce(z, n)]), '' ORDER BY a) AS bytes FROM pieces JOIN d USING (doc_id) WHERE a <= coalesce(z, n) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(coalesce(bytes, '')) END) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     statistics, rules = quality_rules.learned_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality_rules.apply_rules(statistics, rules).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
@@ -286,4 +309,4 @@ QUERIES = {
     "op13_phrases": op13_phrases,
     "pipeline": pipeline,
 }
-SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op11_turn_repair": OP11_SQL, "op12_warc": OP12_SQL, "op13_phrases": OP13_SQL}
+SQL = {"op2_chat_formatting": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_decontamination": OP4_SQL, "op6_suffix_dedup": OP6_SQL, "op11_turn_repair": OP11_SQL, "op12_warc": OP12_SQL, "op13_phrases": OP13_SQL}
