@@ -55,6 +55,8 @@ ONE_ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]+\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8
 #: Wrapped lines after the first are of any length.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+SEPARATOR = re.compile(r"[/_-]")
+BETWEEN = re.compile(r"[A-Za-z0-9+]{16,}")
 #: The least that may hold a secret or its wrapping: 12 characters that are, or become, printable ASCII.
 TEXTY = re.compile(rb"[\t\n\r\x20-\x7e\xa0\xaa\xb2\xb3\xb9\xba]{12}")
 #: Headers of compressed data; those of zlib are the pairs divisible by 31 without a preset dictionary.
@@ -310,29 +312,48 @@ def _blocks(layer: Layer, a: int, b: int) -> Iterator[list[tuple[int, int]]]:
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
+    """Base64 texts, also behind other characters of the alphabet (a path, a name): a token is decoded from its first four
+    characters on, so from every alignment, and in the parts between ``/``, ``_`` and ``-``."""
     for wrapped in BASE64.finditer(layer.text):
         for lines in _blocks(layer, *wrapped.span()):
             if sum(b - a for a, b in lines) < 16:
                 continue
-            body = "".join(layer.text[a:b] for a, b in lines).rstrip("=").replace("=", "").encode().translate(URLSAFE)
-            if len(body) % 4 == 1:
-                body = body[:-1]
-            try:
-                raw = base64.b64decode(body + b"=" * (-len(body) % 4))
-            except binascii.Error:
+            yield from _base64_body(layer, "".join(layer.text[a:b] for a, b in lines).rstrip("=").replace("=", ""), lines)
+        a, b = wrapped.span()
+        if SEPARATOR.search(layer.text, a, b):
+            for part in BETWEEN.finditer(layer.text, a, b):
+                if part.start() > a or part.end() < b:
+                    yield from _base64_body(layer, part[0], [part.span()], 1)
+
+
+def _base64_body(layer: Layer, body: str, lines: list[tuple[int, int]], alignments: int = 4) -> Iterator[Layer]:
+    """Layers of a base64 text that stands in ``lines`` of the layer; further alignments only where the first is no clean text."""
+    where = None
+    coded = body.encode().translate(URLSAFE)
+    for skip in range(alignments):
+        part = coded[skip:]
+        if len(part) % 4 == 1:
+            part = part[:-1]
+        if len(part) < 16 and skip:
+            return
+        try:
+            raw = base64.b64decode(part + b"=" * (-len(part) % 4))
+        except binascii.Error:
+            continue
+        clean = False
+        for text, width in _texts(raw):
+            clean |= width is not None or raw.isascii()
+            if layer.at_one_place():
+                yield Layer(text, np.broadcast_to(layer.start[0], len(text)), np.broadcast_to(layer.end[0], len(text)), layer.guard)
                 continue
-            first, last = lines[0][0], lines[-1][1]
-            where = None
-            for text, width in _texts(raw):
-                if layer.at_one_place():
-                    yield Layer(text, np.broadcast_to(layer.start[0], len(text)), np.broadcast_to(layer.end[0], len(text)), layer.guard)
-                    continue
-                if where is None:
-                    where = np.concatenate([np.arange(a, b) for a, b in lines])
-                    where = where[:len(body)] if "=" not in layer.text[first:last] else np.array([i for i in where if layer.text[i] != "="], np.int64)[:len(body)]
-                edge = np.arange(len(text) + 1) if width is None else np.concatenate(([0], np.cumsum([width(c) for c in text]))).astype(np.int64)
-                s, e = layer.arrays()
-                yield Layer(text, s[where[edge[:-1] * 4 // 3]], e[where[np.minimum((edge[1:] * 4 + 2) // 3, len(body)) - 1]], layer.guard)
+            if where is None:
+                where = np.concatenate([np.arange(a, b) for a, b in lines])
+                where = where[:len(body)] if "=" not in layer.text[lines[0][0]:lines[-1][1]] else np.array([i for i in where if layer.text[i] != "="], np.int64)[:len(body)]
+            edge = np.arange(len(text) + 1) if width is None else np.concatenate(([0], np.cumsum([width(c) for c in text]))).astype(np.int64)
+            s, e = layer.arrays()
+            yield Layer(text, s[where[skip + edge[:-1] * 4 // 3]], e[where[skip + np.minimum((edge[1:] * 4 + 2) // 3, len(part)) - 1]], layer.guard)
+        if clean:
+            return
 
 
 def _texts(raw: bytes):
