@@ -14,12 +14,20 @@ disclosure reaches ``generalise_at`` is generalised (replaced by its shape),
 of one that reaches ``remove_at`` removed.  Copies of a content count once in
 all counts, so duplicated documents do not make their wording look revealing.
 
+With ``discount`` > 0 the PMI is multiplied by ``n_te / (n_te + discount)``, so
+a pair that was seen once counts less (0: no discount, the plain definition).
+
 Plan: a first pass over the texts writes the base spans, the entities per
 content and partial counts of terms (contents that several tasks counted are
 taken off again).  Because ``n_te <= n_e``, most terms are too frequent to
 disclose an entity; a second pass, over texts with entities, writes the
-remaining pairs with their places, and joins on the counts decide.  Texts are
-shuffled only if a count shows more than 1,000,000 contents in several tasks.
+remaining terms of a content once, with their places.  Entities that occur
+once need no counting (``n_te`` is 1).  The others fall into classes of equal
+sets of contents, which have equal counts with every term; classes and terms
+of a content meet in a join that streams, so a content's entities and terms
+are never multiplied in one list.  Contents are told apart by 128 bits of their
+SHA-256.  Texts are shuffled only if a count shows more than 1,000,000 contents
+in several tasks.
 
 Defined cases: NULL and empty texts have no spans; repeated rows give
 repeated results and count once as context; a NULL id stays NULL; extra
@@ -32,7 +40,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import KEY, doc_id, keyed, written
@@ -106,6 +114,11 @@ def term_places(text: str, base: list[Span]) -> dict[str, list[tuple[int, int]]]
     return out
 
 
+def _contents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(_doc, _hash, text)`` as :func:`keyed`, with 128 bits of the text's SHA-256 as ``_hash`` (NULL as the empty text)."""
+    return keyed(docs, id_col, text_col).withColumn("_hash", F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16))
+
+
 def _pack(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
@@ -114,12 +127,12 @@ def _pack(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 def _scan(docs: DataFrame) -> DataFrame:
     """First pass over the texts: rows of tag ``doc`` (``n`` is 1 if the task counted the content), ``ent`` and ``df`` (see the module text)."""
     flush = 200_000
-    schema = pa.schema([("tag", pa.string()), ("_doc", pa.int64()), ("_hash", pa.int64()), ("name", pa.string()),
+    schema = pa.schema([("tag", pa.string()), ("_doc", pa.int64()), ("_hash", pa.binary()), ("name", pa.string()),
                         ("base_spans", pa.string()), ("n", pa.int64())])
 
     def run(batches):
         counts: Counter = Counter()
-        met: set[int] = set()
+        met: set[bytes] = set()
         for batch in batches:
             rows = []
             for doc, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -137,7 +150,7 @@ def _scan(docs: DataFrame) -> DataFrame:
             yield _pack(schema, rows)
         yield _pack(schema, [("df", None, None, t, None, n) for t, n in counts.items()])
 
-    return docs.mapInArrow(run, "tag string, _doc long, _hash long, name string, base_spans string, n long")
+    return docs.mapInArrow(run, "tag string, _doc long, _hash binary, name string, base_spans string, n long")
 
 
 def _term_counts(docs: DataFrame, rows: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
@@ -162,68 +175,88 @@ def _term_counts(docs: DataFrame, rows: DataFrame, max_broadcast: int = 1_000_00
             .groupBy("term").agg(F.sum("n").alias("n_t")))
 
 
-def _candidates(docs: DataFrame, often: dict[str, int], hot: dict[str, int], other: int, n: int, least: float) -> DataFrame:
-    """Second pass, over the texts with entities: ``(_hash, entity, term, places)`` once per task and content.
+def _near(docs: DataFrame, often: dict[str, int], hot: dict[str, int], other: int, n: int, least: float) -> DataFrame:
+    """Second pass, over the texts with entities: ``(_hash, terms)``, once per task and content, with every term's places.
 
-    ``n_te <= n_e`` bounds the disclosure of a term from above; pairs that
-    cannot reach ``least`` are left out here.  ``often`` and ``hot`` hold the
-    most frequent terms and entities, so an unknown term passes and an unknown
-    entity occurs at most ``other`` times.
+    ``n_te <= n_e`` bounds the disclosure of a term from above, most weakly for
+    the most frequent entity; terms that cannot reach ``least`` are left out
+    here.  ``often`` and ``hot`` hold the most frequent terms and entities, so
+    an unknown term passes and an unknown entity occurs at most ``other`` times.
     """
-    schema = pa.schema([("_hash", pa.int64()), ("entity", pa.string()), ("term", pa.string()), ("places", pa.string())])
+    item = pa.struct([("term", pa.string()), ("places", pa.string())])
+    schema = pa.schema([("_hash", pa.binary()), ("terms", pa.list_(item))])
     shared = docs.sparkSession.sparkContext.broadcast((often, hot))
 
     def run(batches):
         often, hot = shared.value
-        met: set[int] = set()
+        met: set[bytes] = set()
         for batch in batches:
-            out = []
+            out, size = [], 0
             for h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not text or h in met or not (base := base_spans(text)):
                     continue
                 met.add(h)
-                terms = [(t, often.get(t, 0), " ".join(f"{a}:{b}" for a, b in x)) for t, x in term_places(text, base).items()]
-                for e in {entity(k, text[a:b]) for k, a, b in base}:
-                    n_e = hot.get(e, other)
-                    most = n_e * (n / n_e) ** (1 - least) * (1 + 1e-9)
-                    out += [(h, e, t, places) for t, n_t, places in terms if n_t <= most]
-                if len(out) > 50_000:
+                n_e = max(hot.get(e, other) for e in {entity(k, text[a:b]) for k, a, b in base})
+                most = n_e * (n / n_e) ** (1 - least) * (1 + 1e-9)
+                out.append((h, [{"term": t, "places": " ".join(f"{a}:{b}" for a, b in x)} for t, x in term_places(text, base).items() if often.get(t, 0) <= most]))
+                size += len(text)
+                if size > 4 << 20:
                     yield _pack(schema, out)
-                    out = []
+                    out, size = [], 0
             yield _pack(schema, out)
 
-    return docs.select("_hash", "text").mapInArrow(run, "_hash long, entity string, term string, places string")
+    return docs.select("_hash", "text").mapInArrow(run, "_hash binary, terms array<struct<term:string,places:string>>")
 
 
-def disclosures(pairs: DataFrame, entities: DataFrame, terms: DataFrame, n_contents: int) -> DataFrame:
-    """``(entity, term, disclosure)`` of the ``(_hash, entity, term)`` rows; ``entities`` has ``n_e``, ``terms`` ``n_t``."""
-    pair = pairs.select("_hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    p_te, p_t, p_e = (F.col(c) / F.lit(float(n_contents)) for c in ("n_te", "n_t", "n_e"))
+def disclosure(n_te: Column, n_t: Column, n_e: Column, n: int, discount: float = 0.0) -> Column:
+    """PMI of a term and an entity over the entity's information content; 0 for an entity of every content."""
+    p_te, p_t, p_e = (c / F.lit(float(n)) for c in (n_te, n_t, n_e))
     ic = -F.log(p_e)
-    pmi = F.log(F.least(F.lit(1.0), p_te / p_t) / p_e)
-    return (pair.join(entities, "entity").join(terms, "term")
-            .select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0)).alias("disclosure")))
+    pmi = F.log(F.least(F.lit(1.0), p_te / p_t) / p_e) * (n_te / (n_te + F.lit(float(discount))))
+    return F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
+
+
+def _classes(entities: DataFrame) -> DataFrame:
+    """``(_hash, solo, classes)`` of the contents with entities (``_hash, entity`` rows, distinct).
+
+    ``solo``: one of them occurs nowhere else.  ``classes``: those that occur
+    again, as classes of entities with equal sets of contents (a 128-bit
+    digest of the set, and its size ``n_e``).
+    """
+    sets = entities.groupBy("entity").agg(F.count("*").alias("n_e"), *(F.bit_xor(F.xxhash64("_hash", F.lit(i))).alias(f"s{i}") for i in (1, 2)))
+    member = entities.join(sets, "entity").groupBy("_hash", "n_e", "s1", "s2").agg(F.count("*").alias("members"))
+    return member.groupBy("_hash").agg(F.max(F.col("n_e") == 1).alias("solo"),
+                                       F.collect_list(F.when(F.col("n_e") > 1, F.struct("n_e", "s1", "s2"))).alias("classes"))
 
 
 def _sanitised(docs: DataFrame, id_col: str, text_col: str, generalise_at: float = 0.6, remove_at: float = 0.95,
-               most_known: int = 100_000) -> DataFrame:
-    docs = keyed(docs, id_col, text_col)
+               most_known: int = 100_000, discount: float = 0.0, max_broadcast: int = 1_000_000) -> DataFrame:
+    docs = _contents(docs, id_col, text_col)
     rows = written(_scan(docs), "pii")
     base = rows.where("tag = 'doc'").select(*KEY, "base_spans")
     n = max(1, base.select("_hash").distinct().count())
-    terms = written(_term_counts(docs, rows), "pii-terms")
-    entities = written(rows.where("tag = 'ent'").select("_hash", F.col("name").alias("entity")).distinct()
-                       .groupBy("entity").agg(F.count("*").alias("n_e")), "pii-entities")
-    # Only to leave out pairs early: at most ``most_known`` rows of each on the driver, the rest is decided in the joins.
+    terms = written(_term_counts(docs, rows, max_broadcast), "pii-terms")
+    entities = written(rows.where("tag = 'ent'").select("_hash", F.col("name").alias("entity")).distinct(), "pii-entities")
+    # Only to leave out terms early: at most ``most_known`` rows of each on the driver, the rest is decided in the joins.
     often = {r["term"]: r["n_t"] for r in terms.where(F.col("n_t") > n ** (1 - generalise_at)).orderBy(F.desc("n_t"), "term").limit(most_known).collect()}
-    hot = {r["entity"]: r["n_e"] for r in entities.where("n_e > 1").orderBy(F.desc("n_e"), "entity").limit(most_known).collect()}
+    hot = {r["entity"]: r["n_e"] for r in entities.groupBy("entity").agg(F.count("*").alias("n_e")).where("n_e > 1")
+           .orderBy(F.desc("n_e"), "entity").limit(most_known).collect()}
     other = min(hot.values()) if 0 < len(hot) == most_known else n if most_known == 0 else 1
-    near = written(_candidates(docs, often, hot, other, n, generalise_at), "pii-pairs")
-    strong = disclosures(near, entities, terms, n).where(F.col("disclosure") >= generalise_at)
-    # Copies of a content list its places in several tasks: the grouping keeps one.
+    # Copies of a content come from several tasks; one row per content stays.
+    near = _near(docs, often, hot, other, n, generalise_at).groupBy("_hash").agg(F.first("terms").alias("terms"))
+    held = written(near.join(_classes(entities), "_hash"), "pii-contents")
+    term, kind = F.explode("terms").alias("t"), F.explode("classes").alias("c")
+    known = held.select("_hash", "solo", term).select("_hash", "solo", "t.term", "t.places").join(terms, "term")
+    one = F.lit(1).cast("long")
+    alone = known.where("solo").select("_hash", "places", disclosure(one, F.col("n_t"), one, n, discount).alias("d")).where(F.col("d") >= generalise_at)
+    # Classes of entities that occur again: pairs are streamed through a partial count, and again to those that disclose.
+    pairs = held.where(F.size("classes") > 0).select("_hash", "terms", kind).select("_hash", "c.*", term).select("_hash", "n_e", "s1", "s2", "t.term", "t.places")
+    counted = pairs.groupBy("n_e", "s1", "s2", "term").agg(F.count("*").alias("n_te")).join(terms, "term")
+    strong = written(counted.select("n_e", "s1", "s2", "term", disclosure(F.col("n_te"), F.col("n_t"), F.col("n_e"), n, discount).alias("d"))
+                     .where(F.col("d") >= generalise_at), "pii-strong")
+    shared = pairs.join(strong, ["n_e", "s1", "s2", "term"]).select("_hash", "places", "d")
     place = F.split("p", ":")
-    added = (near.join(strong, ["entity", "term"])
-             .groupBy("_hash", "places").agg(F.max("disclosure").alias("d"))
+    added = (alone.unionByName(shared).groupBy("_hash", "places").agg(F.max("d").alias("d"))
              .select("_hash", "d", F.explode(F.split("places", " ")).alias("p"))
              .groupBy("_hash").agg(F.sort_array(F.collect_list(F.struct(
                  place[0].cast("long").alias("start"), place[1].cast("long").alias("stop"), "d"))).alias("t")))
@@ -270,5 +303,5 @@ def sanitised_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``(doc_id, text)`` with the spans of :func:`sanitise` applied; texts and spans meet on id and content."""
     found = _sanitised(docs, id_col, text_col, **options).select(*KEY, "spans", "actions").distinct()
     use = F.udf(apply_spans, "string")
-    return (keyed(docs, id_col, text_col).join(found, KEY)
+    return (_contents(docs, id_col, text_col).join(found, KEY)
             .select(doc_id(), use("text", "spans", "actions").alias("text")))
