@@ -185,39 +185,32 @@ def _covered(docs: DataFrame, kind: Kind, finder: Finder) -> DataFrame:
     found = written(_anchor_rows(docs, kind), "repeat-runs")
     often = found.groupBy("key").agg(F.sum("many").alias("c")).where("c > 1").select("key", (F.col("c") > kind.hot).alias("big"))
     candidates = written(found.join(often.hint("shuffle_merge"), "key").select("key", *DIGEST, *KEY, "place", "many", "big"), "repeat-candidates")
-    distinct = candidates.groupBy("key", *DIGEST).agg(F.count("*").alias("n"), F.max("many").alias("many"), F.min(F.struct(*KEY, "place")).alias("one"))
     hot = _hot_keys(candidates, kind)
-    if hot is None:
-        distinct = distinct.withColumn("hot", F.lit(False))
-    else:
-        # Hot anchors are few (each has over ``hot`` runs); written, so they are broadcast only by their size.
-        distinct = distinct.join(hot.withColumn("hot", F.lit(True)), "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    wanted = distinct.groupBy("one._doc", "one._hash").agg(
-        F.collect_list(F.struct("key", *DIGEST, "n", "many", "hot", F.col("one.place").alias("place"))).alias("places"))
-
-    def cut(which: bool):
-        def pack(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 6 + [pa.binary()], strict=True)],
-                                              names=["key", *DIGEST, "n", "many", "windows", "content"])
-
-        def run(batches):
-            rows, size = [], 0
-            for batch in batches:
-                for text, places in zip(batch.column(0), batch.column(1), strict=True):
-                    mine = [p for p in places.as_py() if p["hot"] == which]
-                    if not mine:
-                        continue
-                    units = kind.split(_raw(text.as_py()))
-                    for p in mine:
-                        start, n = p["place"] >> 16, p["place"] & 0xFFFF
-                        rows.append((p["key"], p["d1"], p["d2"], p["n"], p["many"], n, kind.join(units[start:start + n - 1 + kind.length])))
-                        size += len(rows[-1][-1]) + 100
-                        if size > 8 << 20:
-                            yield pack(rows)
-                            rows, size = [], 0
-            if rows:
-                yield pack(rows)
-        return run
+
+    def holders(rows: DataFrame, texts: DataFrame) -> DataFrame:
+        """The text of one holder per distinct segment, with the places to cut."""
+        distinct = rows.groupBy("key", *DIGEST).agg(F.count("*").alias("n"), F.max("many").alias("many"), F.min(F.struct(*KEY, "place")).alias("one"))
+        wanted = distinct.groupBy("one._doc", "one._hash").agg(F.collect_list(F.struct("key", *DIGEST, "n", "many", F.col("one.place").alias("place"))).alias("places"))
+        return texts.join(wanted, KEY).select("text", "places")
+
+    def pack(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 6 + [pa.binary()], strict=True)],
+                                          names=["key", *DIGEST, "n", "many", "windows", "content"])
+
+    def cut(batches):
+        rows, size = [], 0
+        for batch in batches:
+            for text, places in zip(batch.column(0), batch.column(1), strict=True):
+                units = kind.split(_raw(text.as_py()))
+                for p in places.as_py():
+                    start, n = p["place"] >> 16, p["place"] & 0xFFFF
+                    rows.append((p["key"], p["d1"], p["d2"], p["n"], p["many"], n, kind.join(units[start:start + n - 1 + kind.length])))
+                    size += len(rows[-1][-1]) + 100
+                    if size > 8 << 20:
+                        yield pack(rows)
+                        rows, size = [], 0
+        if rows:
+            yield pack(rows)
 
     def search(batches):
         for shard in _shards(batches, kind.shard_bytes):
@@ -226,12 +219,14 @@ def _covered(docs: DataFrame, kind: Kind, finder: Finder) -> DataFrame:
             kinds = [pa.int64()] * 3 + [SPANS]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", *DIGEST, "spans"])
 
-    holders = docs.join(wanted, KEY).select("text", "places")
     schema = "key long, d1 long, d2 long, n long, many long, windows long, content binary"
-    repeated = holders.mapInArrow(cut(False), schema).repartition(partitions(docs), "key").sortWithinPartitions("key", *DIGEST) \
+    cold = candidates if hot is None else candidates.join(hot, "key", "left_anti")
+    repeated = holders(cold, docs).mapInArrow(cut, schema).repartition(partitions(docs), "key").sortWithinPartitions("key", *DIGEST) \
         .mapInArrow(search, "key long, d1 long, d2 long, spans array<struct<a:long,b:long>>")
     if hot is not None:
-        segments = written(holders.where(F.exists("places", lambda p: p["hot"])).mapInArrow(cut(True), schema), "repeat-segments")
+        # Hot anchors are few (each has over ``hot`` segments); written, so they are broadcast only by their size.
+        warm = written(candidates.join(hot, "key"), "repeat-warm")
+        segments = written(holders(warm, _holding(docs, warm)).mapInArrow(cut, schema), "repeat-segments")
         below = _covered(segments.select(F.col("d1").alias("_doc"), F.col("d2").alias("_hash"), F.col("content").alias("text")), kind.deeper(), finder)
         whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("windows") + kind.length - 1).alias("b")))
         mine = segments.drop("content", "many").join(below.select(F.col("_doc").alias("d1"), F.col("_hash").alias("d2"), "spans"), DIGEST, "left")
@@ -241,6 +236,19 @@ def _covered(docs: DataFrame, kind: Kind, finder: Finder) -> DataFrame:
         .groupBy(*KEY).agg(F.collect_set(F.struct((F.col("s.a") + F.col("at")).alias("a"), (F.col("s.b") + F.col("at")).alias("b"))).alias("spans"))
 
 
+FILTER_BITS = 1 << 22
+
+
+def _holding(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that may be named by ``rows``, so that a join shuffles only their texts: a bit table by key
+    of ``FILTER_BITS`` bits at most (65,536 rows, so it may be broadcast); a full table lets more through."""
+    at = F.pmod(F.xxhash64(*KEY), F.lit(FILTER_BITS))
+    bits = rows.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("word"))
+    marked = docs.withColumn("at", at)
+    return marked.join(F.broadcast(bits), F.shiftright(marked["at"], 6) == bits["slot"]) \
+        .where(F.expr("shiftright(word, CAST(at % 64 AS INT)) & 1 = 1")).select(*docs.columns)
+
+
 def _raw(text: str | bytes | None) -> bytes:
     return text.encode() if isinstance(text, str) else text or b""
 
