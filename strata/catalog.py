@@ -19,7 +19,7 @@ from strata.functions import BANDS, TOP_SHARE
 from strata.operators.clean import band_sums, keep_latest, normalise_code, require
 from strata.operators.combine import stack_scopes
 from strata.operators.enrich import decode_columns, lookup_name
-from strata.operators.measure import (classify, group_stats, join_targets, latest_period,
+from strata.operators.measure import (classify, group_stats, join_targets, latest_period, latest_period_split,
                                       max_target, rank_all, rank_within)
 from strata.operators.reshape import melt_sparse
 from strata.plans import bronze, gold, silver
@@ -199,6 +199,8 @@ BUILDS = {
     "inner_targets_cast": lambda L: _municipality_targets(L, ["id_municipio", "serie"]),
     "latest_period": lambda L: latest_period(L.silver_uf, "sigla_uf", "ano").select(
         "sigla_uf", "ano", "serie", "rede", "taxa_alfabetizacao"),
+    "latest_period_split": lambda L: latest_period_split(L.silver_uf, "sigla_uf", "ano").select(
+        "sigla_uf", "ano", "serie", "rede", "taxa_alfabetizacao"),
     "orphan_keys": lambda L: L.silver_uf.join(
         L.silver_metas.where(F.col("escopo") == "uf").select("sigla_uf").distinct(),
         "sigla_uf", "left_anti").select("ano", "sigla_uf", "serie", "rede"),

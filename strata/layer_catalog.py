@@ -74,9 +74,21 @@ def layer_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _positions(df: DataFrame) -> DataFrame:
-    """The place of each row in the order the output comes in: ids of rows grow over the sorted partitions."""
-    seen = df.withColumn("_at", F.monotonically_increasing_id())
-    return seen.withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("long")).drop("_at")
+    """The place of each row in the order the output comes in: rows of the earlier partitions, then those before it in its own.
+
+    Ids count rows within a partition, so only the partitions are counted and
+    added up; written once, as a sort deals its rows anew each time it runs.
+    """
+    path = scratch_dir(df.sparkSession, "positions")
+    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    seen = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    before, total = [], 0
+    for part, n in sorted(map(tuple, seen.groupBy("_part").agg(F.count("*").alias("n")).collect())):  # a row per partition
+        before.append((part, total))
+        total += n
+    offsets = _rows(df.sparkSession, before, "_part long, _before long")
+    here = F.col("_at") - F.shiftleft("_part", 33)
+    return seen.join(offsets, "_part").withColumn("position", F.col("_before") + here + 1).drop("_at", "_part", "_before")
 
 
 def order_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:

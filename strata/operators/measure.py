@@ -93,15 +93,27 @@ def rank_all(df: DataFrame, order_col: str, out: str) -> DataFrame:
 def latest_period(df: DataFrame, key: str, period: str) -> DataFrame:
     """Rows of each key's own latest period (rows without key or period have none).
 
-    RANK() = 1 by descending period, in one scan: the limit on the rank is
-    planned before the exchange as well, so a key leaves each map task with
-    the rows of its latest period there only.
+    For inputs where a key has few rows in its latest period (means by state
+    and year): RANK() = 1 by descending period, in one scan; the limit on the
+    rank is planned before the exchange as well.  Raw rows, where one key's
+    latest period may hold a third of all, go through :func:`latest_period_split`.
     """
     newest = F.rank().over(Window.partitionBy(key).orderBy(F.col(period).desc_nulls_last()))
     return (df.where(F.col(key).isNotNull() & F.col(period).isNotNull())
             .withColumn("_newest", newest).where(F.col("_newest") == 1).drop("_newest"))
 
 
+def latest_period_split(df: DataFrame, key: str, period: str) -> DataFrame:
+    """The same rows without a task that sorts a key's rows, for one more scan.
+
+    MAX(period) per key is a partial aggregate (a row per key leaves each task),
+    joined back by key and period: AQE broadcasts the maxima by their measured
+    size or splits a hot key's rows as skew.
+    """
+    newest = df.where(F.col(key).isNotNull() & F.col(period).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(period).alias("_newest"))
+    return df.join(newest, (F.col(key) == F.col("_key")) & (F.col(period) == F.col("_newest")), "left_semi")
+
+
 def max_target(targets: DataFrame, scope: str, key: str,
                target_col: str = "meta_alfabetizacao_2030", out: str = "meta_2030") -> DataFrame:
     """MAX(target) per key over one scope of the consolidated targets."""

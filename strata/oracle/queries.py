@@ -236,3 +236,4 @@ SQL: dict[str, str] = {
 }
 
 assert all(v in VIEWS for v in ["silver_uf", "gold_painel"])
+SQL["latest_period_split"] = SQL["latest_period"]

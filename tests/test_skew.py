@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.clean import keep_latest
-from strata.operators.measure import group_stats, latest_period, rank_split
+from strata.operators.measure import group_stats, latest_period, latest_period_split, rank_split
 
 
 @pytest.fixture(scope="module")
@@ -69,6 +69,15 @@ def test_latest_period_hot_key(spark, skewed):
     assert _sorted(ours, "id") == _sorted(ref, "id")
 
 
+def test_latest_period_split_hot_key(spark, skewed):
+    """Most rows are one key's, all of its latest period: no window, and the same rows."""
+    hot = skewed.withColumn("ts", F.when(F.col("k") == 0, F.lit(None)).otherwise(F.col("ts"))).unionByName(
+        skewed.withColumn("k", F.lit(0).cast("long")).withColumn("ts", F.lit(skewed.agg(F.max("ts")).first()[0])), allowMissingColumns=True)
+    ours = latest_period_split(hot, "k", "ts")
+    assert "Window" not in ours._jdf.queryExecution().executedPlan().toString()
+    assert _sorted(ours, "id") == _sorted(latest_period(hot, "k", "ts"), "id")
+
+
 def test_hot_group_of_distinct_values_is_spread(spark):
     """A third of the rows in one group, every value different: no range holds the group, the ranks are SQL's."""
     df = spark.range(60_000).select((F.col("id") % 3 == 0).cast("int").alias("g"), (F.col("id") * 7919 % 60_013).cast("double").alias("v"), "id")
