@@ -169,7 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         chosen = df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         # At most n ids: their broadcast is bounded by the parameter.
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id", "left_semi")
-        x = sorted((r["doc_id"], bytes(r["x"])) for r in feature_table(rows).limit(2 * n).collect())
+        # One row an id, the one with the smallest text hash, so repeated rows neither count twice nor move the sample.
+        one = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        x = sorted((r["doc_id"], bytes(r["x"])) for r in feature_table(one).collect())
         return np.array([np.frombuffer(v, np.float32) for _, v in x], np.float32).reshape(-1, len(NAMES))
 
     pos = sample(ids.join(positive, "doc_id", "left_semi"), max_positive)

@@ -230,7 +230,8 @@ def link_fingerprints(fps: DataFrame, threshold: int = MAX_THRESHOLD, max_anchor
         if rows:
             yield from flush(pa.Table.from_batches(held).combine_chunks())
 
-    dealt = fps.select("fp").mapInArrow(replicate, "anchor long, fp long, home boolean") \
+    # Fingerprints are few bytes and their replicas many: dealt out by number first, or few tasks would make them all.
+    dealt = fps.select("fp").repartition(partitions(fps), "fp").mapInArrow(replicate, "anchor long, fp long, home boolean") \
         .repartition(partitions(fps), "anchor").sortWithinPartitions("anchor")
     found = written(dealt.mapInArrow(compare, "a long, b long"), "simhash-links")
     links, big = found.where("b IS NOT NULL"), found.where("b IS NULL").select("a").distinct()
