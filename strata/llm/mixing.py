@@ -266,7 +266,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``(pieces, slots, plan)``: the packed documents cut into blocks, every slot of the mix, and the plan."""
     packed = pack(docs, id_col, text_col, source_col)
     plan = plan_mix(packed, block, share, max_repeat)
-    return pieces(packed, plan), slot_table(docs.sparkSession, plan), plan
+    # Written: a shard is one number and many slots, which the planner cannot know before it joins them.
+    return pieces(packed, plan), written(slot_table(docs.sparkSession, plan), "mix-slots"), plan
 
 
 def joined_slots(cut: DataFrame, slots: DataFrame, *more: str) -> DataFrame:
