@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from strata.functions import LEVELS, TARGETS
+from strata.oracle.fixed import LEVELS, TARGETS
 from strata.oracle.views import _METRICS, VIEWS, classify_sql, with_views
 
 # DOUBLE outputs are rounded to 6 places, as ``strata.catalog.present`` does.

@@ -100,3 +100,12 @@ def test_row_ratio(spark):
     ok = evaluate(spark, {("silver", "s"): small, ("bronze", "b"): big}, [rule]).collect()[0]
     bad = evaluate(spark, {("silver", "s"): big, ("bronze", "b"): small}, [rule]).collect()[0]
     assert (ok.passed, bad.passed) == (True, False)
+
+
+def test_sql_side_stands_alone():
+    """The SQL package imports nothing of the Spark side."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '.'); import strata.oracle.layers, strata.oracle.stream; "
+            "assert not [m for m in sys.modules if m.startswith(('strata.', 'pyspark')) and not m.startswith('strata.oracle')]")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
