@@ -22,15 +22,17 @@ import time
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans import bronze, gold, silver
 from strata.plans.quality import enforce, evaluate, rules_for
 from strata.plans.registry import SPECS, spec
-from strata.session import hadoop_path
+from strata.session import hadoop_path, scratch_dir
 
 log = logging.getLogger("strata")
 
@@ -55,21 +57,59 @@ def _markers(root: str, layer: str, name: str) -> str:
 
 
 def clustered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Rows range-partitioned and sorted by ``order``.
+    """Rows range-partitioned and sorted by ``order``, for small tables.
 
     Each file then holds a narrow range (min/max statistics skip the others)
     and a partition value is in few files.  A hash of the row comes last in
-    the range key, so one hot value is split over several files.
+    the range key, so one hot value is split over several files.  Spark samples
+    the rows of a range partitioning, so the plan of ``df`` runs twice.
     """
-    whole = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
-    return df.repartitionByRange(*[F.col(c) for c in order], whole).sortWithinPartitions(*order)
+    return df.repartitionByRange(*[F.col(c) for c in order], _row_hash(df)).sortWithinPartitions(*order)
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+
+
+ROWS_PER_RANGE = 1_000_000
+
+
+def clustered_once(df: DataFrame, order: list[str]) -> DataFrame:
+    """The same layout for large tables, with one evaluation of the rows.
+
+    A first pass counts the rows per value of the first two columns of
+    ``order``; it reads these columns only.  Running totals over the counts cut
+    the values into ranges of about equal rows (a value with more than a range
+    gets several, by a hash of the row), and the rows go to their range by its
+    number.  The counts are written, so they are broadcast only by their size.
+    """
+    spark, keys = df.sparkSession, order[:2]
+    path = scratch_dir(spark, "ranges")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    seen = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    offsets, total = [], 0
+    for part, n in sorted(map(tuple, seen.groupBy("_part").agg(F.sum("_n").alias("n")).collect())):  # a row per partition
+        offsets.append((part, total))
+        total += n
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    size = max(-(-total // int(spark.conf.get("spark.sql.shuffle.partitions"))), ROWS_PER_RANGE if coalesce else 1, 1)
+    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_offset") + F.coalesce(F.sum("_n").over(within), F.lit(0))
+    placed = seen.join(spark.createDataFrame(offsets, "_part long, _offset long"), "_part").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.floor(before / size).alias("_first"), F.ceil(F.col("_n") / size).alias("_parts"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    at = F.col("_first") + F.pmod(_row_hash(df), F.col("_parts"))
+    ranged = df.join(placed, same).withColumn("_range", at.cast("int")).repartitionById(-(-total // size) + 1, F.col("_range"))
+    return ranged.sortWithinPartitions(*order).select(*df.columns)
 
 
 def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str, max_records: int = MAX_RECORDS_PER_FILE) -> int:
     s = spec(layer, name)
     order = [*s.partition_by, *s.cluster_by]
     obs = Observation(f"{layer}.{name}")
-    out = (clustered(df, order) if order else df).observe(obs, F.count(F.lit(1)).alias("rows"))
+    laid = clustered_once(df, order) if s.partition_by and s.cluster_by else clustered(df, order) if order else df
+    out = laid.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if s.partition_by:
         writer = writer.partitionBy(*s.partition_by)

@@ -94,3 +94,29 @@ def test_clustered_files_are_narrow_and_split_a_hot_id(spark, tmp_root):
     ranges = sorted((r["lo"], r["hi"]) for r in files)
     assert len(ranges) > 3 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
     assert sum(lo <= 7 <= hi for lo, hi in ranges) >= 2
+
+
+def test_large_tables_are_laid_out_with_one_evaluation(spark):
+    """The pupil table's layout reads the microdata twice, once for two columns only, and never samples the whole rows."""
+    from strata.plans.run import clustered_once
+    out = clustered_once(Layers(spark, SMOKE).bronze_alunos, ["ano", "id_municipio", "serie"])
+    p = plan(out)
+    assert p.count("lineitem.parquet") == 1 and "rangepartitioning" not in p
+    assert out.count() == Layers(spark, SMOKE).src["alunos"].count()
+
+
+def test_layout_of_null_and_hot_keys(spark):
+    from strata.plans.run import clustered_once
+    df = spark.range(5000).select(F.when(F.col("id") % 5 == 0, None).otherwise(2020 + F.col("id") % 2).alias("ano"),
+                                  F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 1).otherwise(F.col("id")).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = clustered_once(df, ["ano", "k"]).withColumn("p", F.spark_partition_id())
+        assert sorted(r["id"] for r in out.collect()) == list(range(5000))
+        ranges = out.groupBy("p").agg(F.min(F.struct(F.coalesce("ano", F.lit(0)).alias("a"), F.coalesce("k", F.lit(-1)).alias("k"))).alias("lo"),
+                                      F.max(F.struct(F.coalesce("ano", F.lit(0)).alias("a"), F.coalesce("k", F.lit(-1)).alias("k"))).alias("hi"), F.count("*").alias("n")).orderBy("p").collect()
+        assert len(ranges) >= 7 and max(r["n"] for r in ranges) < 1500
+        assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert clustered_once(df.limit(0), ["ano", "k"]).collect() == []
