@@ -220,7 +220,7 @@ def _indexed_pupils(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
     """The pupil table in small files, with an index of the pupil id, which it is not clustered by; and three ids to look up."""
     root = scratch_dir(spark, "index")
     pupils = Layers(spark, sf_dir).bronze_alunos
-    write_table(spark, pupils, root, "bronze", "alunos", "run-1", max_records=1000)
+    write_table(spark, pupils, root, "bronze", "alunos", "run-1", max_records=max(20, pupils.count() // 60))  # 60 files or more
     index_column(spark, root, "bronze", "alunos", "id_aluno")
     ids = pupils.agg(F.min("id_aluno").alias("lo"), F.max("id_aluno").alias("hi")).first()
     return root, [ids["lo"], ids["hi"], "no such pupil"]
