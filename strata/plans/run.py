@@ -72,10 +72,18 @@ def _row_hash(df: DataFrame) -> Column:
 
 
 ROWS_PER_RANGE = 1_000_000
+#: From this size of its inputs on, a table's rows are not computed twice for their layout; below it the extra jobs cost more.
+ONCE_FROM_BYTES = 4 << 30
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of the files (or other leaves) that a plan reads, as the planner knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def clustered_once(df: DataFrame, order: list[str]) -> DataFrame:
-    """The same layout for large tables, with one evaluation of the rows.
+    """The same layout for large tables (:data:`ONCE_FROM_BYTES`), with one evaluation of the rows.
 
     A first pass counts the rows per value of the first two columns of
     ``order``; it reads these columns only.  Running totals over the counts cut
@@ -108,7 +116,9 @@ def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str, ma
     s = spec(layer, name)
     order = [*s.partition_by, *s.cluster_by]
     obs = Observation(f"{layer}.{name}")
-    laid = clustered_once(df, order) if s.partition_by and s.cluster_by else clustered(df, order) if order else df
+    laid = df
+    if order:
+        laid = clustered_once(df, order) if s.partition_by and s.cluster_by and scanned_bytes(df) >= ONCE_FROM_BYTES else clustered(df, order)
     out = laid.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if s.partition_by:

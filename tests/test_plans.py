@@ -120,3 +120,15 @@ def test_layout_of_null_and_hot_keys(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert clustered_once(df.limit(0), ["ano", "k"]).collect() == []
+
+
+def test_both_layouts_write_the_same_table(spark, tmp_root, monkeypatch):
+    from strata.plans import run
+    rows = Layers(spark, SMOKE).bronze_alunos.drop("ingestao_ts")
+    assert 0 < run.scanned_bytes(rows) < 1 << 30
+    tables = []
+    for place, least in (("small", 1 << 60), ("large", 0)):
+        monkeypatch.setattr(run, "ONCE_FROM_BYTES", least)
+        assert write_table(spark, rows, f"{tmp_root}/{place}", "bronze", "alunos", "t1") == rows.count()
+        tables.append(read_table(spark, f"{tmp_root}/{place}", "bronze", "alunos"))
+    assert tables[0].exceptAll(tables[1].select(tables[0].columns)).count() == 0 == tables[1].select(tables[0].columns).exceptAll(tables[0]).count()
