@@ -56,15 +56,18 @@ def _markers(root: str, layer: str, name: str) -> str:
     return f"{root}/{layer}/{name}/_runs"
 
 
-def clustered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Rows range-partitioned and sorted by ``order``, for small tables.
+def clustered(df: DataFrame, order: list[str], ranges: int = 0) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``.
 
     Each file then holds a narrow range (min/max statistics skip the others)
     and a partition value is in few files.  A hash of the row comes last in
     the range key, so one hot value is split over several files.  Spark samples
-    the rows of a range partitioning, so the plan of ``df`` runs twice.
+    the rows of a range partitioning, so the plan of ``df`` runs twice.  With
+    more ``ranges`` than the session's shuffle partitions there are that many;
+    otherwise Spark takes its own number and joins small ones.
     """
-    return df.repartitionByRange(*[F.col(c) for c in order], _row_hash(df)).sortWithinPartitions(*order)
+    many = [ranges] if ranges > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    return df.repartitionByRange(*many, *[F.col(c) for c in order], _row_hash(df)).sortWithinPartitions(*order)
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -72,8 +75,14 @@ def _row_hash(df: DataFrame) -> Column:
 
 
 ROWS_PER_RANGE = 1_000_000
+#: Input (compressed) behind a range, so a task sorts about as much at any size and its sort stays in memory.
+BYTES_PER_RANGE = 8 << 20
+#: More ranges than these only where the session asks for more shuffle partitions: from there on ranges grow.
+MAX_RANGES = 20_000
 #: From this size of its inputs on, a table's rows are not computed twice for their layout; below it the extra jobs cost more.
 ONCE_FROM_BYTES = 4 << 30
+#: With more key values than these, the rows' ranges are no small table that a join could broadcast.
+MOST_KEYS = 200_000
 
 
 def scanned_bytes(df: DataFrame) -> int:
@@ -90,18 +99,26 @@ def clustered_once(df: DataFrame, order: list[str]) -> DataFrame:
     the values into ranges of about equal rows (a value with more than a range
     gets several, by a hash of the row), and the rows go to their range by its
     number.  The counts are written, so they are broadcast only by their size.
+    With more than :data:`MOST_KEYS` values the join would shuffle all rows
+    once more than the second evaluation that it saves, so those rows are
+    ranged by :func:`clustered`.
     """
     spark, keys = df.sparkSession, order[:2]
     path = scratch_dir(spark, "ranges")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     counts.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
     seen = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
-    offsets, total = [], 0
-    for part, n in sorted(map(tuple, seen.groupBy("_part").agg(F.sum("_n").alias("n")).collect())):  # a row per partition
+    offsets, total, values = [], 0, 0
+    for part, n, different in sorted(map(tuple, seen.groupBy("_part").agg(F.sum("_n").alias("n"), F.count("*").alias("v")).collect())):  # a row per partition
         offsets.append((part, total))
         total += n
+        values += different
     coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
-    size = max(-(-total // int(spark.conf.get("spark.sql.shuffle.partitions"))), ROWS_PER_RANGE if coalesce else 1, 1)
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(-(-total // ROWS_PER_RANGE), max(MAX_RANGES, shuffles))
+    size = max(-(-total // max(ranges, 1 if coalesce else shuffles)), 1)
+    if values > MOST_KEYS:
+        return clustered(df, order, ranges)
     within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_offset") + F.coalesce(F.sum("_n").over(within), F.lit(0))
     placed = seen.join(spark.createDataFrame(offsets, "_part long, _offset long"), "_part").select(
@@ -118,7 +135,9 @@ def _write_rows(df: DataFrame, root: str, layer: str, name: str, run_id: str, ma
     obs = Observation(f"{layer}.{name}")
     laid = df
     if order:
-        laid = clustered_once(df, order) if s.partition_by and s.cluster_by and scanned_bytes(df) >= ONCE_FROM_BYTES else clustered(df, order)
+        inputs = scanned_bytes(df)
+        ranges = min(-(-inputs // BYTES_PER_RANGE), MAX_RANGES) if s.partition_by else 0
+        laid = clustered_once(df, order) if s.partition_by and s.cluster_by and inputs >= ONCE_FROM_BYTES else clustered(df, order, ranges)
     out = laid.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if s.partition_by:

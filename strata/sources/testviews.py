@@ -93,7 +93,8 @@ def state_code(key: Column) -> Column:
 
 
 def _share(cond: Column) -> Column:
-    return F.avg(F.when(cond, F.lit(1)).otherwise(F.lit(0))) * F.lit(100.0)
+    """Percentage of the rows: counts, of which all shares of a group have the second in common, keep its hash table small."""
+    return F.count_if(cond).cast("double") / F.count(F.lit(1)).cast("double") * F.lit(100.0)
 
 
 def _plant_defects(df: DataFrame, place: str) -> DataFrame:
@@ -143,15 +144,17 @@ def src_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def src_municipio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Municipality indicators: line items grouped by year, supplier, flag, status."""
-    items = table(spark, sf_dir, "lineitem")
-    level = F.least(F.lit(8), F.floor(F.col("l_extendedprice") / F.lit(11700)))
-    grouped = items.groupBy(
+    # Groups have a few rows each, so rows are dealt out before they are summed up: hash tables of partial sums would be as large as the input.
+    keys = ["ano", "id_municipio", "serie", "rede"]
+    items = table(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").cast("long").alias("ano"),
         F.col("l_suppkey").cast("long").alias("id_municipio"),
         F.ascii("l_returnflag").cast("long").alias("serie"),
         F.ascii("l_linestatus").cast("long").alias("rede"),
-    ).agg(
-        _share(F.col("l_quantity") >= 25).alias("taxa_alfabetizacao"),
+        (F.col("l_quantity") >= 25).alias("reached"), "l_extendedprice").repartition(*keys)
+    level = F.least(F.lit(8), F.floor(F.col("l_extendedprice") / F.lit(11700)))
+    grouped = items.groupBy(*keys).agg(
+        _share(F.col("reached")).alias("taxa_alfabetizacao"),
         (F.avg("l_extendedprice") / F.lit(99.7)).alias("media_portugues"),
         *[_share(level == k).alias(LEVELS[k]) for k in range(9)],
     )

@@ -132,3 +132,28 @@ def test_both_layouts_write_the_same_table(spark, tmp_root, monkeypatch):
         assert write_table(spark, rows, f"{tmp_root}/{place}", "bronze", "alunos", "t1") == rows.count()
         tables.append(read_table(spark, f"{tmp_root}/{place}", "bronze", "alunos"))
     assert tables[0].exceptAll(tables[1].select(tables[0].columns)).count() == 0 == tables[1].select(tables[0].columns).exceptAll(tables[0]).count()
+
+
+def test_ranges_follow_the_rows_not_the_shuffle_partitions(spark, tmp_root, monkeypatch):
+    """Larger inputs get more ranges, so a task sorts as much as before; the session has 8 shuffle partitions."""
+    from strata.plans import run
+    rows = Layers(spark, SMOKE).bronze_alunos
+    monkeypatch.setattr(run, "BYTES_PER_RANGE", run.scanned_bytes(rows) // 20)
+    n = write_table(spark, rows, f"{tmp_root}/sampled", "bronze", "alunos", "t1")
+    table = read_table(spark, f"{tmp_root}/sampled", "bronze", "alunos")
+    tasks = table.groupBy(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).alias("task")).agg(F.count("*").alias("n")).collect()
+    assert len(tasks) > 12 and sum(r["n"] for r in tasks) == n and max(r["n"] for r in tasks) < n / 5
+    monkeypatch.setattr(run, "ROWS_PER_RANGE", 100)
+    df = spark.range(5000).select((F.col("id") % 2).alias("ano"), (F.col("id") % 400).alias("k"), "id")
+    for keys in (1000, 100):  # by counts, and sampled since there are more values
+        monkeypatch.setattr(run, "MOST_KEYS", keys)
+        out = run.clustered_once(df, ["ano", "k"]).withColumn("p", F.spark_partition_id())
+        assert out.groupBy("p").count().count() >= 45 and out.select("id").distinct().count() == 5000
+
+
+def test_municipality_rows_are_dealt_out_before_they_are_summed_up(spark):
+    """One exchange, below both aggregates: no scan task holds partial sums of nearly as many groups as it has rows."""
+    src = Layers(spark, SMOKE).src["municipio"]
+    p = plan(src)
+    assert p.count("Exchange") == 1 and "REPARTITION_BY_COL" in p
+    assert max(p.index("HashAggregate"), p.rindex("HashAggregate")) < p.index("Exchange")
