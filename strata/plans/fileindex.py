@@ -8,8 +8,11 @@ An index has a row per file, and files never change, so indexing a new version
 reads only the files that no earlier version had.  Files that are not indexed
 are always kept: results are the same with an index of any age or none.
 
-A filter has slots of 32,768 bits (Spark's bitmap size), about ``BITS`` bits per
-distinct value of the file, and ``len(SEEDS)`` bits set per value.
+A filter has slots of 32,768 bits, about ``BITS`` bits per distinct value of the
+file, and ``len(SEEDS)`` bits set per value.  It is kept as its 64-bit words that
+are not zero, a row each: words are numbers that a task of the scan ORs together
+in a hash table, so neither values nor bits are sorted or shuffled, and files go
+by a number meanwhile.
 """
 
 from __future__ import annotations
@@ -22,12 +25,13 @@ from strata.plans.run import read_table
 from strata.streaming import commits
 
 SLOT = 32768
+WORD = 64
 BITS = 12
 SEEDS = (1, 2, 3)
 
 
 def _root(root: str, layer: str, name: str, column: str) -> str:
-    return f"{root}/{layer}/{name}/_index/{column}"
+    return f"{root}/{layer}/{name}/_index/words/{column}"  # not where filters of another form were kept
 
 
 def _plain(path: Column) -> Column:
@@ -40,13 +44,21 @@ def _positions(value: Column, slots: Column) -> Column:
     return F.array(*(F.pmod(F.xxhash64(value, F.lit(s)), slots * SLOT) for s in SEEDS))
 
 
+def _word(at: Column) -> Column:
+    return F.floor(at / WORD).cast("long")
+
+
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(WORD)).cast("int"))
+
+
 def _stored(spark: SparkSession, where: str, kind: str, schema: T.StructType) -> DataFrame:
     return commits.read(spark, where, [v for k, v in commits.lines_of(spark, where) if k == kind], schema)
 
 
 def _schemas(kind: T.DataType) -> tuple[T.StructType, T.StructType]:
     files = T.StructType([T.StructField("file", T.StringType()), T.StructField("lo", kind), T.StructField("hi", kind), T.StructField("slots", T.LongType())])
-    return files, T.StructType([T.StructField("file", T.StringType()), T.StructField("slot", T.LongType()), T.StructField("bits", T.BinaryType())])
+    return files, T.StructType([T.StructField("file", T.StringType()), T.StructField("word", T.LongType()), T.StructField("bits", T.LongType())])
 
 
 def _files(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -54,6 +66,21 @@ def _files(spark: SparkSession, df: DataFrame) -> DataFrame:
     return paths.select("path", _plain(F.col("path")).alias("file"))
 
 
+def _ranges(rows: DataFrame) -> DataFrame:
+    """Per file the least and the largest value and the slots of its filter."""
+    # A sketch among the aggregates makes Spark hash the files; minima of texts alone would sort all rows.
+    distinct = F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col("value").isNotNull(), F.xxhash64("value"))))
+    slots = F.greatest(F.lit(1), F.ceil(distinct * BITS / SLOT)).cast("long")
+    return rows.groupBy("file").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), slots.alias("slots"))
+
+
+def _words(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """The filters' words that are not zero, by the files' numbers."""
+    at = rows.where("value IS NOT NULL").join(files.select("file", "no", "slots"), "file").select(
+        "no", F.explode(_positions(F.col("value"), F.col("slots"))).alias("at"))
+    return at.groupBy("no", _word(F.col("at")).alias("word")).agg(F.bit_or(_bit(F.col("at"))).alias("bits"))
+
+
 def index_column(spark: SparkSession, root: str, layer: str, name: str, column: str) -> int:
     """Index the files of the current version that no index row names yet; how many these were."""
     df, where = read_table(spark, root, layer, name), _root(root, layer, name, column)
@@ -63,16 +90,11 @@ def index_column(spark: SparkSession, root: str, layer: str, name: str, column:
         return 0
     rows = spark.read.parquet(*new).select(F.col(column).alias("value"), _plain(F.input_file_name()).alias("file"))
     folder = f"batch=b-{len(commits.names(spark, where)):010d}/{commits.attempt()}"
-    slots = F.ceil(F.approx_count_distinct("value") * BITS / SLOT)
-    rows.groupBy("file").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.greatest(F.lit(1), slots).cast("long").alias("slots")) \
-        .write.parquet(f"{where}/{folder}/files")
-    files = spark.read.schema(known).parquet(f"{where}/{folder}/files")
-    # A value of a file counts once: partial aggregates before the bits are spread.
-    bits = rows.where("value IS NOT NULL").distinct().join(files.select("file", "slots"), "file").select(
-        "file", F.explode(_positions(F.col("value"), F.col("slots"))).alias("at"))
-    bits.groupBy("file", F.floor(F.col("at") / SLOT).cast("long").alias("slot")).agg(F.bitmap_construct_agg((F.col("at") % SLOT).cast("long")).alias("bits")) \
-        .write.parquet(f"{where}/{folder}/bits")
-    if not commits.add(spark, where, f"{len(commits.names(spark, where)):010d}", [("files", f"{folder}/files"), ("bits", f"{folder}/bits")]):
+    numbers = spark.createDataFrame(list(enumerate(new)), "no long, path string").select("no", _plain(F.col("path")).alias("file"))
+    _ranges(rows).join(numbers, "file").write.parquet(f"{where}/{folder}/files")
+    files = spark.read.schema(T.StructType([*known, T.StructField("no", T.LongType())])).parquet(f"{where}/{folder}/files")
+    _words(rows, files).join(files.select("no", "file"), "no").select("file", "word", "bits").write.parquet(f"{where}/{folder}/words")
+    if not commits.add(spark, where, f"{len(commits.names(spark, where)):010d}", [("files", f"{folder}/files"), ("words", f"{folder}/words")]):
         raise RuntimeError(f"{where}: another index batch was committed meanwhile; index again")
     return len(new)
 
@@ -84,13 +106,12 @@ def files_for(spark: SparkSession, root: str, layer: str, name: str, column: str
     known, bloom = _schemas(kind)
     current = _files(spark, df)
     ranges = _stored(spark, where, "files", known).join(current, "file")
-    wanted = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("value", kind)]))
+    wanted = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("value", kind)])).distinct()
     near = ranges.join(wanted, (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-    at = near.select("file", "path", "value", F.explode(_positions(F.col("value"), F.col("slots"))).alias("at")).withColumn("slot", F.floor(F.col("at") / SLOT).cast("long"))
-    byte = F.conv(F.hex(F.expr(f"substring(bits, CAST((at % {SLOT}) div 8 + 1 AS INT), 1)")), 16, 10).cast("long")
-    mask = F.expr("shiftleft(1L, CAST(at % 8 AS INT))")
-    tested = at.join(_stored(spark, where, "bits", bloom), ["file", "slot"], "left").withColumn("hit", F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False)))
-    kept = tested.groupBy("path", "value").agg(F.bool_and("hit").alias("all")).where("all").select("path")
+    at = near.select("file", "path", "value", F.explode(_positions(F.col("value"), F.col("slots"))).alias("at")).withColumn("word", _word(F.col("at")))
+    tested = at.join(_stored(spark, where, "words", bloom), ["file", "word"])
+    hits = F.count_if(F.col("bits").bitwiseAND(_bit(F.col("at"))) != 0)
+    kept = tested.groupBy("path", "value").agg(hits.alias("hits")).where(F.col("hits") == len(SEEDS)).select("path")
     unknown = current.join(ranges.select("file"), "file", "left_anti").select("path")
     return sorted({r["path"] for r in kept.unionByName(unknown).collect()}), len(df.inputFiles())
 

@@ -43,3 +43,24 @@ def test_new_files_are_kept_until_they_are_indexed(spark, tmp_root):
     assert 0 < new < len(read_table(spark, tmp_root, *TABLE).inputFiles())
     assert sorted(r["ano"] for r in lookup(spark, tmp_root, *TABLE, "id_aluno", [450]).collect()) == [2020, 2021]
     assert [r["ano"] for r in lookup(spark, tmp_root, *TABLE, "id_aluno", [30]).collect()] == [2020]
+
+
+def test_an_index_is_built_without_sorting_rows(spark):
+    """Ranges and filter words are hash aggregates, for text columns too: a task holds no sorted copy of its rows."""
+    from strata.plans import fileindex
+    rows = spark.range(1000).select(F.sha1(F.col("id").cast("string")).alias("value"), (F.col("id") % 7).cast("string").alias("file"))
+    ranges = fileindex._ranges(rows)
+    files = ranges.withColumn("no", F.col("file").cast("long"))
+    for df in (ranges, fileindex._words(rows, F.broadcast(files))):
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in p and "Sort [" not in p and "HashAggregate" in p
+    want = {r["file"]: (r["lo"], r["hi"]) for r in rows.groupBy("file").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
+    assert {r["file"]: (r["lo"], r["hi"]) for r in ranges.collect()} == want
+    bits = fileindex._words(rows, files).agg(F.sum(F.bit_count("bits"))).first()[0]
+    assert 0.97 * 3000 < bits <= 3000
+
+
+def test_a_value_looked_up_twice(spark, tmp_root):
+    write_table(spark, frame(spark, 0, 500), tmp_root, *TABLE, "r1", max_records=50)
+    index_column(spark, tmp_root, *TABLE, "id_aluno")
+    assert sorted(r["ano"] for r in lookup(spark, tmp_root, *TABLE, "id_aluno", [450, 450]).collect()) == [2020, 2021]
