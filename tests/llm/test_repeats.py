@@ -1,10 +1,13 @@
 """Repeats where hashes collide, and with anchors in more surroundings than one task should hold."""
 
+import inspect
 import random
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from strata.llm import substring_dedup, suffix_dedup
+from strata.llm import repeats, substring_dedup, suffix_dedup
 from tests.llm import brute
 from tests.llm.test_operators import SCHEMA, got, rows, sha
 
@@ -70,3 +73,26 @@ def test_hot_passages_nearly_as_long_as_a_window(spark):
         out = substring_dedup.remove_repeats(df, hot=hot).withColumn("h", sha("kept"))
         assert got(out, "n_words", "n_removed", "h") == want
     assert df.agg(F.count("*")).first()[0] == len(texts)
+
+
+def test_largest_group_of_a_default_search_is_small():
+    """The most segments that one anchor may bring to a task, each as long as a segment may be, take less than 250 MB."""
+    rng = random.Random(3)
+    hot = inspect.signature(suffix_dedup.remove_repeats).parameters["hot"].default
+    passage = rng.randbytes(32).hex().encode()
+    segments = [(1, (i, i), 1, 400, rng.randbytes(184).hex().encode() + passage + rng.randbytes(184).hex().encode()[:367]) for i in range(hot)]
+    tracemalloc.start()
+    assert not any(spans for _, spans in suffix_dedup.pfp_finder(400)(segments))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 250e6
+
+
+def test_a_large_key_joins_no_shard_before_it():
+    """A shard holds more than its bound only if it is one key; keys stay whole, a segment that comes twice counts once."""
+    sizes = {1: [40, 30], 2: [50, 50, 50], 3: [10], 4: [60], 5: [30, 30]}
+    rows = [(k, i, i, 1, 1, 1, b"x" * n) for k, ns in sizes.items() for i, n in enumerate(ns) for _ in range(2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 3], strict=True)], names=list("abcdefg")) for i in range(0, len(rows), 3)]
+    shards = list(repeats._shards(batches, 100))
+    assert [[(s[0], len(s[4])) for s in shard] for shard in shards] == [
+        [(1, 40), (1, 30)], [(2, 50), (2, 50), (2, 50)], [(3, 10), (4, 60)], [(5, 30), (5, 30)]]
