@@ -4,6 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def join_as_text(df: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
+    """LEFT JOIN ``table`` where both keys are the same text; ``table_key`` goes.
+
+    A whole number has one text, so such keys are compared as numbers with
+    those of the table's keys that are written as a number is ('0012' and '+12'
+    are not): its join neither makes nor hashes a text for each row.
+    """
+    whole = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    kind = "long" if whole else "string"
+    text = F.col(table_key).cast("string")
+    if whole:
+        table = table.where(text.try_cast("long").cast("string") == text)
+    table = table.withColumn(table_key, text.try_cast(kind))
+    return df.join(table, df[key].cast(kind) == table[table_key], "left").drop(table_key)
 
 
 def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str,
@@ -19,11 +36,8 @@ def lookup_name(df: DataFrame, directory: DataFrame, key: str, dir_key: str,
     tmp = f"_dir_{out_col}"
     names = directory.select(F.col(dir_key).alias(tmp), F.col(name_col).alias(out_col)).distinct()
     if cast_key:
-        names = names.withColumn(tmp, F.col(tmp).cast("string"))
-        left_key = F.col(key).cast("string")
-    else:
-        left_key = F.col(key)
-    return df.join(names, left_key == names[tmp], "left").drop(tmp)
+        return join_as_text(df, key, names, tmp)
+    return df.join(names, F.col(key) == names[tmp], "left").drop(tmp)
 
 
 def decode_columns(df: DataFrame, dictionary: DataFrame, table_id: str,
@@ -41,5 +55,5 @@ def decode_columns(df: DataFrame, dictionary: DataFrame, table_id: str,
         labels = (dictionary
                   .where((F.col("nome_coluna") == c) & (F.col("id_tabela") == table_id))
                   .select(F.col("chave").alias(key), F.col("valor").alias(c)))
-        out = out.join(labels, F.col(c + code_suffix).cast("string") == labels[key], "left").drop(key)
+        out = join_as_text(out, c + code_suffix, labels, key)
     return out

@@ -184,3 +184,22 @@ def test_ranks_use_the_value_not_a_rounding(spark):
     df = spark.createDataFrame([("a", 50.0000000001), ("b", 50.0), ("c", 50.0), ("d", None)], "s string, m double")
     for out in (rank_within(df, [], "m", "r"), rank_all(df, "m", "r")):
         assert {r.s: r.r for r in out.collect()} == {"a": 1, "b": 2, "c": 2, "d": 4}
+
+
+def test_whole_number_codes_are_joined_as_numbers(spark):
+    """Codes match the dictionary's text exactly, for every kind of number, and no text is made of a whole number to be joined."""
+    keys = ["1", "01", "+1", " 1", "1.0", "-0", "0", "-7", "7", "7", "x", None, "9223372036854775807", "9223372036854775808"]
+    dictionary = spark.createDataFrame([("t", "c", k, f"{i}:{k}") for i, k in enumerate(keys)], "id_tabela string, nome_coluna string, chave string, valor string")
+    codes = [1, 0, -7, 7, 5, None, 9223372036854775807]
+    want = [(-7, "7:-7"), (0, "6:0"), (1, "0:1"), (5, None), (7, "8:7"), (7, "9:7"), (9223372036854775807, "12:9223372036854775807")]
+    directory = dictionary.select(F.col("chave").alias("k"), F.col("valor").alias("name"))
+    for kind in ("long", "int", "string"):
+        df = spark.createDataFrame([(None if c is None else str(c),) for c in codes], "c string").select(F.col("c").try_cast(kind).alias("c"))
+        rows = [r for r in want if kind != "int" or r[0] < 2 ** 31] + [(None, None)] * (2 if kind == "int" else 1)
+        decoded, named = decode_columns(df, dictionary, "t", ["c"]), lookup_name(df, directory, "c", "k", "name", "label", cast_key=True)
+        for out, label in ((decoded.select(F.col("c_codigo").cast("string").alias("c"), F.col("c").alias("label")), "decoded"), (named.select(F.col("c").cast("string").alias("c"), "label"), "named")):
+            assert sorted(map(str, map(tuple, out.collect()))) == sorted(str((None if a is None else str(a), b)) for a, b in rows), (kind, label)
+        if kind != "string":
+            for out in (decoded, named):
+                joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join LeftOuter" in x]
+                assert joins and not any("as string" in x for x in joins)
